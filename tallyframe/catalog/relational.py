@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import month_key
 from ..operators import compare
 from ..operators.keys import JOIN_STRATEGIES, dedup, exists, left_counts, lookup_join
 from ..operators.moments import MOMENTS, group_moments, mean_value, population_variance
@@ -14,7 +15,6 @@ from ..operators.percentiles import (
     approx_percentiles,
     exact_percentiles,
     qualifying_stats,
-    value_histogram,
     with_group_size,
 )
 from ..operators.profile import data_quality_profile, group_size_profile, mean_and_sample_sd
@@ -33,24 +33,21 @@ from ..operators.variety import (
     exact_median,
     qualifying_styles,
     semi_join,
-    style_varieties,
 )
 from ..operators.windows import (
     best_candidate,
     count_by,
     daily_moments,
     difference_window_moments,
-    future_buckets,
     group_window_days,
     trailing_window_moments,
     volume_window_days,
     window_candidates,
 )
-from ..plans.cancelled_rate import cancelled_standard, merchant_shipped, state_averages
+from ..plans.cancelled_rate import merchant_shipped, state_averages
 from ..plans.percentile_bands import KEYS, VALUE, amount_histogram, sku_month_base
 from ..plans.window_winner import bought_rows
 from ..sources.star_schema import line_sales, order_sales, table
-from ..functions.text import month_key
 from .registry import query
 
 # The volume above which a state counts as large on the generated tables, the span in days
@@ -228,17 +225,17 @@ def _(spark, sf):
 
 
 @query("g4_population_variance", """
-    SELECT state, style, round(CASE WHEN count(cents) > 0 THEN CAST(
+    SELECT state, style, CASE WHEN count(cents) > 0 THEN CAST(
                count(cents) * sum(cents * cents) - sum(cents) * sum(cents) AS DOUBLE)
-               / CAST(count(cents) AS DOUBLE) / CAST(count(cents) AS DOUBLE) / 10000.0 END, 4)
+               / CAST(count(cents) AS DOUBLE) / CAST(count(cents) AS DOUBLE) / 10000.0 END
                AS variance,
-           round(CAST(sum(cents) AS DOUBLE) / count(cents) / 100.0, 6) AS mean_amount
+           CAST(sum(cents) AS DOUBLE) / count(cents) / 100.0 AS mean_amount
     FROM bought GROUP BY state, style""")
 def _(spark, sf):
     grouped = group_moments(sold(spark, sf), ["state", "style"], "amount")
     return grouped.select(
-        "state", "style", F.round(population_variance(), 4).alias("variance"),
-        F.round(mean_value(), 6).alias("mean_amount"),
+        "state", "style", population_variance().alias("variance"),
+        mean_value().alias("mean_amount"),
     )
 
 

@@ -88,7 +88,7 @@ def population_variance(scale: int = 2) -> Column:
     exact = spread.cast("double") / divisor / divisor
     mean = total.cast("double") / divisor
     rough = F.greatest(squares.cast("double") / divisor - mean * mean, F.lit(0.0))
-    return F.coalesce(exact, rough) / F.lit(10.0 ** (2 * scale))
+    return F.when(count > 0, F.coalesce(exact, rough) / F.lit(10.0 ** (2 * scale)))
 
 
 def population_stddev(scale: int = 2) -> Column:

@@ -32,15 +32,21 @@ def tokens(
 def lifespans(
     token_rows: DataFrame, record: str = "record_id", date: str = "order_date"
 ) -> DataFrame:
-    """First day, last day, distinct records and span in days of every token."""
+    """First day, last day, number of records and span in days of every token.
+
+    ``token_rows`` hold each (record, token) once, as :func:`tokens` yields them, so counting
+    rows counts distinct records and everything is merged map-side.
+    """
     return token_rows.where(F.col(date).isNotNull()).groupBy("promotion_id").agg(
         F.min(date).alias("first_date"),
         F.max(date).alias("last_date"),
-        F.count_distinct(record).alias("promoted_record_count"),
+        F.count(record).alias("promoted_record_count"),
     ).withColumn("span_days", F.datediff("last_date", "first_date"))
 
 
-def long_lived(token_rows: DataFrame, min_span_days: int = MIN_SPAN_DAYS, date: str = "order_date"):
+def long_lived(
+    token_rows: DataFrame, min_span_days: int = MIN_SPAN_DAYS, date: str = "order_date"
+) -> DataFrame:
     """Ids of the tokens whose first and last day lie at least ``min_span_days`` apart."""
     spans = token_rows.groupBy("promotion_id").agg(
         F.datediff(F.max(date), F.min(date)).alias("span_days")
@@ -68,9 +74,9 @@ def temporally_valid_tokens(
 
 
 def valid_token_count(valid_tokens: DataFrame, record: str = "record_id") -> DataFrame:
-    """Distinct valid tokens per record that has any."""
+    """Valid tokens per record that has any; each (record, token) occurs once."""
     return valid_tokens.groupBy(record).agg(
-        F.count_distinct("promotion_id").alias("valid_promotion_count")
+        F.count("promotion_id").alias("valid_promotion_count")
     )
 
 
@@ -93,7 +99,9 @@ def with_token_count(
     return left_counts(base, counts, [record], [name])
 
 
-def per_record_counts(base: DataFrame, record: str = "record_id", raw: str = "promotion_ids_raw"):
+def per_record_counts(
+    base: DataFrame, record: str = "record_id", raw: str = "promotion_ids_raw"
+) -> DataFrame:
     """One row per record id with its number of distinct tokens."""
     rows = base.select(record, F.explode_outer(token_array(raw)).alias("promotion_id"))
     return rows.groupBy(record).agg(F.count_distinct("promotion_id").alias("promotion_count"))

@@ -17,6 +17,7 @@ from ..operators.tokens import (
     tokens,
     valid_token_count,
 )
+from ..sources.staging import stage
 
 # The labels of the orders in question, of the orders behind the average, and
 # the number of long-lived promotions an order needs.
@@ -52,17 +53,23 @@ def conditional_rate_by_city(
     unique_records: bool = True,
     scale: int = 2,
     strategy: str | None = None,
+    staged: bool = True,
 ) -> DataFrame:
     """Cancelled standard orders per (state, city), the qualifying ones, and their share.
 
     Only orders that can still qualify, by amount and by number of tokens, have their tokens
     exploded and matched, and they keep their group columns, so no join back to the orders
-    is needed. ``unique_records=False`` counts the tokens of all rows of a record together.
+    is needed. ``staged`` writes the two lookups first, one row per state and one per
+    long-lived token: with their sizes known, the orders need no shuffle to meet them.
+    ``unique_records=False`` counts the tokens of all rows of a record together.
     """
     orders = base.where(cancelled_standard()).dropna(subset=["state", "city"])
     averages = state_averages(base, scale)
     if not unique_records:
         return _rate_with_repeated_records(base, orders, averages, min_span_days, min_promotions)
+    valid = long_lived(tokens(base), min_span_days)
+    if staged:
+        averages, valid = stage(averages, "state-averages"), stage(valid, "long-lived-tokens")
     candidates = lookup_join(
         orders.where(token_count("promotion_ids_raw") >= min_promotions),
         averages, ["state"], "inner", strategy,
@@ -71,7 +78,6 @@ def conditional_rate_by_city(
         "record_id", "state", "city",
         F.explode(token_array("promotion_ids_raw")).alias("promotion_id"),
     )
-    valid = long_lived(tokens(base), min_span_days)
     matched = lookup_join(candidate_tokens, valid, ["promotion_id"], "left_semi", strategy)
     counts = matched.groupBy("record_id", "state", "city").count()
     qualifying = (
