@@ -10,7 +10,13 @@ from pyspark.sql import functions as F
 from ..functions.text import month_key
 from ..operators import compare
 from ..operators.keys import JOIN_STRATEGIES, dedup, exists, left_counts, lookup_join
-from ..operators.moments import MOMENTS, group_moments, mean_value, population_variance
+from ..operators.moments import (
+    ROWS,
+    finished_moments,
+    group_moments,
+    mean_value,
+    population_variance,
+)
 from ..operators.percentiles import (
     approx_percentiles,
     exact_percentiles,
@@ -163,7 +169,7 @@ def _(spark, sf):
 def _(spark, sf):
     daily, days = sold_days(spark, sf)
     return lookup_join(daily, days, ["state"]).select(
-        "state", "order_date", "size", "window_days", F.col(MOMENTS.rows).alias("rows")
+        "state", "order_date", "size", "window_days", F.col(ROWS).alias("rows")
     )
 
 
@@ -210,8 +216,9 @@ def _(spark, sf):
 
 def as_text(frame: DataFrame) -> DataFrame:
     """Wide sums as text, since engines differ in the type of an integer sum."""
-    return frame.withColumns(
-        {c: F.col(c).cast("string") for c in (MOMENTS.total, MOMENTS.squares)}
+    finished = finished_moments(frame)
+    return finished.withColumns(
+        {c: F.col(c).cast("string") for c in ("value_sum", "value_square_sum")}
     )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import as_column, normalize_dimension, status_contains
+from .text import OTHER_WHITESPACE, as_column, status_contains, strip
 
 # The status token of a sold row, the pattern of sizes from XXL upwards,
 # and the ranks of the sizes below that.
@@ -15,14 +15,18 @@ SMALL_SIZE_RANKS = {"XS": 1, "S": 2, "M": 3, "L": 4, "XL": 5}
 
 
 def is_bought(status: Column | str, qty: Column | str) -> Column:
-    """Sold row: positive quantity and a normalized status that contains SHIPPED."""
-    sold = status_contains(normalize_dimension(status), SOLD_TOKEN)
-    return F.coalesce(as_column(qty) > 0, F.lit(False)) & sold
+    """Sold row: positive quantity and a status that contains SHIPPED in any case.
+
+    The token has no blanks, so collapsing those in the status could not change the answer.
+    """
+    return F.coalesce(as_column(qty) > 0, F.lit(False)) & status_contains(
+        F.upper(as_column(status)), SOLD_TOKEN
+    )
 
 
 def size_label(size: Column | str) -> Column:
-    """Normalized size without inner blanks, so that ``3 xl`` is ``3XL``."""
-    return F.replace(normalize_dimension(size), F.lit(" "), F.lit(""))
+    """Upper-case size without any blanks, so that `` 3 xl`` is ``3XL``."""
+    return F.upper(F.translate(strip(size), " " + OTHER_WHITESPACE, ""))
 
 
 def is_at_least_xxl(size: Column | str) -> Column:

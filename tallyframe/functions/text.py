@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The characters stripped from both ends of a text (U+0000 to U+0020).
+# The characters stripped from both ends of a text (U+0000 to U+0020), and
+# the whitespace characters besides the blank.
 STRIPPED_CHARACTERS = "".join(map(chr, range(0x21)))
+OTHER_WHITESPACE = "\t\n\x0b\f\r"
 
 # The date pattern of the sales file and the month key pattern.
 SALE_DATE_FORMAT = "MM-dd-yy"
@@ -23,8 +25,7 @@ def strip(column: Column | str) -> Column:
 
 
 def blank_to_null(column: Column | str) -> Column:
-    column = as_column(column)
-    return F.when(F.length(column) > 0, column)
+    return F.nullif(as_column(column), F.lit(""))
 
 
 def clean_text(column: Column | str) -> Column:
@@ -33,8 +34,18 @@ def clean_text(column: Column | str) -> Column:
 
 
 def normalize_dimension(column: Column | str) -> Column:
-    """Stripped upper-case text with whitespace runs collapsed; blank becomes null."""
-    return blank_to_null(F.upper(F.regexp_replace(strip(column), r"\s+", " ")))
+    """Stripped upper-case text with whitespace runs collapsed; blank becomes null.
+
+    The pattern runs only on texts with something to collapse, which are rare; on all others
+    it would cost more than everything else here together.
+    """
+    text = as_column(column)
+    messy = text.contains("  ")
+    for character in OTHER_WHITESPACE:
+        messy = messy | text.contains(character)
+    stripped = strip(text)
+    collapsed = F.when(messy, F.regexp_replace(stripped, r"\s+", " ")).otherwise(stripped)
+    return blank_to_null(F.upper(collapsed))
 
 
 def normalized_equals(column: Column | str, label: str) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .moments import MOMENTS
+from .moments import ROWS
 
 LEVEL = "percentile_level"
 
@@ -65,7 +65,7 @@ def set_difference_summary(
     sided = histogram.join(deltas, keys).withColumn("difference_side", _side(value))
 
     def rows_on(side: str):
-        return F.sum(F.when(F.col("difference_side") == side, F.col(MOMENTS.rows)).otherwise(0))
+        return F.sum(F.when(F.col("difference_side") == side, F.col(ROWS)).otherwise(0))
 
     return sided.groupBy(*keys, LEVEL).agg(
         rows_on("approx_only").alias("approx_only_count"),

@@ -4,60 +4,66 @@ Amounts enter as whole minor units (cents at ``scale=2``), so their sums are int
 the result depends neither on the row order nor on how partial aggregates are merged,
 and two groups with equal variance compare as equal. Amounts with more decimals need a
 larger ``scale``.
+
+A square of minor units outgrows 64 bits long before its sum does, and decimal sums cost
+about ten times as much as long ones. So a value is cut into ``high * 2^31 + low``, and the
+sum of squares is kept as four long sums that are put together once per group:
+
+    value² = high² * 2^62 + high * low * 2^32 + low²,   low² = blocks * 2^24 + units
+
+All sums are plain long sums, merged map-side. In ANSI mode, Spark's default, a sum that
+does leave 64 bits fails instead of wrapping; for values up to 10^7 units that takes more
+than 9 * 10^11 rows in one group.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import as_column
 
-UNITS = "decimal(18,0)"
-WIDE = "decimal(38,0)"
-
-
-@dataclass(frozen=True)
-class MomentColumns:
-    """Names of the four moment columns of a frame."""
-
-    rows: str = "row_count"
-    values: str = "value_count"
-    total: str = "value_sum"
-    squares: str = "value_square_sum"
-
-    def all(self) -> tuple[str, str, str, str]:
-        return self.rows, self.values, self.total, self.squares
+ROWS = "row_count"
+VALUES = "value_count"
+TOTAL = "value_sum"
+UNITS = "square_units"
+BLOCKS = "square_blocks"
+CROSS = "square_cross"
+HIGH = "square_high"
+MOMENTS = (ROWS, VALUES, TOTAL, UNITS, BLOCKS, CROSS, HIGH)
 
-
-MOMENTS = MomentColumns()
+_LOW_BITS = 31
+_UNIT_BITS = 24
+_WIDE = "decimal(38,0)"
 
 
 def minor_units(value: Column | str, scale: int = 2) -> Column:
-    return F.rint(as_column(value) * F.lit(10.0**scale)).cast(UNITS)
+    return F.rint(as_column(value) * F.lit(10.0**scale)).cast("bigint")
 
 
 def moments(value: Column | str, scale: int = 2) -> list[Column]:
-    """Aggregates of raw rows: row count, non-null count, sum and sum of squares."""
+    """Aggregates of raw rows."""
     units = minor_units(value, scale)
+    high = F.shiftright(units, _LOW_BITS)
+    low = units.bitwiseAND(F.lit((1 << _LOW_BITS) - 1))
+    square = low * low
+    sums = {
+        TOTAL: units,
+        UNITS: square.bitwiseAND(F.lit((1 << _UNIT_BITS) - 1)),
+        BLOCKS: F.shiftright(square, _UNIT_BITS),
+        CROSS: high * low,
+        HIGH: high * high,
+    }
     return [
-        F.count(F.lit(1)).alias(MOMENTS.rows),
-        F.count(as_column(value)).alias(MOMENTS.values),
-        F.coalesce(F.sum(units), F.lit(0)).cast(WIDE).alias(MOMENTS.total),
-        F.coalesce(F.sum(units * units), F.lit(0)).cast(WIDE).alias(MOMENTS.squares),
+        F.count(F.lit(1)).alias(ROWS),
+        F.count(as_column(value)).alias(VALUES),
+        *[F.coalesce(F.sum(part), F.lit(0)).alias(name) for name, part in sums.items()],
     ]
 
 
 def merged_moments() -> list[Column]:
     """Aggregates that merge moment rows of a finer grain."""
-    return [
-        F.sum(MOMENTS.rows).alias(MOMENTS.rows),
-        F.sum(MOMENTS.values).alias(MOMENTS.values),
-        F.sum(MOMENTS.total).cast(WIDE).alias(MOMENTS.total),
-        F.sum(MOMENTS.squares).cast(WIDE).alias(MOMENTS.squares),
-    ]
+    return [F.sum(name).alias(name) for name in MOMENTS]
 
 
 def group_moments(
@@ -67,11 +73,21 @@ def group_moments(
     return frame.groupBy(*keys).agg(*moments(value, scale))
 
 
+def square_sum() -> Column:
+    """Sum of the squared minor units as an exact integer."""
+    parts = {UNITS: 0, BLOCKS: _UNIT_BITS, CROSS: _LOW_BITS + 1, HIGH: 2 * _LOW_BITS}
+    terms = [f"cast({name} as decimal(20,0)) * {1 << bits}BD" for name, bits in parts.items()]
+    return F.expr(f"cast({' + '.join(terms)} as {_WIDE})")
+
+
+def finished_moments(frame: DataFrame) -> DataFrame:
+    """Moment rows with the sum of squares as one column in place of its parts."""
+    return frame.withColumn("value_square_sum", square_sum()).drop(UNITS, BLOCKS, CROSS, HIGH)
+
+
 def mean_value(scale: int = 2) -> Column:
     """Mean of the non-null values; null if there is none."""
-    count = F.col(MOMENTS.values)
-    mean = F.col(MOMENTS.total).cast("double") / F.nullif(count, F.lit(0)) / F.lit(10.0**scale)
-    return mean
+    return F.expr(f"cast({TOTAL} as double) / nullif({VALUES}, 0) / {10.0**scale}D")
 
 
 def population_variance(scale: int = 2) -> Column:
@@ -80,15 +96,16 @@ def population_variance(scale: int = 2) -> Column:
     ``count * squares - total²`` is an exact integer and never negative. Only where it
     leaves 38 digits does the mean-of-squares form in doubles take over.
     """
-    count, total, squares = (F.col(c) for c in (MOMENTS.values, MOMENTS.total, MOMENTS.squares))
-    divisor = F.nullif(count, F.lit(0)).cast("double")
+    count = F.col(VALUES)
+    divisor = F.when(count > 0, count.cast("double"))
+    total = F.col(TOTAL).cast("decimal(20,0)")
     spread = F.try_subtract(
-        F.try_multiply(count.cast("decimal(20,0)"), squares), F.try_multiply(total, total)
+        F.try_multiply(count.cast("decimal(20,0)"), square_sum()), F.try_multiply(total, total)
     )
-    exact = spread.cast("double") / divisor / divisor
     mean = total.cast("double") / divisor
-    rough = F.greatest(squares.cast("double") / divisor - mean * mean, F.lit(0.0))
-    return F.when(count > 0, F.coalesce(exact, rough) / F.lit(10.0 ** (2 * scale)))
+    rough = F.greatest(square_sum().cast("double") / divisor - mean * mean, F.lit(0.0))
+    variance = F.coalesce(spread.cast("double") / divisor / divisor, rough)
+    return F.when(count > 0, variance / F.lit(10.0 ** (2 * scale)))
 
 
 def population_stddev(scale: int = 2) -> Column:

@@ -9,18 +9,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import as_column
-from .moments import MOMENTS, group_moments, merged_moments, population_stddev
+from .moments import ROWS, VALUES, group_moments, merged_moments, population_stddev
 
 # The percentile levels and the default accuracy of the sketch.
 LEVELS = {"P80": 0.8, "P90": 0.9}
 ACCURACY = 10_000
 
 
-def nearest_rank_position(rows: Column | str, p: float) -> Column:
-    return F.ceil(as_column(rows).cast("double") * F.lit(p)).cast("long")
-
-
 def percentile_rows(frame: DataFrame, keys: list[str], values: str, levels=LEVELS) -> DataFrame:
     """One row per level from an array of thresholds in the order of ``levels``."""
     names = F.array(*[F.lit(name) for name in levels])
@@ -61,40 +56,36 @@ def value_histogram(
     return group_moments(frame.where(F.col(value).isNotNull()), [*keys, value], amount, scale)
 
 
-def _ranked_histogram(histogram: DataFrame, keys: list[str], value: str, levels) -> DataFrame:
-    """Histogram with the exact threshold of each level on every row of its group.
+def _ranked_levels(histogram: DataFrame, keys: list[str], value: str, levels) -> DataFrame:
+    """The histogram rows at or above the exact threshold of each level.
 
+    Values are counted upwards: a row lies at or above the threshold exactly if the count
+    up to its value reaches the nearest rank, and the smallest such value is the threshold.
     A window partition holds the distinct values of one group, not its rows.
     """
     group = Window.partitionBy(*keys)
     ordered = group.orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    counted = histogram.withColumns({
-        "_up_to": F.sum(MOMENTS.rows).over(ordered),
-        "_group_rows": F.sum(MOMENTS.rows).over(group),
-    })
-    thresholds = {}
-    for name, p in levels.items():
-        reached = F.col("_up_to") >= nearest_rank_position("_group_rows", p)
-        thresholds[name] = F.min(F.when(reached, F.col(value).cast("double"))).over(group)
-    return counted.withColumns(thresholds).drop("_up_to", "_group_rows")
+    counted = histogram.withColumns(
+        {"_up_to": F.sum(ROWS).over(ordered), "_group_rows": F.sum(ROWS).over(group)}
+    )
+    named = F.array(*[
+        F.struct(F.lit(name).alias("percentile_level"), F.lit(p).alias("_p"))
+        for name, p in levels.items()
+    ])
+    expanded = counted.select("*", F.inline(named))
+    position = F.ceil(F.col("_group_rows").cast("double") * F.col("_p"))
+    return expanded.where(F.col("_up_to") >= position)
 
 
 def exact_percentiles(
     histogram: DataFrame, keys: list[str], value: str, levels=LEVELS
 ) -> DataFrame:
     """Nearest-rank thresholds from a histogram: one running count, no sort of raw rows."""
-    group = Window.partitionBy(*keys)
-    ordered = group.orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    counted = histogram.select(
-        *keys, value,
-        F.sum(MOMENTS.rows).over(ordered).alias("up_to"),
-        F.sum(MOMENTS.rows).over(group).alias("group_rows"),
+    rows = _ranked_levels(histogram, keys, value, levels)
+    thresholds = rows.groupBy(*keys, "percentile_level").agg(
+        F.min(value).cast("double").alias("threshold")
     )
-    arrays = counted.groupBy(*keys).agg(F.array(*[
-        F.min(F.when(F.col("up_to") >= nearest_rank_position("group_rows", p), F.col(value)))
-        for p in levels.values()
-    ]).alias("thresholds"))
-    return _labelled(percentile_rows(arrays, keys, "thresholds", levels), keys, "exact")
+    return _labelled(thresholds, keys, "exact")
 
 
 def with_group_size(frame: DataFrame, keys: list[str], name: str = "group_size") -> DataFrame:
@@ -111,14 +102,13 @@ def _stddev_or_zero(rows: Column, scale: int) -> Column:
     return F.when(rows >= 2, F.coalesce(population_stddev(scale), F.lit(0.0))).otherwise(0.0)
 
 
-def _statistics(rows: DataFrame, keys: list[str], scale: int) -> DataFrame:
-    """Statistics per (group, method, level) from the histogram rows that qualify."""
-    merged = rows.groupBy(*keys, "method", "percentile_level", "threshold").agg(*merged_moments())
+def _statistics(merged: DataFrame, keys: list[str], scale: int) -> DataFrame:
+    """Statistics per (group, method, level) from the merged moments of the rows above."""
     return merged.select(
         *keys, "method", "percentile_level", "threshold",
-        F.col(MOMENTS.rows).alias("qualifying_order_count"),
-        F.col(MOMENTS.values).alias("amount_value_count"),
-        _stddev_or_zero(F.col(MOMENTS.rows), scale).alias("amount_stddev_pop"),
+        F.col(ROWS).alias("qualifying_order_count"),
+        F.col(VALUES).alias("amount_value_count"),
+        _stddev_or_zero(F.col(ROWS), scale).alias("amount_stddev_pop"),
     )
 
 
@@ -129,8 +119,9 @@ def qualifying_stats(
 
     The inequality is tested once per distinct value instead of once per row.
     """
-    joined = histogram.join(thresholds, keys)
-    return _statistics(joined.where(F.col(value) >= F.col("threshold")), keys, scale)
+    rows = histogram.join(thresholds, keys).where(F.col(value) >= F.col("threshold"))
+    merged = rows.groupBy(*keys, "method", "percentile_level", "threshold").agg(*merged_moments())
+    return _statistics(merged, keys, scale)
 
 
 def exact_band_stats(
@@ -138,14 +129,10 @@ def exact_band_stats(
 ) -> DataFrame:
     """Exact thresholds and their statistics in one pass over the histogram, without a join.
 
-    Windows, expansion to levels and the final aggregate share one partitioning by group.
+    The windows, the expansion to levels and the aggregate share one partitioning by group.
     """
-    ranked = _ranked_histogram(histogram, keys, value, levels)
-    pairs = F.array(*[
-        F.struct(F.lit(name).alias("percentile_level"), F.col(name).alias("threshold"))
-        for name in levels
-    ])
-    rows = ranked.select(
-        *keys, value, *MOMENTS.all(), F.lit("exact").alias("method"), F.inline(pairs)
+    rows = _ranked_levels(histogram, keys, value, levels)
+    merged = rows.groupBy(*keys, F.lit("exact").alias("method"), "percentile_level").agg(
+        F.min(value).cast("double").alias("threshold"), *merged_moments()
     )
-    return _statistics(rows.where(F.col(value) >= F.col("threshold")), keys, scale)
+    return _statistics(merged, keys, scale)

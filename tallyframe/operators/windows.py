@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.arrays import following_days
-from .moments import MOMENTS, group_moments, merged_moments, population_variance
+from .moments import MOMENTS, ROWS, group_moments, merged_moments, population_variance
 
 # Groups with more sold rows than this look back 5 days, all others 10.
 LARGE_GROUP_ROWS = 10_000
@@ -33,14 +33,16 @@ def daily_moments(
 ) -> DataFrame:
     """Moments per (group, day, label): the only step that reads the sold rows.
 
-    A null label stays in, since it counts towards the volume of its group.
+    A null label stays in, since it counts towards the volume of its group. A null group
+    stays in too and is dropped by the steps on the daily rows, where that is cheap.
     """
-    return group_moments(sold.dropna(subset=[group, date]), [group, date, label], amount, scale)
+    return group_moments(sold.dropna(subset=[date]), [group, date, label], amount, scale)
 
 
 def group_window_days(daily: DataFrame, group: str, **rule: int) -> DataFrame:
     """Window length of every group, from the number of its sold rows."""
-    volume = daily.groupBy(group).agg(F.sum(MOMENTS.rows).alias("group_rows"))
+    rows = daily.where(F.col(group).isNotNull())
+    volume = rows.groupBy(group).agg(F.sum(ROWS).alias("group_rows"))
     return volume.select(group, volume_window_days("group_rows", **rule).alias("window_days"))
 
 
@@ -84,19 +86,16 @@ def difference_window_moments(
     edges = placed.repartition(group, label).withColumn("edge", F.explode(F.array(enter, leave)))
     keys = [group, label, "window_days"]
     changes = edges.groupBy(*keys, F.col("edge.day").alias("day")).agg(
-        *[F.sum(F.col(c) * F.col("edge.sign")).alias(c) for c in MOMENTS.all()]
+        *[F.sum(F.col(c) * F.col("edge.sign")).alias(c) for c in MOMENTS]
     )
     by_day = Window.partitionBy(group, label).orderBy("day")
-    running = [
-        F.sum(c).over(by_day.rowsBetween(Window.unboundedPreceding, 0))
-        .cast("bigint" if c in (MOMENTS.rows, MOMENTS.values) else "decimal(38,0)").alias(c)
-        for c in MOMENTS.all()
-    ]
+    so_far = by_day.rowsBetween(Window.unboundedPreceding, 0)
+    running = [F.sum(c).over(so_far).alias(c) for c in MOMENTS]
     levels = changes.select(*keys, "day", F.lead("day").over(by_day).alias("next_day"), *running)
-    return levels.where(F.col(MOMENTS.rows) > 0).select(
+    return levels.where(F.col(ROWS) > 0).select(
         group, label,
         F.explode(F.sequence("day", F.date_sub("next_day", 1))).alias("window_date"),
-        "window_days", *MOMENTS.all(),
+        "window_days", *MOMENTS,
     )
 
 
@@ -125,9 +124,9 @@ def best_candidate(
 
 def window_candidates(window_moments: DataFrame, scale: int = 2) -> DataFrame:
     """Frequency and population variance of every label in every window."""
-    kept = [c for c in window_moments.columns if c not in MOMENTS.all()]
+    kept = [c for c in window_moments.columns if c not in MOMENTS]
     return window_moments.select(
         *kept,
-        F.col(MOMENTS.rows).alias("frequency"),
+        F.col(ROWS).alias("frequency"),
         population_variance(scale).alias("population_variance"),
     )
