@@ -54,7 +54,8 @@ def sales_records(spark, sf) -> DataFrame:
 
 
 def sales_lines(spark, sf) -> DataFrame:
-    """One CSV line per order, with planted defects, and a header line per nation."""
+    """A text file with one CSV line per order, with planted defects, and a header line per
+    nation, read back as lines."""
     records = sales_records(spark, sf)
     defect = F.col("index").cast("bigint") % 23
     planted = {
@@ -81,7 +82,9 @@ def sales_lines(spark, sf) -> DataFrame:
         .otherwise(line)
     )
     headers = table(spark, sf, "nation").select(F.lit(HEADER).alias("value"))
-    return records.select(line.alias("value")).unionByName(headers)
+    path = new_path(spark, "sales-lines")
+    records.select(line.alias("value")).unionByName(headers).write.text(path)
+    return spark.read.text(path)
 
 
 def sales_file(spark, sf) -> str:

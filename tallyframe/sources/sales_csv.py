@@ -16,6 +16,7 @@ from ..functions.text import (
     month_key,
     normalize_dimension,
     strict_date,
+    strip,
     to_finite_double,
     to_long,
 )
@@ -49,6 +50,12 @@ SALES_COLUMNS = (
 )
 HEADER_START = "index,Order ID,Date,"
 
+# The columns no record may leave blank, in the order they are checked.
+REQUIRED_COLUMNS = (
+    "index", "Order ID", "Date", "Status", "Fulfilment", "ship-service-level", "Qty",
+)
+PARSED_COLUMNS = {"index": to_long, "Date": strict_date, "Qty": to_long}
+
 BYTE_ORDER_MARK = "﻿"
 RAW_SCHEMA = StructType([StructField(name, StringType()) for name in SALES_COLUMNS])
 QUOTING = {"quote": '"', "escape": '"'}
@@ -65,8 +72,14 @@ def csv_scan(spark: SparkSession, path: str | list[str]) -> DataFrame:
     )
 
 
+def _raw(name: str) -> str:
+    """Name of an unparsed field; it differs from the typed columns in more than case."""
+    return f"csv {name}"
+
+
 def _parsed(line: Column) -> Column:
-    fields = ", ".join(f"`{name}` STRING" for name in (*SALES_COLUMNS, BAD_RECORD))
+    names = [*map(_raw, SALES_COLUMNS), BAD_RECORD]
+    fields = ", ".join(f"`{name}` STRING" for name in names)
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD_RECORD, **QUOTING}
     return F.from_csv(line, fields, options)
 
@@ -88,7 +101,7 @@ def header_contract(lines: DataFrame, line: str = "value") -> DataFrame:
     fields = _parsed(_without_mark(F.col("header_line")))
     matches = fields[BAD_RECORD].isNull()
     for name in SALES_COLUMNS:
-        matches = matches & fields[name].eqNullSafe(F.lit(name))
+        matches = matches & fields[_raw(name)].eqNullSafe(F.lit(name))
     return headers.withColumn("matches", matches)
 
 
@@ -143,41 +156,41 @@ def parse_lines(lines: DataFrame, line: str = "value") -> DataFrame:
     ID, Date, Status, Fulfilment, ship-service-level, Qty, Amount.
     """
     text = F.col(line)
+    # Record and reject are generated, so each is computed once per line. As plain structs
+    # they would be copied into every expression and filter that uses one of their fields.
     record = lines.select(
-        text.alias("line"), is_header(text).alias("is_header"), _parsed(text).alias("fields")
+        text.alias("line"), is_header(text).alias("is_header"), F.inline(F.array(_parsed(text)))
+    )
+    checked = record.select("*", F.explode(F.array(_reject())).alias("reject"))
+    typed = _typed_columns(lambda name: F.col(_raw(name)))
+    return checked.select(
+        "line", "is_header", *[column.alias(name) for name, column in typed.items()],
+        token_array(F.col(_raw("promotion-ids"))).alias("promotion_ids"),
+        F.col("reject.field").alias("reject_field"),
+        F.col("reject.reason").alias("reject_reason"),
     )
 
-    def field(name: str) -> Column:
-        return F.col("fields")[name]
 
-    typed = record.select("line", "is_header", "fields", *[
-        column.alias(name) for name, column in _typed_columns(field).items()
-    ])
+def _reject() -> Column:
+    """Field and reason of the first failing check of a parsed record; null for a header."""
+    def blank(name: str) -> Column:
+        return F.coalesce(F.length(strip(_raw(name))), F.lit(0)) == 0
 
     structure = (
-        field(BAD_RECORD).isNotNull() | (F.length(F.col("line")) == 0)
-        | _malformed_quotes(F.col("line"))
+        F.col(BAD_RECORD).isNotNull() | (F.length("line") == 0) | _malformed_quotes(F.col("line"))
     )
     checks = [(structure, "csv", "structure")]
-    for name, target in (
-        ("index", "record_id"), ("Order ID", "order_id"), ("Date", "order_date"),
-        ("Status", "status"), ("Fulfilment", "fulfilment"),
-        ("ship-service-level", "service_level"), ("Qty", "qty"), ("Amount", "amount"),
-    ):
-        blank = clean_text(field(name)).isNull()
-        if name != "Amount":
-            checks.append((blank, name, "missing"))
-        checks.append((~blank & F.col(target).isNull(), name, "invalid"))
-    reject = F.coalesce(*[
+    for name in REQUIRED_COLUMNS:
+        checks.append((blank(name), name, "missing"))
+        if name in PARSED_COLUMNS:
+            checks.append((PARSED_COLUMNS[name](_raw(name)).isNull(), name, "invalid"))
+    no_number = ~blank("Amount") & to_finite_double(_raw("Amount")).isNull()
+    checks.append((no_number, "Amount", "invalid"))
+    first = F.coalesce(*[
         F.when(failed, F.struct(F.lit(name).alias("field"), F.lit(reason).alias("reason")))
         for failed, name, reason in checks
     ])
-    checked = typed.withColumn("reject", F.when(~F.col("is_header"), reject))
-    return checked.withColumns({
-        "promotion_ids": token_array("promotion_ids_raw"),
-        "reject_field": F.col("reject.field"),
-        "reject_reason": F.col("reject.reason"),
-    }).drop("fields", "reject")
+    return F.when(~F.col("is_header"), first)
 
 
 def typed_ingest(lines: DataFrame, line: str = "value") -> tuple[DataFrame, DataFrame]:
