@@ -18,10 +18,9 @@ def is_bought(status: Column | str, qty: Column | str) -> Column:
     """Sold row: positive quantity and a status that contains SHIPPED in any case.
 
     The token has no blanks, so collapsing those in the status could not change the answer.
+    A missing quantity or status gives null or false, never true.
     """
-    return F.coalesce(as_column(qty) > 0, F.lit(False)) & status_contains(
-        F.upper(as_column(status)), SOLD_TOKEN
-    )
+    return (as_column(qty) > 0) & status_contains(F.upper(as_column(status)), SOLD_TOKEN)
 
 
 def size_label(size: Column | str) -> Column:

@@ -54,8 +54,11 @@ def normalized_equals(column: Column | str, label: str) -> Column:
 
 
 def status_contains(column: Column | str, token: str) -> Column:
-    """True where an already normalized text contains ``token``; false for null."""
-    return F.coalesce(as_column(column).contains(token.upper()), F.lit(False))
+    """True where an already normalized text contains ``token``; null for null.
+
+    On a stored column the test reaches the Parquet scan as a pushed filter.
+    """
+    return as_column(column).contains(token.upper())
 
 
 def strict_date(column: Column | str, fmt: str = SALE_DATE_FORMAT) -> Column:

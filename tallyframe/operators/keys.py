@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,15 +14,17 @@ BROADCAST_ROW_BOUND = 1_000_000
 
 
 def require_keys(frame: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows with all keys present."""
-    return frame.dropna(subset=keys)
+    """Rows with all keys present, as tests that reach the scan as pushed filters."""
+    return frame.where(reduce(Column.__and__, [F.col(key).isNotNull() for key in keys]))
+
+
+def any_missing(keys: list[str]) -> Column:
+    return reduce(Column.__or__, [F.col(key).isNull() for key in keys])
 
 
 def missing_key_counts(frame: DataFrame, keys: list[str]) -> DataFrame:
     """One row: how many rows have all keys, and how many lack at least one."""
-    missing = F.lit(False)
-    for key in keys:
-        missing = missing | F.col(key).isNull()
+    missing = any_missing(keys)
     return frame.agg(
         F.count_if(~missing).alias("kept_rows"), F.count_if(missing).alias("dropped_rows")
     )

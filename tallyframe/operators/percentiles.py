@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .keys import require_keys
 from .moments import ROWS, VALUES, group_moments, merged_moments, population_stddev
 
 # The percentile levels and the default accuracy of the sketch.
@@ -53,7 +54,7 @@ def value_histogram(
     Row counts per value are merged map-side, so a group that holds a third of all rows
     arrives as a handful of counters.
     """
-    return group_moments(frame.where(F.col(value).isNotNull()), [*keys, value], amount, scale)
+    return group_moments(require_keys(frame, [value]), [*keys, value], amount, scale)
 
 
 def _ranked_levels(histogram: DataFrame, keys: list[str], value: str, levels) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .keys import require_keys
 from .moments import group_moments, mean_value
 
 
@@ -17,7 +18,7 @@ def filtered_average(
     scale: int = 2,
 ) -> DataFrame:
     """Exact average of the non-null values of the rows that meet ``condition``."""
-    rows = frame.where(condition & F.col(value).isNotNull()).dropna(subset=keys)
+    rows = require_keys(frame.where(condition), [value, *keys])
     return group_moments(rows, keys, value, scale).select(*keys, mean_value(scale).alias(name))
 
 

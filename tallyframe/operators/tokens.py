@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.arrays import token_array, token_count
 from ..sources.staging import stage
-from .keys import left_counts
+from .keys import left_counts, require_keys
 
 # Fixed value: a token counts as long-lived from this span in days.
 MIN_SPAN_DAYS = 2
@@ -37,7 +37,7 @@ def lifespans(
     ``token_rows`` hold each (record, token) once, as :func:`tokens` yields them, so counting
     rows counts distinct records and everything is merged map-side.
     """
-    return token_rows.where(F.col(date).isNotNull()).groupBy("promotion_id").agg(
+    return require_keys(token_rows, [date]).groupBy("promotion_id").agg(
         F.min(date).alias("first_date"),
         F.max(date).alias("last_date"),
         F.count(record).alias("promoted_record_count"),

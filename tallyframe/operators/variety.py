@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.sales import is_at_least_xxl
+from .keys import require_keys
 
 
 def distinct_values(frame: DataFrame, column: str) -> DataFrame:
-    return frame.select(column).where(F.col(column).isNotNull()).distinct()
+    return require_keys(frame.select(column), [column]).distinct()
 
 
 def qualifying_styles(sold: DataFrame, style: str = "style", size: str = "size") -> DataFrame:
@@ -39,7 +40,7 @@ def style_varieties(
     The only step that reads the sold rows. Duplicates of one (group, month, style, sku) are
     merged map-side. Rows without group or SKU add no variety but can still qualify a style.
     """
-    rows = sold.where(F.col(style).isNotNull()).select(
+    rows = require_keys(sold, [style]).select(
         group, month, style, sku, is_at_least_xxl(size).alias("large")
     )
     products = rows.groupBy(group, month, style, sku).agg(F.max("large").alias("large"))
@@ -56,6 +57,6 @@ def exact_median(
     The percentile aggregate keeps one counter per distinct value and merges counters
     map-side, so a large group never lies in one task as a list of rows.
     """
-    return frame.where(F.col(value).isNotNull()).groupBy(*keys).agg(
+    return require_keys(frame, [value]).groupBy(*keys).agg(
         F.median(value).alias(median), F.count(F.lit(1)).alias(size)
     )

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.arrays import following_days
+from .keys import require_keys
 from .moments import MOMENTS, ROWS, group_moments, merged_moments, population_variance
 
 # Groups with more sold rows than this look back 5 days, all others 10.
@@ -36,12 +37,12 @@ def daily_moments(
     A null label stays in, since it counts towards the volume of its group. A null group
     stays in too and is dropped by the steps on the daily rows, where that is cheap.
     """
-    return group_moments(sold.dropna(subset=[date]), [group, date, label], amount, scale)
+    return group_moments(require_keys(sold, [date]), [group, date, label], amount, scale)
 
 
 def group_window_days(daily: DataFrame, group: str, **rule: int) -> DataFrame:
     """Window length of every group, from the number of its sold rows."""
-    rows = daily.where(F.col(group).isNotNull())
+    rows = require_keys(daily, [group])
     volume = rows.groupBy(group).agg(F.sum(ROWS).alias("group_rows"))
     return volume.select(group, volume_window_days("group_rows", **rule).alias("window_days"))
 
@@ -62,7 +63,7 @@ def trailing_window_moments(
     the merge that follows keep that partitioning, so the expanded rows never move. A
     (group, label) pair holds at most one row per calendar day.
     """
-    placed = daily.dropna(subset=[label]).join(window_days, group).repartition(group, label)
+    placed = require_keys(daily, [label]).join(window_days, group).repartition(group, label)
     return (
         future_buckets(placed, date, F.col("window_days"))
         .groupBy(group, label, "window_date", "window_days")
@@ -78,7 +79,7 @@ def difference_window_moments(
     A day's moments enter the window one day later and leave it L+1 days later, so the
     work per day no longer grows with L: prefer this form for long windows.
     """
-    placed = daily.dropna(subset=[label]).join(window_days, group)
+    placed = require_keys(daily, [label]).join(window_days, group)
     enter = F.struct(F.date_add(date, 1).alias("day"), F.lit(1).alias("sign"))
     leave = F.struct(
         F.date_add(F.col(date), F.col("window_days") + 1).alias("day"), F.lit(-1).alias("sign")

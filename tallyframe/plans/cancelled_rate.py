@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.arrays import token_array, token_count
 from ..functions.sales import below_reference_flag
 from ..functions.text import status_contains
-from ..operators.keys import left_counts, lookup_join
+from ..operators.keys import left_counts, lookup_join, require_keys
 from ..operators.rates import conditional_rate, filtered_average, percentage
 from ..operators.tokens import (
     MIN_SPAN_DAYS,
@@ -63,7 +63,7 @@ def conditional_rate_by_city(
     long-lived token: with their sizes known, the orders need no shuffle to meet them.
     ``unique_records=False`` counts the tokens of all rows of a record together.
     """
-    orders = base.where(cancelled_standard()).dropna(subset=["state", "city"])
+    orders = require_keys(base.where(cancelled_standard()), ["state", "city"])
     averages = state_averages(base, scale)
     if not unique_records:
         return _rate_with_repeated_records(base, orders, averages, min_span_days, min_promotions)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import month_key
+from ..operators.keys import require_keys
 from ..operators.variety import exact_median, semi_join, style_varieties
 from ..sources.staging import stage
 from .window_winner import bought_rows
@@ -16,7 +17,7 @@ SCOPES = ("global", "group")
 def sold_varieties(sales: DataFrame, group: str = "state", date: str = "order_date") -> DataFrame:
     """Varieties per (group, month, style) of the sold rows."""
     sold = bought_rows(sales, [group, "style", "sku"]).withColumn("month", month_key(date))
-    return style_varieties(sold.where(F.col("month").isNotNull()), group=group)
+    return style_varieties(require_keys(sold, [date]), group=group)
 
 
 def median_of_varieties(varieties: DataFrame, scope: str, group: str = "state") -> DataFrame:
@@ -30,7 +31,7 @@ def median_of_varieties(varieties: DataFrame, scope: str, group: str = "state")
     large = varieties.where("has_large_size")
     if scope == "global":
         large = semi_join(varieties, large.select("style").distinct(), ["style"])
-    rows = large.where(F.col(group).isNotNull() & (F.col("variety") > 0))
+    rows = require_keys(large, [group]).where(F.col("variety") > 0)
     return exact_median(
         rows, [group, "month"], "variety", "median_variety", "qualifying_style_count"
     )

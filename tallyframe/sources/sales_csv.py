@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -207,14 +208,11 @@ def typed_ingest(lines: DataFrame, line: str = "value") -> tuple[DataFrame, Data
 
 def outcome(keys: list[str]) -> Column:
     """What becomes of a parsed line when ``keys`` are required."""
-    missing = F.lit(False)
-    for key in keys:
-        missing = missing | F.col(key).isNull()
     return (
         F.when(F.col("is_header"), "header")
         .when(F.col("reject_field").isNotNull(), F.concat(F.lit("rejected:"), "reject_field"))
         .when(~F.col("is_bought"), "not_bought")
-        .when(missing, "missing_key")
+        .when(reduce(Column.__or__, [F.col(k).isNull() for k in keys]), "missing_key")
         .otherwise("accepted")
     )
 

@@ -55,7 +55,7 @@ def test_numbers(spark):
 ])
 def test_is_bought(spark, status, qty, bought):
     row = spark.createDataFrame([(status, qty)], "s string, q bigint")
-    assert row.select(sales.is_bought("s", "q")).first()[0] is bought
+    assert bool(row.select(sales.is_bought("s", "q")).first()[0]) is bought
 
 
 SIZES = {
