@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.arrays import token_array, token_count
+from ..functions.text import strip
 from ..sources.staging import stage
 from .keys import left_counts, require_keys
 
@@ -25,10 +26,27 @@ def tokens(
     Within a row the array is already free of duplicates, so this needs no shuffle as long
     as ``record`` is unique. ``unique_records=False`` removes duplicates across rows too.
     """
-    exploded = base.select(record, date, F.explode(token_array(raw)).alias("promotion_id"))
+    exploded = require_keys(base, [raw]).select(
+        record, date, F.explode(token_array(raw)).alias("promotion_id")
+    )
     return exploded if unique_records else exploded.dropDuplicates([record, "promotion_id"])
 
 
+def token_occurrences(
+    base: DataFrame, date: str = "order_date", raw: str = "promotion_ids_raw"
+) -> DataFrame:
+    """(date, token) for every token as written, repeats included.
+
+    Enough wherever repeats change nothing, as for the span of a token, and cheaper: all of
+    it is compiled, while the array functions behind :func:`tokens` are interpreted.
+    """
+    parts = require_keys(base, [raw, date]).select(
+        date, F.explode(F.split(raw, ",")).alias("promotion_id")
+    )
+    stripped = parts.select(date, strip("promotion_id").alias("promotion_id"))
+    return stripped.where(F.length("promotion_id") > 0)
+
+
 def lifespans(
     token_rows: DataFrame, record: str = "record_id", date: str = "order_date"
 ) -> DataFrame:
@@ -47,7 +65,10 @@ def lifespans(
 def long_lived(
     token_rows: DataFrame, min_span_days: int = MIN_SPAN_DAYS, date: str = "order_date"
 ) -> DataFrame:
-    """Ids of the tokens whose first and last day lie at least ``min_span_days`` apart."""
+    """Ids of the tokens whose first and last day lie at least ``min_span_days`` apart.
+
+    ``token_rows`` may repeat a token: first and last day are the same.
+    """
     spans = token_rows.groupBy("promotion_id").agg(
         F.datediff(F.max(date), F.min(date)).alias("span_days")
     )
@@ -66,11 +87,12 @@ def temporally_valid_tokens(
     whether the token rows stay where they are (broadcast) or are shuffled by token, where
     adaptive execution splits a token that dominates.
     """
-    token_rows = tokens(base, **columns)
-    valid = long_lived(token_rows, min_span_days, columns.get("date", "order_date"))
+    named = {k: v for k, v in columns.items() if k in ("date", "raw")}
+    date = columns.get("date", "order_date")
+    valid = long_lived(token_occurrences(base, **named), min_span_days, date)
     if staged:
         valid = stage(valid, "long-lived-tokens")
-    return token_rows.join(valid, "promotion_id", "left_semi")
+    return tokens(base, **columns).join(valid, "promotion_id", "left_semi")
 
 
 def valid_token_count(valid_tokens: DataFrame, record: str = "record_id") -> DataFrame:

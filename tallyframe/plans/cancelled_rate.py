@@ -14,7 +14,7 @@ from ..operators.tokens import (
     MIN_SPAN_DAYS,
     long_lived,
     temporally_valid_tokens,
-    tokens,
+    token_occurrences,
     valid_token_count,
 )
 from ..sources.staging import stage
@@ -67,7 +67,7 @@ def conditional_rate_by_city(
     averages = state_averages(base, scale)
     if not unique_records:
         return _rate_with_repeated_records(base, orders, averages, min_span_days, min_promotions)
-    valid = long_lived(tokens(base), min_span_days)
+    valid = long_lived(token_occurrences(base), min_span_days)
     if staged:
         averages, valid = stage(averages, "state-averages"), stage(valid, "long-lived-tokens")
     candidates = lookup_join(
