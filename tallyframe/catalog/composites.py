@@ -181,12 +181,16 @@ def _(spark, sf):
 
 @query("v1_schema", """
     SELECT * FROM (VALUES ('cancelled_rate', 'schema', 'column 2'),
-        ('cancelled_rate', 'schema', 'column 3')) AS v(result, rule, row_key)""")
+        ('cancelled_rate', 'schema', 'column 3')) AS v(result, rule, row_key)
+    UNION ALL SELECT 'cancelled_rate', 'percentage', state || '|' || city FROM cancelled_rate""")
 def _(spark, sf):
-    swapped = cancelled_rate(spark, sf).select(
+    """Columns in another order give schema violations only; a wrong value is found by row."""
+    rates, contract = cancelled_rate(spark, sf), cancelled_rate_contract()
+    swapped = rates.select(
         "state", "city", "qualifying_orders", "cancelled_standard_orders", "percentage"
     )
-    return checks.schema_violations(swapped, cancelled_rate_contract())
+    raised = rates.withColumn("percentage", F.col("percentage") + 101)
+    return checks.check_all([(swapped, contract), (raised, contract)])
 
 
 @query("v2_unique_key", """

@@ -91,7 +91,8 @@ def _without_mark(line: Column) -> Column:
 
 def is_header(line: Column | str) -> Column:
     """True for a line that opens like the header; a byte order mark may lead."""
-    return _without_mark(as_column(line)).startswith(HEADER_START)
+    text = as_column(line)
+    return text.startswith(HEADER_START) | text.startswith(BYTE_ORDER_MARK + HEADER_START)
 
 
 def header_contract(lines: DataFrame, line: str = "value") -> DataFrame:

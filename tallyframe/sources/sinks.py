@@ -44,9 +44,15 @@ def read_parquet_result(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def read_csv_result(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
-    """Typed CSV result; a wrong header or a value of another type fails the read."""
+def read_csv_result(
+    spark: SparkSession, path: str, schema: StructType | str, multi_line: bool = True
+) -> DataFrame:
+    """Typed CSV result; a wrong header or a value of another type fails the read.
+
+    ``multi_line=False`` lets Spark split large files, which is right only if no cell holds a
+    line break.
+    """
     return spark.read.csv(
         path, schema=schema, header=True, enforceSchema=False, mode="FAILFAST",
-        multiLine=True, **QUOTING,
+        multiLine=multi_line, **QUOTING,
     )
