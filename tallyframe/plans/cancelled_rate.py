@@ -65,13 +65,15 @@ def conditional_rate_by_city(
     """
     orders = require_keys(base.where(cancelled_standard()), ["state", "city"])
     averages = state_averages(base, scale)
-    if not unique_records:
-        return _rate_with_repeated_records(base, orders, averages, min_span_days, min_promotions)
+    if not unique_records or min_promotions < 1:
+        return _rate_by_joined_counts(base, orders, averages, min_span_days, min_promotions)
     valid = long_lived(token_occurrences(base), min_span_days)
     if staged:
         averages, valid = stage(averages, "state-averages"), stage(valid, "long-lived-tokens")
     candidates = lookup_join(
-        orders.where(token_count("promotion_ids_raw") >= min_promotions),
+        require_keys(orders, ["record_id"]).where(
+            token_count("promotion_ids_raw") >= min_promotions
+        ),
         averages, ["state"], "inner", strategy,
     ).where(F.col("amount") < F.col("state_average_amount"))
     candidate_tokens = candidates.select(
@@ -93,7 +95,13 @@ def conditional_rate_by_city(
     ))
 
 
-def _rate_with_repeated_records(base, orders, averages, min_span_days, min_promotions):
+def _rate_by_joined_counts(
+    base: DataFrame,
+    orders: DataFrame,
+    averages: DataFrame,
+    min_span_days: int,
+    min_promotions: int,
+) -> DataFrame:
     counts = valid_token_count(temporally_valid_tokens(base, min_span_days, unique_records=False))
     counted = left_counts(orders, counts, ["record_id"], ["valid_promotion_count"])
     enriched = counted.join(averages, "state", "left")

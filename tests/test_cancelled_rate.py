@@ -79,6 +79,19 @@ def test_repeated_record_ids_count_tokens_together(spark):
     assert [tuple(r)[2:4] for r in result] == [(3, 2)]
 
 
+@pytest.mark.parametrize("unique", [True, False])
+def test_orders_without_record_id_never_qualify(spark, unique):
+    rows = [cancelled(None, "P1,P2"), cancelled(None, "P2,P3"), cancelled(2, "P1,P2,P3")]
+    result = conditional_rate_by_city(frame(spark, rows), unique_records=unique).collect()
+    assert [tuple(r)[2:4] for r in result] == [(3, 1)]
+
+
+def test_no_promotions_required(spark):
+    rows = [cancelled(1, None), cancelled(2, "P1"), cancelled(3, None, amount=99.0)]
+    result = conditional_rate_by_city(frame(spark, rows), min_promotions=0).collect()
+    assert [tuple(r)[2:4] for r in result] == [(3, 2)]
+
+
 def test_lifespans(spark):
     rows = [(1, FIRST, "A,B"), (2, THIRD, "A, A"), (3, None, "B,C"), (4, SECOND, "")]
     base = spark.createDataFrame(rows, "record_id bigint, order_date date, promotion_ids_raw string")
