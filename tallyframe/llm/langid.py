@@ -210,3 +210,25 @@ def predict_languages(
         F.col(id_col).cast("bigint").alias("doc_id"),
         F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
     ).mapInArrow(predict, "doc_id long, lang_pred string, score double, rejected boolean")
+
+
+def predicted_language(
+    docs: DataFrame, model: LanguageModel, text_col: str = "text", lang_col: str = "lang"
+) -> DataFrame:
+    """Rows of ``docs`` whose language is not rejected, with ``lang_col`` as predicted.
+
+    All columns pass through unchanged but for ``lang_col``.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def keep(batches):
+        fitted = shared.value
+        for batch in batches:
+            found = [fitted.predict(text.as_py()) for text in batch.column(text_col)]
+            place = batch.schema.get_field_index(lang_col)
+            columns = list(batch.columns)
+            columns[place] = pa.array([f[0] for f in found], batch.schema.field(place).type)
+            labelled = pa.RecordBatch.from_arrays(columns, schema=batch.schema)
+            yield labelled.filter(pa.array([not f[2] for f in found], pa.bool_()))
+
+    return docs.mapInArrow(keep, docs.schema)
