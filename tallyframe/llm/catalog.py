@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .decontaminate import contamination
 from .frames import table
 from .langid import fit_language_model, predict_languages
+from .licenses import BASE_PHRASES, scan_licenses
 from .token_counts import token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,16 +33,59 @@ def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return predict_languages(docs, model).withColumn("held_out", held_out)
 
 
+def op6_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return scan_licenses(table(spark, folder, "documents"))
+
+
+def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    judged = contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return judged.select(
+        F.col("doc_id").cast("bigint").alias("doc_id"), "n_words", "n_hit",
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated",
+    )
+
+
 def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts(table(spark, folder, "documents"), vocabulary(BYTE_LEVEL))
 
 
 QUERIES: dict[str, Query] = {
     "op3_language_id": op3_language_id,
+    "op6_license_scan": op6_license_scan,
+    "op8_decontamination": op8_decontamination,
     "op9_token_counts": op9_token_counts,
 }
 
-SQL: dict[str, str] = {}
+_CAPITALS = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+_WORDS = (
+    "regexp_extract_all(translate(coalesce(text, ''), " + _CAPITALS + "), "
+    r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+)
+
+SQL: dict[str, str] = {
+    "op8_decontamination": f"""
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
+        b AS (SELECT CAST(item_id AS VARCHAR) AS item_id, {_WORDS} AS w FROM benchmark),
+        windows AS (
+            SELECT DISTINCT item_id, least(13, len(w)) AS n,
+                   array_to_string(w[i:i + least(13, len(w)) - 1], ' ') AS words
+            FROM b, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS t(i) WHERE len(w) > 0),
+        places AS (
+            SELECT r, i, n, array_to_string(w[i:i + n - 1], ' ') AS words
+            FROM d, (SELECT DISTINCT n FROM windows) AS s, unnest(range(1, len(w) - n + 2)) AS t(i)
+            WHERE len(w) >= n),
+        hits AS (SELECT r, i, p.n, item_id FROM places AS p JOIN windows AS v
+                 ON p.words = v.words AND p.n = v.n),
+        hit_words AS (SELECT r, count(DISTINCT j) AS n_hit
+                      FROM hits, unnest(range(i, i + n)) AS t(j) GROUP BY r),
+        hit_items AS (SELECT r, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS items
+                      FROM (SELECT DISTINCT r, item_id FROM hits) GROUP BY r)
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+               coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+               coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+        FROM d LEFT JOIN hit_words USING (r) LEFT JOIN hit_items USING (r)""",
+}
 
 
 def queries() -> dict[str, Query]:
