@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .decontaminate import contamination
-from .frames import table
+from .frames import stage, table
 from .langid import fit_language_model, predict_languages
 from .licenses import BASE_PHRASES, scan_licenses
+from .packing import pack
+from .repair import decoded_documents, token_shards
 from .token_counts import token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +28,15 @@ def vocabulary(name: str) -> str:
     return str(public_tokenizers.path(name))
 
 
+def op1_repair_shards(spark: SparkSession, folder: str) -> DataFrame:
+    shards = token_shards(table(spark, folder, "documents"), vocabulary(BYTE_LEVEL))
+    return decoded_documents(stage(shards, "token-shards"))
+
+
+def op2_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return pack(table(spark, folder, "documents"), vocabulary(WORD_LEVEL))
+
+
 def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
@@ -51,6 +62,8 @@ def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_repair_shards": op1_repair_shards,
+    "op2_packing": op2_packing,
     "op3_language_id": op3_language_id,
     "op6_license_scan": op6_license_scan,
     "op8_decontamination": op8_decontamination,
