@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .decontaminate import contamination
+from .doubling import remove_repeated_windows
 from .frames import stage, table
 from .langid import fit_language_model, predict_languages
 from .licenses import BASE_PHRASES, scan_licenses
@@ -61,6 +62,13 @@ def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts(table(spark, folder, "documents"), vocabulary(BYTE_LEVEL))
 
 
+def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    kept = remove_repeated_windows(table(spark, folder, "documents"))
+    return kept.select(
+        "doc_id", "n_words", "n_removed", F.sha2(F.col("text"), 256).alias("kept_sha256")
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_repair_shards": op1_repair_shards,
     "op2_packing": op2_packing,
@@ -68,6 +76,7 @@ QUERIES: dict[str, Query] = {
     "op6_license_scan": op6_license_scan,
     "op8_decontamination": op8_decontamination,
     "op9_token_counts": op9_token_counts,
+    "op10_substring_dedup": op10_substring_dedup,
 }
 
 _CAPITALS = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"

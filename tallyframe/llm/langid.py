@@ -183,7 +183,7 @@ def fit_language_model(
     for kind in kinds:
         # twice the share by hash range on average, then the smallest hashes
         part = min(1.0, 2 * share / kind["count"] + 0.01)
-        bound = int(-(1 << 63) + part * ((1 << 64) - 1))
+        bound = min(int(-(1 << 63) + part * (1 << 64)), (1 << 63) - 1)
         few = rows.where((F.col("lang") == kind["lang"]) & (F.col("turn") <= bound))
         few = few.orderBy("turn", "text").limit(share).select("lang", "text")
         sampled = few if sampled is None else sampled.unionAll(few)
