@@ -14,6 +14,7 @@ from .langid import fit_language_model, predict_languages
 from .licenses import BASE_PHRASES, scan_licenses
 from .packing import pack
 from .repair import decoded_documents, token_shards
+from .suffix_merge import remove_repeated_bytes
 from .token_counts import token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,6 +46,13 @@ def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return predict_languages(docs, model).withColumn("held_out", held_out)
 
 
+def op5_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    kept = remove_repeated_bytes(table(spark, folder, "documents"))
+    return kept.select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2(F.col("kept"), 256).alias("kept_sha256")
+    )
+
+
 def op6_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return scan_licenses(table(spark, folder, "documents"))
 
@@ -73,6 +81,7 @@ QUERIES: dict[str, Query] = {
     "op1_repair_shards": op1_repair_shards,
     "op2_packing": op2_packing,
     "op3_language_id": op3_language_id,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_license_scan": op6_license_scan,
     "op8_decontamination": op8_decontamination,
     "op9_token_counts": op9_token_counts,
