@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from .frames import arrow_rows, stage, text_batches, whole_texts
 
-BLOCK_BYTES = 8_000_000
+BLOCK_BYTES = 5_000_000
 BUCKET_BYTES = 64_000_000
 NO_ID = np.iinfo(np.int64).min
 

@@ -12,6 +12,7 @@ from .doubling import remove_repeated_windows
 from .frames import stage, table
 from .langid import fit_language_model, predict_languages
 from .licenses import BASE_PHRASES, scan_licenses
+from .order_minhash import near_duplicates
 from .packing import pack
 from .repair import decoded_documents, token_shards
 from .suffix_merge import remove_repeated_bytes
@@ -57,6 +58,10 @@ def op6_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return scan_licenses(table(spark, folder, "documents"))
 
 
+def op7_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates(table(spark, folder, "documents"))
+
+
 def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     judged = contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     return judged.select(
@@ -83,6 +88,7 @@ QUERIES: dict[str, Query] = {
     "op3_language_id": op3_language_id,
     "op5_suffix_dedup": op5_suffix_dedup,
     "op6_license_scan": op6_license_scan,
+    "op7_order_minhash": op7_order_minhash,
     "op8_decontamination": op8_decontamination,
     "op9_token_counts": op9_token_counts,
     "op10_substring_dedup": op10_substring_dedup,
@@ -95,6 +101,7 @@ _WORDS = (
 )
 
 SQL: dict[str, str] = {
+    "op7_order_minhash": op7_order_minhash,
     "op8_decontamination": f"""
         WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
         b AS (SELECT CAST(item_id AS VARCHAR) AS item_id, {_WORDS} AS w FROM benchmark),
