@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .cover_tree import threshold_links
 from .decontaminate import contamination
 from .doubling import remove_repeated_windows
 from .frames import stage, table
@@ -47,6 +48,10 @@ def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return predict_languages(docs, model).withColumn("held_out", held_out)
 
 
+def op4_cover_tree(spark: SparkSession, folder: str) -> DataFrame:
+    return threshold_links(table(spark, folder, "embeddings"))
+
+
 def op5_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     kept = remove_repeated_bytes(table(spark, folder, "documents"))
     return kept.select(
@@ -86,6 +91,7 @@ QUERIES: dict[str, Query] = {
     "op1_repair_shards": op1_repair_shards,
     "op2_packing": op2_packing,
     "op3_language_id": op3_language_id,
+    "op4_cover_tree": op4_cover_tree,
     "op5_suffix_dedup": op5_suffix_dedup,
     "op6_license_scan": op6_license_scan,
     "op7_order_minhash": op7_order_minhash,
