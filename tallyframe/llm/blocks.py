@@ -22,17 +22,17 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .frames import arrow_rows, stage, text_batches, whole_texts
+from .frames import arrow_rows, stage, text_batches
 
 BLOCK_BYTES = 5_000_000
 BUCKET_BYTES = 64_000_000
 NO_ID = np.iinfo(np.int64).min
 
 BLOCKS = pa.schema([
-    ("block", pa.int64()), ("n_bytes", pa.int64()), ("ids", pa.binary()), ("sizes", pa.binary()),
-    ("body", pa.binary()),
+    ("block", pa.int64()), ("n_bytes", pa.int64()), ("ids", pa.binary()), ("rows", pa.binary()),
+    ("sizes", pa.binary()), ("body", pa.binary()),
 ])
-BLOCKS_DDL = "block long, n_bytes long, ids binary, sizes binary, body binary"
+BLOCKS_DDL = "block long, n_bytes long, ids binary, rows binary, sizes binary, body binary"
 
 KEYS = pa.schema([
     ("bucket", pa.int32()), ("block", pa.int64()), ("keys", pa.binary()), ("notes", pa.binary()),
@@ -56,14 +56,15 @@ class Block:
 
     number: int
     ids: np.ndarray
+    rows: np.ndarray
     sizes: np.ndarray
     data: np.ndarray
 
     @classmethod
     def of(cls, row: dict) -> Block:
         return cls(
-            row["block"], unpacked(row["ids"], "<i8"), unpacked(row["sizes"], "<i8"),
-            unpacked(row["body"], "u1"),
+            row["block"], unpacked(row["ids"], "<i8"), unpacked(row["rows"], "<i8"),
+            unpacked(row["sizes"], "<i8"), unpacked(row["body"], "u1"),
         )
 
     @property
@@ -74,24 +75,38 @@ class Block:
         return self.data[start:start + self.sizes[i]]
 
 
-def text_blocks(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """The documents as staged blocks; a null id comes before all others."""
+def text_blocks(
+    docs: DataFrame, id_col: str, text_col: str, row_col: str | None = None
+) -> DataFrame:
+    """The documents as staged blocks; a null id comes before all others.
+
+    ``row_col`` names a column of row numbers to carry along, if there is one.
+    """
 
     def build(batches):
         part, seq = TaskContext.get().partitionId(), 0
         for ids, texts in text_batches(batches, BLOCK_BYTES):
-            numbers = np.array([NO_ID if i is None else i for i in ids], np.int64)
+            doc_ids, row_ids = zip(*(tuple(pair.values()) for pair in ids))
+            rows = np.array(row_ids, np.int64)
+            numbers = np.array([NO_ID if i is None else i for i in doc_ids], np.int64)
             order = np.argsort(numbers, kind="stable")
             bodies = [texts[i].encode("utf-8") for i in order]
             sizes = np.array([len(body) for body in bodies], np.int64)
             yield arrow_rows(
                 BLOCKS, block=[part << 32 | seq], n_bytes=[int(sizes.sum())],
-                ids=[packed(numbers[order])], sizes=[packed(sizes)],
+                ids=[packed(numbers[order])], rows=[packed(rows[order])], sizes=[packed(sizes)],
                 body=[zstandard.compress(b"\n".join([*bodies, b""]), 1)],
             )
             seq += 1
 
-    rows = whole_texts(docs, id_col, text_col).mapInArrow(build, BLOCKS_DDL)
+    named = docs.select(
+        F.struct(
+            F.col(id_col).cast("bigint").alias("doc_id"),
+            (F.col(row_col) if row_col else F.lit(0)).cast("bigint").alias("row"),
+        ).alias("ids"),
+        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
+    )
+    rows = named.mapInArrow(build, BLOCKS_DDL)
     return stage(rows, "text-blocks")
 
 

@@ -15,22 +15,13 @@ from .langid import fit_language_model, predict_languages
 from .licenses import BASE_PHRASES, scan_licenses
 from .order_minhash import near_duplicates
 from .packing import pack
+from .pieces import BYTE_LEVEL, WORD_LEVEL, vocabulary
 from .repair import decoded_documents, token_shards
 from .suffix_merge import remove_repeated_bytes
 from .token_counts import token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-BYTE_LEVEL = "byte_bpe_50k.json"
-WORD_LEVEL = "word_bpe_49k.json"
-
-
-def vocabulary(name: str) -> str:
-    """Place of a public vocabulary file."""
-    import public_tokenizers
-
-    return str(public_tokenizers.path(name))
-
 
 def op1_repair_shards(spark: SparkSession, folder: str) -> DataFrame:
     shards = token_shards(table(spark, folder, "documents"), vocabulary(BYTE_LEVEL))

@@ -53,7 +53,7 @@ class CoverTree:
         cover = np.zeros(len(points), np.int64)
         radius = 1.0
         for _ in range(LEVELS):
-            wider, finer = self._refined(centers, radius)
+            wider, finer = self._refined(centers, cover, radius)
             self.parents.append(cover[wider])
             self.centers.append(wider)
             centers, cover = wider, finer
@@ -61,14 +61,21 @@ class CoverTree:
         self.leaf = cover
         self._measure()
 
-    def _refined(self, centers: np.ndarray, radius: float) -> tuple[np.ndarray, np.ndarray]:
-        """The centers and, greedily, points beyond ``radius`` of all; and each point's center."""
+    def _refined(
+        self, centers: np.ndarray, before: np.ndarray, radius: float
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """The centers and, greedily, points beyond ``radius`` of all; and each point's center.
+
+        A point that is a center, or within ``radius`` of its center ``before``, is covered.
+        """
         bound = np.float32(1 - radius * radius / 2)
         chosen = list(centers)
-        cover = np.full(len(self.points), -1, np.int64)
+        near = np.einsum("ij,ij->i", self.single, self.single[centers[before]])
+        cover = np.where(near >= bound, before, -1)
         cover[centers] = np.arange(len(centers))
-        for first in range(0, len(self.points), BLOCK):
-            rows = np.arange(first, min(first + BLOCK, len(self.points)))
+        open_points = np.flatnonzero(cover < 0)
+        for first in range(0, len(open_points), BLOCK):
+            rows = open_points[first:first + BLOCK]
             for start in range(0, len(chosen), BLOCK):
                 some = np.array(chosen[start:start + BLOCK])
                 close = self.single[rows] @ self.single[some].T

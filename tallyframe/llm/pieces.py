@@ -31,6 +31,17 @@ WORDS = re.compile(f"[^{SPACES}]+")
 
 TABLE_LIMIT = 700_000
 
+# The vocabulary files that the queries use.
+BYTE_LEVEL = "byte_bpe_50k.json"
+WORD_LEVEL = "word_bpe_49k.json"
+
+
+def vocabulary(name: str) -> str:
+    """Place of a public vocabulary file."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
 
 def ragged_positions(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Positions ``starts[i] .. starts[i] + lengths[i] - 1`` for each i, one after another."""

@@ -1,7 +1,7 @@
 """Pipeline stages: each takes (spark, docs, sf_dir) and returns a DataFrame.
 
-All but the last return the columns of ``docs``. A null or repeated doc_id is kept as it is
-unless a stage says otherwise.
+All but the last return the columns of ``docs``, in order; further columns pass through. Every
+stage works on all rows of ``docs``, and an empty table stays empty.
 """
 
 from __future__ import annotations
@@ -9,10 +9,53 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .langid import LanguageModel, fit_language_model, predicted_language
+from .decontaminate import remove_contaminated
+from .frames import stage, table
+from .langid import fit_language_model, predicted_language
+from .order_minhash import near_duplicates
+from .packing import pack
+from .pieces import WORD_LEVEL, vocabulary
+from .suffix_merge import remove_repeated_bytes
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Language identification: documents it rejects go, ``lang`` becomes the prediction."""
-    model: LanguageModel = fit_language_model(docs, F.lit(True))
+    """Language identification: documents it rejects go, ``lang`` becomes the prediction.
+
+    Null texts and texts without a letter are rejected.
+    """
+    model = fit_language_model(docs, F.lit(True))
     return predicted_language(docs, model)
+
+
+def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Order MinHash: of each group of near-duplicates the smallest doc_id stays.
+
+    Rows that share a doc_id stay or go together; rows without doc_id stay.
+    """
+    judged = near_duplicates(docs)
+    gone = judged.where(~F.col("kept")).select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+
+
+def remove_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Suffix dedup: characters of repeated 50-byte strings go, ``n_chars`` follows the text."""
+    numbered = stage(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
+    kept = remove_repeated_bytes(numbered, row_col="__row", characters=True).select(
+        F.col("row").alias("__row"), F.col("kept").cast("string").alias("__text")
+    )
+    joined = numbered.drop("text").join(kept, "__row")
+    changed = {"text": F.col("__text")}
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        changed["n_chars"] = F.length("__text").cast(kind)
+    return joined.withColumns(changed).select(*docs.columns)
+
+
+def remove_benchmark_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Decontamination: documents with too many words of benchmark windows go."""
+    return remove_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Packing: one row per piece of a training sequence."""
+    return pack(docs, vocabulary(WORD_LEVEL))

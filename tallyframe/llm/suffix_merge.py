@@ -44,9 +44,9 @@ SLICE = 2_000_000
 
 KEPT = pa.schema([
     ("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()),
-    ("n_spans", pa.int64()), ("kept", pa.binary()),
+    ("n_spans", pa.int64()), ("kept", pa.binary()), ("row", pa.int64()),
 ])
-KEPT_DDL = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
+KEPT_DDL = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary, row long"
 RUNS = pa.schema([
     ("bucket", pa.int32()), ("block", pa.int64()), ("shared", pa.binary()), ("rest", pa.binary()),
     ("ids", pa.binary()),
@@ -348,7 +348,15 @@ def answered_flags(answers: list[dict] | None, run: SuffixRun) -> np.ndarray:
     return flags
 
 
-def remove_marked(span: int, core: int, buckets: int):
+def whole_characters(data: np.ndarray, removed: np.ndarray) -> np.ndarray:
+    """The removed bytes of those characters of which all bytes are removed."""
+    leads = (data & 0xC0) != 0x80
+    number = np.cumsum(leads) - 1
+    kept = np.bincount(number, weights=~removed) > 0
+    return removed & ~kept[number]
+
+
+def remove_marked(span: int, core: int, buckets: int, characters: bool):
     def remove(batches):
         for batch in batches:
             for row in batch.to_pylist():
@@ -364,6 +372,8 @@ def remove_marked(span: int, core: int, buckets: int):
                         np.add.at(change, starts, 1)
                         np.add.at(change, starts + span, -1)
                 removed = np.cumsum(change[:-1]) > 0
+                if characters:
+                    removed = whole_characters(block.data, removed)
                 yield marked_rows(block, removed)
 
     return remove
@@ -381,18 +391,23 @@ def marked_rows(block: Block, removed: np.ndarray) -> pa.RecordBatch:
     return arrow_rows(
         KEPT, doc_id=[None if i == NO_ID else i for i in block.ids.tolist()],
         n_bytes=block.sizes, n_removed=total[ends] - total[starts],
-        n_spans=edges[ends] - edges[starts], kept=kept,
+        n_spans=edges[ends] - edges[starts], kept=kept, row=block.rows,
     )
 
 
 def remove_repeated_bytes(
     docs: DataFrame, span: int = SPAN, core: int = CORE,
-    id_col: str = "doc_id", text_col: str = "text",
+    id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None,
+    characters: bool = False,
 ) -> DataFrame:
-    """Per document: its remaining bytes, and how many bytes and runs of bytes went."""
+    """Per document: its remaining bytes, and how many bytes and runs of bytes went.
+
+    With ``characters`` a character goes only as a whole, so that what is left is UTF-8. The
+    numbers of ``row_col``, if given, come back as ``row``.
+    """
     if not span // 3 <= core <= span or span - core >= 32:
         raise ValueError("core must be at most the span, and more than the span less 32")
-    blocks = text_blocks(docs, id_col, text_col)
+    blocks = text_blocks(docs, id_col, text_col, row_col)
     buckets = bucket_count(blocks)
     sent = blocks.mapInArrow(send_anchors(span, core, buckets), KEYS_DDL)
     repeated = stage(exchange(sent, answer_repeats), "repeated-anchors")
@@ -402,4 +417,4 @@ def remove_repeated_bytes(
     both = chosen.withColumnRenamed("answers", "anchor_answers").join(
         smaller.hint("shuffle_hash"), "block", "left"
     )
-    return both.mapInArrow(remove_marked(span, core, buckets), KEPT_DDL)
+    return both.mapInArrow(remove_marked(span, core, buckets, characters), KEPT_DDL)
