@@ -11,6 +11,10 @@ from tallyframe.llm.frames import stage, table
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("language_id", stages.keep_known_languages),
+    ("order_minhash", stages.keep_one_of_each_group),
+    ("suffix_dedup", stages.remove_repeated_passages),
+    ("decontamination", stages.remove_benchmark_documents),
+    ("packing", stages.pack_sequences),
 ]
 
 #: Model fitting, sketches and packing have no SQL form; the tests use brute force.
