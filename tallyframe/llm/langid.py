@@ -15,7 +15,7 @@ of all but ``reject_share`` of the rightly classified calibration texts, and nev
 
 Defined results: a null text, and a text without a letter, gets ``und``, score 0 and
 ``rejected``. Labels that are null or empty are not learned from. Without any labelled text
-every document is ``und``. Repeated rows are predicted each. Prediction has no shuffle.
+every document is ``und``, and only those without a letter are rejected. Repeated rows are predicted each. Prediction has no shuffle.
 """
 
 from __future__ import annotations
@@ -94,8 +94,10 @@ class LanguageModel:
 
     def predict(self, text: str | None) -> tuple[str, float, bool]:
         """(language, probability, rejected) of one whole text."""
-        if not text or not self.languages or not LETTER.search(text):
+        if not text or not LETTER.search(text):
             return UNKNOWN, 0.0, True
+        if not self.languages:
+            return UNKNOWN, 0.0, False
         chances = softmax(self.logits(text) / self.temperature)
         best = int(chances.argmax())
         score = float(chances[best])
