@@ -98,7 +98,6 @@ _WORDS = (
 )
 
 SQL: dict[str, str] = {
-    "op7_order_minhash": op7_order_minhash,
     "op8_decontamination": f"""
         WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
         b AS (SELECT CAST(item_id AS VARCHAR) AS item_id, {_WORDS} AS w FROM benchmark),
