@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import checks
-from ..operators.compare import LEVEL
+from ..operators.compare import LEVEL, set_difference_counts
+from ..operators.moments import ROWS
+from ..operators.percentiles import exact_percentiles
 from ..operators.windows import difference_window_moments
 from ..plans import percentile_bands as bands
 from ..plans.cancelled_rate import conditional_rate_by_city
@@ -18,27 +20,28 @@ from ..plans.validation import (
 )
 from ..plans.variety_median import variety_median, variety_scope_comparison
 from ..plans.window_winner import dynamic_window_winner
+from ..sources.staging import stage
 from ..sources.star_schema import line_sales, order_sales, table
 from .registry import query
-from .relational import SPAN_DAYS, VOLUME_LIMIT
+from .relational import OTHER_LEVELS, SPAN_DAYS, repeated_rows, volume_limit
 
 WINNER_SQL = "SELECT * FROM window_winner"
 
 
 @query("q1_dynamic_window_winner", WINNER_SQL)
 def window_winner(spark, sf):
-    return dynamic_window_winner(line_sales(spark, sf), limit=VOLUME_LIMIT)
+    return dynamic_window_winner(line_sales(spark, sf), limit=volume_limit(spark, sf))
 
 
 @query("q1_lazy_plan", WINNER_SQL)
 def _(spark, sf):
-    return dynamic_window_winner(line_sales(spark, sf), limit=VOLUME_LIMIT, staged=False)
+    return dynamic_window_winner(line_sales(spark, sf), limit=volume_limit(spark, sf), staged=False)
 
 
 @query("q1_by_differences", WINNER_SQL)
 def _(spark, sf):
     return dynamic_window_winner(
-        line_sales(spark, sf), limit=VOLUME_LIMIT, window_moments=difference_window_moments
+        line_sales(spark, sf), limit=volume_limit(spark, sf), window_moments=difference_window_moments
     )
 
 
@@ -67,17 +70,33 @@ RATE_SQL = "SELECT * FROM cancelled_rate ORDER BY state, city"
 
 @query("q3_conditional_rate_by_city", RATE_SQL)
 def cancelled_rate(spark, sf):
-    return conditional_rate_by_city(order_sales(spark, sf), SPAN_DAYS)
+    return conditional_rate_by_city(order_sales(spark, sf), SPAN_DAYS, unique_records=True)
+
+
+@query("q3_repeated_records", """
+    SELECT state, city, count(*) AS cancelled_standard_orders,
+           count_if(coalesce(valid_promotion_count >= 3 AND amount < state_average_amount, FALSE))
+               AS qualifying_orders,
+           100.0::DOUBLE * count_if(coalesce(valid_promotion_count >= 3
+               AND amount < state_average_amount, FALSE)) / count(*) AS percentage
+    FROM repeat_rows LEFT JOIN repeat_valid_counts USING (record_id)
+         LEFT JOIN repeat_averages USING (state)
+    WHERE contains(status, 'CANCELLED') AND service_level = 'STANDARD'
+    GROUP BY state, city ORDER BY state, city""")
+def _(spark, sf):
+    return conditional_rate_by_city(repeated_rows(spark, sf), SPAN_DAYS)
 
 
-@query("q3_repeated_records", RATE_SQL)
+@query("q3_default_of_unique_records", RATE_SQL)
 def _(spark, sf):
-    return conditional_rate_by_city(order_sales(spark, sf), SPAN_DAYS, unique_records=False)
+    return conditional_rate_by_city(order_sales(spark, sf), SPAN_DAYS)
 
 
 @query("q3_without_broadcast", RATE_SQL)
 def _(spark, sf):
-    return conditional_rate_by_city(order_sales(spark, sf), SPAN_DAYS, strategy="merge")
+    return conditional_rate_by_city(
+        order_sales(spark, sf), SPAN_DAYS, unique_records=True, strategy="merge"
+    )
 
 
 STATS = """
@@ -89,7 +108,7 @@ BOTH_SQL = STATS.format(method="'exact'") + " UNION ALL " + STATS.format(method=
 
 
 def base(spark, sf):
-    return bands.sku_month_base(order_sales(spark, sf))
+    return bands.sku_month_base(order_sales(spark, sf), unique_records=True)
 
 
 def rounded(stats):
@@ -111,6 +130,20 @@ def percentile_stats(spark, sf):
     return rounded(bands.ordered_band_stats(base(spark, sf)))
 
 
+@query("q4_repeated_records", """
+    SELECT r.sku, r.month, 'exact' AS method, percentile_level, threshold,
+           count(*) AS qualifying_order_count, count(cents) AS amount_value_count,
+           round(CASE WHEN count(*) < 2 OR count(cents) = 0 THEN 0.0::DOUBLE ELSE
+               sqrt(CAST(count(cents) * sum(cents * cents) - sum(cents) * sum(cents) AS DOUBLE)
+                   / CAST(count(cents) AS DOUBLE) / CAST(count(cents) AS DOUBLE) / 10000.0) END, 6)
+               AS amount_stddev_pop
+    FROM repeat_base AS r JOIN repeat_thresholds AS t ON r.sku = t.sku AND r.month = t.month
+    WHERE promotions >= threshold GROUP BY ALL""")
+def _(spark, sf):
+    rows = bands.sku_month_base(repeated_rows(spark, sf))
+    return rounded(bands.percentile_band_stats(rows, "exact"))
+
+
 @query("q5_threshold_deltas", """
     SELECT sku, month, percentile_level, a.threshold AS approx_threshold,
            e.threshold AS exact_threshold, a.threshold - e.threshold AS threshold_delta
@@ -146,25 +179,98 @@ def _(spark, sf):
     return bands.set_difference_examples(base(spark, sf))
 
 
-# The same three with a coarse sketch, so that the methods do differ. What a sketch yields
-# depends on how its partitions merge, hence no SQL.
+# The same three on given thresholds that differ: other levels stand in for the sketch.
 
-COARSE = 2
+def given_thresholds(spark, sf):
+    rows = base(spark, sf)
+    return rows, {
+        "approx": exact_percentiles(bands.row_counts(rows), bands.KEYS, bands.VALUE, OTHER_LEVELS),
+    }
 
 
-@query("q5_threshold_deltas_coarse")
+@query("q5_threshold_deltas_given", """
+    SELECT l.sku, l.month, l.percentile_level, l.threshold AS approx_threshold,
+           e.threshold AS exact_threshold, l.threshold - e.threshold AS threshold_delta
+    FROM lower_thresholds AS l JOIN exact_thresholds AS e
+        ON l.sku = e.sku AND l.month = e.month AND l.percentile_level = e.percentile_level
+    ORDER BY l.sku, l.month, l.percentile_level""")
 def _(spark, sf):
-    return bands.threshold_deltas(base(spark, sf), accuracy=COARSE)
+    rows, given = given_thresholds(spark, sf)
+    return bands.threshold_deltas(rows, **given)
 
 
-@query("q6_set_difference_summary_coarse")
+@query("q6_set_difference_summary_given", """
+    SELECT sku, month, percentile_level, coalesce(approx_only_count, 0) AS approx_only_count,
+           coalesce(exact_only_count, 0) AS exact_only_count
+    FROM exact_thresholds LEFT JOIN difference_counts USING (sku, month, percentile_level)
+    ORDER BY sku, month, percentile_level""")
 def _(spark, sf):
-    return bands.set_difference_summary(base(spark, sf), accuracy=COARSE)
+    rows, given = given_thresholds(spark, sf)
+    return bands.set_difference_summary(rows, **given)
 
 
-@query("q7_set_difference_examples_coarse")
+@query("q7_set_difference_examples_given", """
+    SELECT * FROM differences ORDER BY sku, month, percentile_level, record_id LIMIT 100""")
 def _(spark, sf):
-    return bands.set_difference_examples(base(spark, sf), accuracy=COARSE)
+    rows, given = given_thresholds(spark, sf)
+    return bands.set_difference_examples(rows, **given)
+
+
+# With a coarse sketch the values depend on how its partitions merge; what must hold does not.
+
+COARSE = 4
+
+
+@query("q5_threshold_deltas_coarse", """
+    SELECT sku, month, percentile_level, TRUE AS is_a_value, TRUE AS within_rank_error
+    FROM exact_thresholds""")
+def _(spark, sf):
+    """Every approximate threshold is a value of its group, at most N / accuracy ranks off."""
+    counts = bands.row_counts(base(spark, sf), staged=True)
+    deltas = bands.compare_methods(base(spark, sf), accuracy=COARSE)[0]
+    share = F.when(F.col(LEVEL) == "P80", 0.8).otherwise(0.9)
+    rows, value, threshold = F.col(ROWS), F.col(bands.VALUE), F.col("approx_threshold")
+    ranked = counts.join(deltas, bands.KEYS).groupBy(*bands.KEYS, LEVEL).agg(
+        F.max(value == threshold).alias("is_a_value"), F.sum(rows).alias("n"),
+        F.sum(F.when(value < threshold, rows).otherwise(0)).alias("below"),
+        F.sum(F.when(value <= threshold, rows).otherwise(0)).alias("up_to"),
+    )
+    error = F.col("n") / COARSE + 1
+    return ranked.select(
+        *bands.KEYS, LEVEL, "is_a_value",
+        ((F.col("below") <= F.col("n") * share + error)
+         & (F.col("up_to") >= F.col("n") * share - error)).alias("within_rank_error"),
+    )
+
+
+@query("q6_set_difference_summary_coarse", """
+    SELECT sku, month, percentile_level, TRUE AS agrees FROM exact_thresholds""")
+def _(spark, sf):
+    """The summary counts exactly the rows that the full set of differences holds."""
+    _, summary, differences = bands.compare_methods(base(spark, sf), accuracy=COARSE)
+    keys = [*bands.KEYS, LEVEL]
+    counted = set_difference_counts(differences, keys, "approx_only", "exact_only")
+    counted = counted.withColumnsRenamed({"approx_only_count": "a", "exact_only_count": "e"})
+    same = (F.coalesce("a", F.lit(0)) == F.col("approx_only_count")) & (
+        F.coalesce("e", F.lit(0)) == F.col("exact_only_count")
+    )
+    return summary.join(counted, keys, "left").select(*keys, same.alias("agrees"))
+
+
+@query("q7_set_difference_examples_coarse", """
+    SELECT sku, month, percentile_level, TRUE AS holds FROM exact_thresholds""")
+def _(spark, sf):
+    """Every listed row lies between the two thresholds of its group."""
+    rows = base(spark, sf)
+    deltas, _, differences = bands.compare_methods(rows, accuracy=COARSE)
+    keys = [*bands.KEYS, LEVEL]
+    values = differences.join(rows.select("record_id", bands.VALUE), "record_id")
+    low = F.least("approx_threshold", "exact_threshold")
+    high = F.greatest("approx_threshold", "exact_threshold")
+    between = (F.col(bands.VALUE) >= low) & (F.col(bands.VALUE) < high)
+    return deltas.join(values.drop("difference_side"), keys, "left").groupBy(*keys).agg(
+        F.min(F.coalesce(between, F.lit(True))).alias("holds")
+    )
 
 
 @query("q8_group_size_profile", """
@@ -309,10 +415,23 @@ def _(spark, sf):
 
 
 @query("q10_validate_results", """
-    SELECT state AS result, state AS rule, state AS row_key FROM window_winner
-    WHERE frequency <= 0 OR population_variance < 0 OR window_days NOT IN (5, 10)""")
+    SELECT 'window_winner' AS result, 'unique_key' AS rule,
+           state || '|' || CAST(window_date AS VARCHAR) AS row_key FROM window_winner
+    UNION ALL SELECT 'variety_median', 'month', state || '|' || replace(month, '-', '/')
+    FROM global_median
+    UNION ALL SELECT * FROM (VALUES ('cancelled_rate', 'schema', 'column 2'),
+        ('cancelled_rate', 'schema', 'column 3'))
+    UNION ALL SELECT 'percentile_bands', 'multiplicity', sku || '|' || month
+    FROM exact_thresholds WHERE percentile_level = 'P80'""")
 def _(spark, sf):
+    """All four results at once, each with a planted fault of another kind."""
+    winners = stage(window_winner(spark, sf), "winners")
+    swapped = cancelled_rate(spark, sf).select(
+        "state", "city", "qualifying_orders", "cancelled_standard_orders", "percentage"
+    )
     return validate_results(
-        window_winner(spark, sf), median(spark, sf), cancelled_rate(spark, sf),
-        bands.ordered_band_stats(base(spark, sf)),
+        winners.unionByName(winners),
+        median(spark, sf).withColumn("month", F.replace("month", F.lit("-"), F.lit("/"))),
+        swapped,
+        bands.percentile_band_stats(base(spark, sf), "exact"),
     )

@@ -183,7 +183,8 @@ def cells(spark, sf) -> DataFrame:
 def _(spark, sf):
     path = new_path(spark, "cells-csv")
     write_csv(cells(spark, sf), path)
-    return read_csv_result(spark, path, "p_partkey bigint, cell string, price double")
+    schema = "p_partkey bigint, cell string, price double"
+    return read_csv_result(spark, path, schema, multi_line=True)
 
 
 @query("s6_write_parquet_checked", CELLS_SQL)

@@ -59,9 +59,29 @@ VIEWS = {
                             || ',  , ' || min(promotion_id) AS promotion_ids_raw
                  FROM order_tokens GROUP BY record_id) AS t ON o_orderkey = t.record_id""",
     "state_days": """
-        SELECT state, CAST(CASE WHEN count(*) > 1600 THEN 5 ELSE 10 END AS INTEGER)
-            AS window_days
-        FROM bought GROUP BY state""",
+        SELECT state, CAST(CASE WHEN volume > (min(volume) OVER () + max(volume) OVER ()) // 2
+                           THEN 5 ELSE 10 END AS INTEGER) AS window_days
+        FROM (SELECT state, count(*) AS volume FROM bought GROUP BY state)""",
+    # A row per line item, so that record ids repeat with other tokens in each row.
+    "repeat_rows": """
+        SELECT order_sales.*, l_partkey % 500 AS first_token, l_suppkey % 50 AS second_token
+        FROM order_sales JOIN lineitem ON record_id = l_orderkey""",
+    "repeat_tokens": """
+        SELECT DISTINCT record_id, order_date, 'PROMO-' || CAST(token AS VARCHAR) AS promotion_id
+        FROM (SELECT record_id, order_date, unnest([first_token, second_token]) AS token
+              FROM repeat_rows)""",
+    "repeat_valid_counts": """
+        SELECT record_id, count(*) AS valid_promotion_count FROM repeat_tokens
+        WHERE promotion_id IN (SELECT promotion_id FROM repeat_tokens GROUP BY promotion_id
+            HAVING CAST(max(order_date) - min(order_date) AS INTEGER) >= 2350)
+        GROUP BY record_id""",
+    "repeat_counts": """
+        SELECT record_id, count(*) AS promotions FROM repeat_tokens GROUP BY record_id""",
+    "repeat_averages": """
+        SELECT state, CAST(sum(cents) AS DOUBLE) / count(cents) / 100.0 AS state_average_amount
+        FROM repeat_rows
+        WHERE fulfilment = 'MERCHANT' AND courier_status = 'SHIPPED' AND cents IS NOT NULL
+        GROUP BY state""",
     "window_rows": """
         SELECT state, size, cents, window_days,
                CAST(unnest(generate_series(order_date + INTERVAL 1 DAY,
@@ -133,6 +153,13 @@ VIEWS = {
     "levels": """
         SELECT * FROM (VALUES ('P80', 0.8::DOUBLE), ('P90', 0.9::DOUBLE))
             AS v(percentile_level, p)""",
+    "repeat_base": """
+        SELECT sku, month, promotions, cents, count(*) OVER (PARTITION BY sku, month) AS n,
+               row_number() OVER (PARTITION BY sku, month ORDER BY promotions) AS rn
+        FROM repeat_rows JOIN repeat_counts USING (record_id)""",
+    "repeat_thresholds": """
+        SELECT sku, month, percentile_level, CAST(promotions AS DOUBLE) AS threshold
+        FROM repeat_base, levels WHERE rn = CAST(ceil(CAST(n AS DOUBLE) * p) AS BIGINT)""",
     "exact_thresholds": """
         SELECT sku, month, 'exact' AS method, percentile_level,
                CAST(promotion_count AS DOUBLE) AS threshold

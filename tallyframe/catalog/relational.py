@@ -9,7 +9,13 @@ from pyspark.sql import functions as F
 
 from ..functions.text import month_key
 from ..operators import compare
-from ..operators.keys import JOIN_STRATEGIES, dedup, exists, left_counts, lookup_join
+from ..operators.keys import (
+    JOIN_STRATEGIES,
+    dedup,
+    existing_values,
+    left_counts,
+    lookup_join,
+)
 from ..operators.moments import (
     ROWS,
     finished_moments,
@@ -53,12 +59,12 @@ from ..operators.windows import (
 from ..plans.cancelled_rate import merchant_shipped, state_averages
 from ..plans.percentile_bands import KEYS, VALUE, amount_histogram, sku_month_base
 from ..plans.window_winner import bought_rows
+from ..sources.staging import stage
 from ..sources.star_schema import line_sales, order_sales, table
 from .registry import query
 
-# The volume above which a state counts as large on the generated tables, the span in days
-# that splits their promotions, and levels that differ from the usual ones.
-VOLUME_LIMIT = 1600
+# The span in days that splits the promotions of the generated tables, and levels that differ
+# from the usual ones.
 SPAN_DAYS = 2350
 OTHER_LEVELS = {"P80": 0.5, "P90": 0.95}
 
@@ -70,14 +76,35 @@ def sold(spark, sf) -> DataFrame:
     return rows.withColumn("month", month_key("order_date"))
 
 
+def volume_limit(spark, sf) -> int:
+    """The volume above which a state counts as large: midway between the extremes, so that
+    both window lengths occur in tables of any size."""
+    volumes = count_by(sold(spark, sf), ["state"], "volume")
+    low, high = volumes.agg(F.min("volume"), F.max("volume")).first()
+    return ((low or 0) + (high or 0)) // 2
+
+
 def sold_days(spark, sf) -> tuple[DataFrame, DataFrame]:
     rows = bought_rows(line_sales(spark, sf), ["state", "size"])
-    daily = daily_moments(rows, "state", "order_date", "size", "amount")
-    return daily, group_window_days(daily, "state", limit=VOLUME_LIMIT)
+    daily = stage(daily_moments(rows, "state", "order_date", "size", "amount"), "daily-moments")
+    return daily, group_window_days(daily, "state", limit=volume_limit(spark, sf))
 
 
 def order_base(spark, sf) -> DataFrame:
-    return sku_month_base(order_sales(spark, sf))
+    return sku_month_base(order_sales(spark, sf), unique_records=True)
+
+
+def repeated_rows(spark, sf) -> DataFrame:
+    """A sale row per line item: the record id is that of the order and repeats, with other
+    tokens in each row."""
+    lines = table(spark, sf, "lineitem").select(
+        F.col("l_orderkey").alias("record_id"),
+        F.concat(
+            F.lit("PROMO-"), (F.col("l_partkey") % 500).cast("string"), F.lit(", PROMO-"),
+            (F.col("l_suppkey") % 50).cast("string"),
+        ).alias("promotion_ids_raw"),
+    )
+    return order_sales(spark, sf).drop("promotion_ids_raw").join(lines, "record_id")
 
 
 # Joins
@@ -120,7 +147,7 @@ def _(spark, sf):
 
 
 def qualifying_pair(spark, sf) -> tuple[DataFrame, DataFrame]:
-    base = order_base(spark, sf)
+    base = stage(order_base(spark, sf), "order-base")
     histogram = amount_histogram(base, staged=True)
     return tuple(
         compare.qualifying_rows(
@@ -210,7 +237,7 @@ def _(spark, sf):
 def _(spark, sf):
     counts = count_by(sold(spark, sf), ["state"])
     return counts.select(
-        "state", volume_window_days("row_count", limit=VOLUME_LIMIT).alias("window_days")
+        "state", volume_window_days("row_count", limit=volume_limit(spark, sf)).alias("window_days")
     )
 
 
@@ -246,6 +273,22 @@ def _(spark, sf):
     )
 
 
+@query("g4_variance_of_four_decimals", """
+    SELECT l_suppkey AS supplier, CAST(
+               count(*) * sum(units * units) - sum(units) * sum(units) AS DOUBLE)
+               / CAST(count(*) AS DOUBLE) / CAST(count(*) AS DOUBLE) / 100000000.0 AS variance
+    FROM (SELECT l_suppkey, CAST(round(l_extendedprice * (1 - l_discount) * 10000) AS HUGEINT)
+              AS units FROM lineitem)
+    GROUP BY l_suppkey""")
+def _(spark, sf):
+    lines = table(spark, sf, "lineitem").select(
+        F.col("l_suppkey").alias("supplier"),
+        F.round(F.col("l_extendedprice") * (1 - F.col("l_discount")), 4).alias("revenue"),
+    )
+    grouped = group_moments(lines, ["supplier"], "revenue", scale=4)
+    return grouped.select("supplier", population_variance(scale=4).alias("variance"))
+
+
 @query("g5_best_candidate", """
     SELECT state, size AS size, frequency, population_variance FROM (
         SELECT state, size, count(*) AS frequency, CASE WHEN count(cents) > 0 THEN CAST(
@@ -430,6 +473,20 @@ def _(spark, sf):
     return with_group_size(rows, KEYS).select("record_id", *KEYS, "group_size")
 
 
+@query("w1_partition_size_of_null_keys", """
+    SELECT record_id, nullif(sku, 'BUILDING') AS sku,
+           CASE WHEN record_id % 3 <> 0 THEN month END AS month,
+           count(*) OVER (PARTITION BY nullif(sku, 'BUILDING'),
+               CASE WHEN record_id % 3 <> 0 THEN month END) AS group_size
+    FROM order_sales""")
+def _(spark, sf):
+    rows = order_sales(spark, sf).select(
+        "record_id", F.nullif("sku", F.lit("BUILDING")).alias("sku"),
+        F.when(F.col("record_id") % 3 != 0, F.col("month")).alias("month"),
+    )
+    return with_group_size(rows, KEYS).select("record_id", *KEYS, "group_size")
+
+
 @query("w2_nearest_rank", "SELECT * FROM exact_thresholds")
 def _(spark, sf):
     return exact_percentiles(amount_histogram(order_base(spark, sf)), KEYS, VALUE)
@@ -475,8 +532,9 @@ def _(spark, sf):
     UNION ALL SELECT 'X', EXISTS (SELECT 1 FROM orders WHERE o_orderstatus = 'X')""")
 def _(spark, sf):
     orders = table(spark, sf, "orders")
-    found = [(s, exists(orders.where(F.col("o_orderstatus") == s))) for s in ("P", "X")]
-    return spark.createDataFrame(found, "status string, found boolean")
+    return existing_values(orders, "o_orderstatus", ["P", "X"]).withColumnRenamed(
+        "o_orderstatus", "status"
+    )
 
 
 # Set operations

@@ -2,17 +2,23 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import as_column, strip
+from .text import STRIPPED_CHARACTERS, as_column, strip
 
 
 def token_array(raw: Column | str, separator: str = ",") -> Column:
-    """Distinct non-blank tokens of a separated list, in first-seen order, case kept."""
-    parts = F.split(F.coalesce(as_column(raw), F.lit("")), separator)
-    stripped = F.transform(parts, lambda token: strip(token))
-    return F.array_distinct(F.filter(stripped, lambda token: F.length(token) > 0))
+    """Distinct non-blank tokens of a separated list, in first-seen order, case kept.
+
+    The split pattern takes the characters around a separator along, so that no token is
+    touched by itself.
+    """
+    around = f"[\\x{ord(STRIPPED_CHARACTERS[0]):02x}-\\x{ord(STRIPPED_CHARACTERS[-1]):02x}]*"
+    parts = F.split(strip(F.coalesce(as_column(raw), F.lit(""))), f"{around}{re.escape(separator)}{around}")
+    return F.array_distinct(F.array_remove(parts, ""))
 
 
 def token_count(raw: Column | str, separator: str = ",") -> Column:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..sources.sinks import column_types
+from ..sources.staging import stage
 
 VIOLATIONS = "result string, rule string, row_key string"
 
@@ -84,8 +85,15 @@ def violations(frame: DataFrame, contract: Contract) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def check_all(results: list[tuple[DataFrame, Contract]]) -> DataFrame:
-    return reduce(DataFrame.unionByName, [violations(f, c) for f, c in results])
+def check_all(results: list[tuple[DataFrame, Contract]], staged: bool = True) -> DataFrame:
+    """All violations of all results.
+
+    Each check reads its result again, so a result is staged first; ``staged=False`` is for
+    results that are stored tables already.
+    """
+    return reduce(DataFrame.unionByName, [
+        violations(stage(f, "checked-result") if staged else f, c) for f, c in results
+    ])
 
 
 def non_negative_finite(column: str) -> Column:

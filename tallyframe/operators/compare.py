@@ -13,10 +13,22 @@ LEVEL = "percentile_level"
 def keyed_difference(
     left: DataFrame, right: DataFrame, keys: list[str], left_name: str, right_name: str
 ) -> DataFrame:
-    """Rows found on one side only, labelled by side, as a bag (duplicates stay)."""
-    only_left = left.join(right, keys, "left_anti").withColumn("difference_side", F.lit(left_name))
-    only_right = right.join(left, keys, "left_anti").withColumn("difference_side", F.lit(right_name))
-    return only_left.unionByName(only_right)
+    """Rows found on one side only, labelled by side, as a bag (duplicates stay).
+
+    Each side is read once, and both are counted per key in one shuffle, merged map-side. Null
+    keys are equal to each other.
+    """
+    both = left.select(*keys, F.lit(True).alias("_left")).unionByName(
+        right.select(*keys, F.lit(False).alias("_left"))
+    )
+    counts = both.groupBy(*keys).agg(
+        F.count_if("_left").cast("int").alias("_lefts"),
+        F.count_if(~F.col("_left")).cast("int").alias("_rights"),
+    )
+    alone = counts.where((F.col("_lefts") == 0) | (F.col("_rights") == 0))
+    side = F.when(F.col("_lefts") > 0, F.lit(left_name)).otherwise(F.lit(right_name))
+    copies = F.array_repeat(side, F.col("_lefts") + F.col("_rights"))
+    return alone.select(*keys, F.explode(copies).alias("difference_side"))
 
 
 def set_difference_counts(

@@ -10,8 +10,6 @@ from pyspark.sql import functions as F
 # The join strategies that can be asked for, as Spark names them.
 JOIN_STRATEGIES = ("broadcast", "merge", "shuffle_hash")
 
-BROADCAST_ROW_BOUND = 1_000_000
-
 
 def require_keys(frame: DataFrame, keys: list[str]) -> DataFrame:
     """Rows with all keys present, as tests that reach the scan as pushed filters."""
@@ -50,9 +48,15 @@ def exists(frame: DataFrame) -> bool:
     return not frame.isEmpty()
 
 
-def within_row_bound(frame: DataFrame, bound: int = BROADCAST_ROW_BOUND) -> bool:
-    """Size check before a forced broadcast: reads at most ``bound + 1`` rows."""
-    return frame.limit(bound + 1).count() <= bound
+def existing_values(frame: DataFrame, column: str, values: list) -> DataFrame:
+    """(column, found): for each of a few values, does a row hold it? One pass, as a plan."""
+    asked = F.array(*[F.lit(value) for value in values])
+    held = frame.agg(*[
+        F.max(F.coalesce(F.col(column) == value, F.lit(False))).alias(f"_{place}")
+        for place, value in enumerate(values)
+    ])
+    flags = F.array(*[F.coalesce(f"_{place}", F.lit(False)) for place in range(len(values))])
+    return held.select(F.inline(F.arrays_zip(asked.alias(column), flags.alias("found"))))
 
 
 def lookup_join(
@@ -61,22 +65,27 @@ def lookup_join(
     keys: list[str],
     how: str = "inner",
     strategy: str | None = None,
-    bound: int = BROADCAST_ROW_BOUND,
 ) -> DataFrame:
     """Join a fact frame with a lookup frame; the strategy never changes the rows.
 
-    By default Catalyst broadcasts the lookup when its known or measured size is below the
-    session's threshold. A forced broadcast is checked first and falls back to a merge join.
+    By default Catalyst broadcasts the lookup when its known or measured size in bytes is below
+    the session's threshold. A strategy that is asked for is the one that runs: ask for a
+    broadcast only where the size of the lookup is known.
     """
     if strategy is None:
         return frame.join(lookup, keys, how)
     if strategy not in JOIN_STRATEGIES:
         raise ValueError(f"unknown join strategy {strategy!r}, expected one of {JOIN_STRATEGIES}")
-    if strategy == "broadcast" and not within_row_bound(lookup, bound):
-        strategy = "merge"
     return frame.join(lookup.hint(strategy), keys, how)
 
 
 def left_counts(frame: DataFrame, counts: DataFrame, keys: list[str], names: list[str]) -> DataFrame:
     """Left join of counts per key, zero where there is no count."""
     return zero_fill(frame.join(counts, keys, "left"), names)
+
+
+def join_null_safe(frame: DataFrame, other: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join in which null keys match each other; the keys come out once."""
+    renamed = other.withColumnsRenamed({key: f"_other_{key}" for key in keys})
+    same = [F.col(key).eqNullSafe(F.col(f"_other_{key}")) for key in keys]
+    return frame.join(renamed, reduce(Column.__and__, same)).drop(*[f"_other_{key}" for key in keys])

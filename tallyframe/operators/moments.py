@@ -2,8 +2,9 @@
 
 Amounts enter as whole minor units (cents at ``scale=2``), so their sums are integers:
 the result depends neither on the row order nor on how partial aggregates are merged,
-and two groups with equal variance compare as equal. Amounts with more decimals need a
-larger ``scale``.
+and two groups with equal variance compare as equal. An amount that is no whole number of
+units, not finite, or beyond 2^53 units fails the query, in ANSI mode or not; amounts with
+more decimals need a larger ``scale``.
 
 A square of minor units outgrows 64 bits long before its sum does, and decimal sums cost
 about ten times as much as long ones. So a value is cut into ``high * 2^31 + low``, and the
@@ -11,13 +12,15 @@ sum of squares is kept as four long sums that are put together once per group:
 
     value² = high² * 2^62 + high * low * 2^32 + low²,   low² = blocks * 2^24 + units
 
-All sums are plain long sums, merged map-side. In ANSI mode, Spark's default, a sum that
-does leave 64 bits fails instead of wrapping; for values up to 10^7 units that takes more
-than 9 * 10^11 rows in one group.
+All sums are long sums, merged map-side. A sum that leaves 64 bits fails instead of wrapping,
+whatever the ANSI setting; for values up to 10^7 units that takes more than 9 * 10^11 rows
+in one group.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,8 +40,26 @@ _UNIT_BITS = 24
 _WIDE = "decimal(38,0)"
 
 
+_EXACT_UNITS = float(1 << 53)
+
+
 def minor_units(value: Column | str, scale: int = 2) -> Column:
-    return F.rint(as_column(value) * F.lit(10.0**scale)).cast("bigint")
+    """Whole minor units; null for null, an error for an amount that they can't hold exactly."""
+    amount = as_column(value).cast("double")
+    units = F.rint(amount * F.lit(10.0**scale))
+    exact = (F.abs(units) <= _EXACT_UNITS) & (units / F.lit(10.0**scale) == amount)
+    message = F.concat(
+        F.lit("amount "), amount.cast("string"), F.lit(f" is no whole number of 10^-{scale}")
+    )
+    return F.when(exact, units.cast("bigint")).when(
+        amount.isNotNull(), F.raise_error(message).cast("bigint")
+    )
+
+
+def _checked_sum(part: Column | str, count: Column, name: str) -> Column:
+    """Sum of longs, 0 if there is none, an error if it leaves 64 bits."""
+    overflow = F.raise_error(F.lit(f"{name} leaves 64 bits")).cast("bigint")
+    return F.when(count > 0, F.coalesce(F.try_sum(part), overflow)).otherwise(F.lit(0))
 
 
 def moments(value: Column | str, scale: int = 2) -> list[Column]:
@@ -57,13 +78,19 @@ def moments(value: Column | str, scale: int = 2) -> list[Column]:
     return [
         F.count(F.lit(1)).alias(ROWS),
         F.count(as_column(value)).alias(VALUES),
-        *[F.coalesce(F.sum(part), F.lit(0)).alias(name) for name, part in sums.items()],
+        *[
+            _checked_sum(part, F.count(as_column(value)), name).alias(name)
+            for name, part in sums.items()
+        ],
     ]
 
 
 def merged_moments() -> list[Column]:
     """Aggregates that merge moment rows of a finer grain."""
-    return [F.sum(name).alias(name) for name in MOMENTS]
+    return [
+        F.when(F.count(name) > 0, _checked_sum(name, F.count(name), name)).alias(name)
+        for name in MOMENTS
+    ]
 
 
 def group_moments(
@@ -76,8 +103,11 @@ def group_moments(
 def square_sum() -> Column:
     """Sum of the squared minor units as an exact integer."""
     parts = {UNITS: 0, BLOCKS: _UNIT_BITS, CROSS: _LOW_BITS + 1, HIGH: 2 * _LOW_BITS}
-    terms = [f"cast({name} as decimal(20,0)) * {1 << bits}BD" for name, bits in parts.items()]
-    return F.expr(f"cast({' + '.join(terms)} as {_WIDE})")
+    terms = [
+        F.try_multiply(F.col(name).cast("decimal(20,0)"), F.expr(f"{1 << bits}BD")).cast(_WIDE)
+        for name, bits in parts.items()
+    ]
+    return reduce(lambda one, two: F.try_add(one, two).cast(_WIDE), terms)
 
 
 def finished_moments(frame: DataFrame) -> DataFrame:
@@ -93,19 +123,27 @@ def mean_value(scale: int = 2) -> Column:
 def population_variance(scale: int = 2) -> Column:
     """Population variance of the non-null values; null if there is none.
 
-    ``count * squares - total²`` is an exact integer and never negative. Only where it
-    leaves 38 digits does the mean-of-squares form in doubles take over.
+    With ``m`` the whole part of the mean, the squares around it are
+    ``centred = squares - 2 m total + count m²``, and ``count centred - (total - count m)²`` is
+    an exact integer that is never negative, the same for equal variances. One form serves all
+    sizes; a group so large that it leaves 38 digits fails.
     """
-    count = F.col(VALUES)
-    divisor = F.when(count > 0, count.cast("double"))
-    total = F.col(TOTAL).cast("decimal(20,0)")
+    wide = "decimal(20,0)"
+    count, total = F.col(VALUES).cast(wide), F.col(TOTAL).cast(wide)
+    middle = F.expr(f"cast({TOTAL} div nullif({VALUES}, 0) as {wide})")
+    two = F.lit(2).cast(wide)
+    centred = F.try_add(
+        F.try_subtract(square_sum(), F.try_multiply(two, F.try_multiply(middle, total).cast(_WIDE))),
+        F.try_multiply(count, F.try_multiply(middle, middle).cast(_WIDE)),
+    )
+    rest = F.try_subtract(total, F.try_multiply(count, middle))
     spread = F.try_subtract(
-        F.try_multiply(count.cast("decimal(20,0)"), square_sum()), F.try_multiply(total, total)
+        F.try_multiply(count, centred.cast(_WIDE)), F.try_multiply(rest.cast(wide), rest.cast(wide))
     )
-    mean = total.cast("double") / divisor
-    rough = F.greatest(square_sum().cast("double") / divisor - mean * mean, F.lit(0.0))
-    variance = F.coalesce(spread.cast("double") / divisor / divisor, rough)
-    return F.when(count > 0, variance / F.lit(10.0 ** (2 * scale)))
+    error = F.raise_error(F.lit("the variance of a group leaves 38 digits")).cast("double")
+    divisor = F.col(VALUES).cast("double")
+    variance = F.coalesce(spread.cast("double"), error) / divisor / divisor
+    return F.when(F.col(VALUES) > 0, variance / F.lit(10.0 ** (2 * scale)))
 
 
 def population_stddev(scale: int = 2) -> Column:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .keys import require_keys
+from .keys import join_null_safe, require_keys
 from .moments import ROWS, VALUES, group_moments, merged_moments, population_stddev
 
 # The percentile levels and the default accuracy of the sketch.
@@ -62,7 +62,8 @@ def _ranked_levels(histogram: DataFrame, keys: list[str], value: str, levels) ->
 
     Values are counted upwards: a row lies at or above the threshold exactly if the count
     up to its value reaches the nearest rank, and the smallest such value is the threshold.
-    A window partition holds the distinct values of one group, not its rows.
+    A window partition holds the distinct values of one group, not its rows, which is small
+    for counts; a value that hardly repeats makes it as large as the group.
     """
     group = Window.partitionBy(*keys)
     ordered = group.orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
@@ -93,10 +94,10 @@ def with_group_size(frame: DataFrame, keys: list[str], name: str = "group_size")
     """Group size on every row.
 
     Counting map-side and joining the counts back leaves a dominant group spread over many
-    tasks; a window over the group would gather it in one.
+    tasks; a window over the group would gather it in one. A null key is a group of its own.
     """
     counts = frame.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
-    return frame.join(counts, keys)
+    return join_null_safe(frame, counts, keys)
 
 
 def _stddev_or_zero(rows: Column, scale: int) -> Column:
@@ -120,7 +121,7 @@ def qualifying_stats(
 
     The inequality is tested once per distinct value instead of once per row.
     """
-    rows = histogram.join(thresholds, keys).where(F.col(value) >= F.col("threshold"))
+    rows = join_null_safe(histogram, thresholds, keys).where(F.col(value) >= F.col("threshold"))
     merged = rows.groupBy(*keys, "method", "percentile_level", "threshold").agg(*merged_moments())
     return _statistics(merged, keys, scale)
 

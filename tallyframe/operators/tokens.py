@@ -19,12 +19,13 @@ def tokens(
     record: str = "record_id",
     date: str = "order_date",
     raw: str = "promotion_ids_raw",
-    unique_records: bool = True,
+    unique_records: bool = False,
 ) -> DataFrame:
     """One row per distinct (record, token).
 
-    Within a row the array is already free of duplicates, so this needs no shuffle as long
-    as ``record`` is unique. ``unique_records=False`` removes duplicates across rows too.
+    A record id may stand in several rows, and duplicates are removed across them. The array
+    of a row is free of duplicates, so ``unique_records=True``, the promise that no id is
+    repeated, saves the shuffle.
     """
     exploded = require_keys(base, [raw]).select(
         record, date, F.explode(token_array(raw)).alias("promotion_id")
@@ -106,13 +107,13 @@ def with_token_count(
     base: DataFrame,
     record: str = "record_id",
     raw: str = "promotion_ids_raw",
-    unique_records: bool = True,
+    unique_records: bool = False,
     name: str = "promotion_count",
 ) -> DataFrame:
     """Add the number of distinct tokens of each record, 0 for none.
 
-    One expression when records are unique. Otherwise the tokens of all rows of a record
-    are counted together and joined back.
+    The tokens of all rows of a record are counted together and joined back. With the promise
+    ``unique_records=True`` it is one expression of the row.
     """
     if unique_records:
         return base.withColumn(name, token_count(raw))

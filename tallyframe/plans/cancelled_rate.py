@@ -50,18 +50,19 @@ def conditional_rate_by_city(
     base: DataFrame,
     min_span_days: int = MIN_SPAN_DAYS,
     min_promotions: int = MIN_VALID_PROMOTIONS,
-    unique_records: bool = True,
+    unique_records: bool = False,
     scale: int = 2,
     strategy: str | None = None,
     staged: bool = True,
 ) -> DataFrame:
     """Cancelled standard orders per (state, city), the qualifying ones, and their share.
 
-    Only orders that can still qualify, by amount and by number of tokens, have their tokens
-    exploded and matched, and they keep their group columns, so no join back to the orders
-    is needed. ``staged`` writes the two lookups first, one row per state and one per
-    long-lived token: with their sizes known, the orders need no shuffle to meet them.
-    ``unique_records=False`` counts the tokens of all rows of a record together.
+    A record id may stand in several rows, whose tokens are counted together. With the promise
+    ``unique_records=True`` only orders that can still qualify, by amount and by number of
+    tokens, have their tokens exploded and matched, and they keep their group columns, so no
+    join back to the orders is needed. ``staged`` writes the two lookups first, one row per
+    state and one per long-lived token: with their sizes known, the orders need no shuffle to
+    meet them.
     """
     orders = require_keys(base.where(cancelled_standard()), ["state", "city"])
     averages = state_averages(base, scale)

@@ -18,10 +18,11 @@ PROFILED_FIELDS = [
 def ingest_report(lines: DataFrame, keys: list[str], line: str = "value") -> DataFrame:
     """(section, metric, value) rows: outcomes of all lines, then the quality of valid rows.
 
-    Two scans of the lines in all. The first counts everything by outcome into a table of a
-    dozen rows; the second counts orders and groups.
+    The lines are parsed once; what the report needs of them is staged and read twice, to
+    count everything by outcome into a table of a dozen rows, and to count orders and groups.
     """
-    parsed = parse_lines(lines, line).withColumn("outcome", outcome(keys))
+    labelled = parse_lines(lines, line).withColumn("outcome", outcome(keys))
+    parsed = stage(labelled.select("outcome", "month", *PROFILED_FIELDS), "parsed-lines")
     counters = stage(
         field_counters(parsed, PROFILED_FIELDS, "order_date", ["outcome"]), "ingest-counters"
     )
@@ -31,7 +32,7 @@ def ingest_report(lines: DataFrame, keys: list[str], line: str = "value") -> Dat
         F.coalesce("outcome", F.lit("rows_read")).alias("metric"), "value",
     )
     is_valid = (F.col("outcome") != "header") & ~F.col("outcome").startswith("rejected:")
-    valid, _ = typed_ingest(lines, line)
+    valid = parsed.where(is_valid)
     quality = merged_counters(counters.where(is_valid), PROFILED_FIELDS).unionByName(
         group_metrics(valid, "order_id", ("sku", "month"))
     )
@@ -40,5 +41,5 @@ def ingest_report(lines: DataFrame, keys: list[str], line: str = "value") -> Dat
 
 def reject_samples(lines: DataFrame, n: int = 10, line: str = "value") -> DataFrame:
     """The first ``n`` rejected lines in order of field, reason and text."""
-    rejects = typed_ingest(lines, line)[1]
+    rejects = typed_ingest(lines, line, staged=False)[1]
     return rejects.orderBy("reject_field", "reject_reason", "line").limit(n)

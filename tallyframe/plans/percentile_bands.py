@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..operators import compare
 from ..operators.keys import require_keys
+from ..operators.moments import ROWS
 from ..operators.percentiles import (
     ACCURACY,
     LEVELS,
@@ -24,7 +26,7 @@ VALUE = "promotion_count"
 METHODS = ("approx", "exact", "both")
 
 
-def sku_month_base(base: DataFrame, unique_records: bool = True) -> DataFrame:
+def sku_month_base(base: DataFrame, unique_records: bool = False) -> DataFrame:
     """Rows with all keys present, and the number of promotions of each record.
 
     Counting happens before rows without keys are dropped, since with repeated record ids
@@ -72,17 +74,34 @@ def ordered_band_stats(sku_month: DataFrame, **options) -> DataFrame:
     )
 
 
+def row_counts(sku_month: DataFrame, staged: bool = False) -> DataFrame:
+    """Rows per (group, distinct value): all that a comparison of thresholds needs."""
+    counts = require_keys(sku_month, [VALUE]).groupBy(*KEYS, VALUE).agg(
+        F.count(F.lit(1)).alias(ROWS)
+    )
+    return stage(counts, "row-counts") if staged else counts
+
+
 def compare_methods(
-    sku_month: DataFrame, accuracy: int = ACCURACY, levels=LEVELS, staged: bool = True
+    sku_month: DataFrame,
+    accuracy: int = ACCURACY,
+    levels=LEVELS,
+    staged: bool = True,
+    approx: DataFrame | None = None,
+    exact: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Threshold deltas, counts of differing rows, and all differing rows.
 
-    The approximate thresholds are sketched once: ``staged`` keeps the three frames on the
-    same thresholds, as a sketch may come out differently when its partitions merge anew.
+    ``approx`` and ``exact`` are threshold frames to compare, stored or made in any way; those
+    not given are computed. The approximate thresholds are sketched once: ``staged`` keeps the
+    three frames on the same thresholds, as a sketch may come out differently when its
+    partitions merge anew.
     """
-    histogram = amount_histogram(sku_month, staged=staged)
-    exact = exact_percentiles(histogram, KEYS, VALUE, levels)
-    approx = approx_percentiles(sku_month, KEYS, VALUE, accuracy, levels)
+    histogram = row_counts(sku_month, staged)
+    if exact is None:
+        exact = exact_percentiles(histogram, KEYS, VALUE, levels)
+    if approx is None:
+        approx = approx_percentiles(sku_month, KEYS, VALUE, accuracy, levels)
     deltas = compare.threshold_deltas(approx, exact, KEYS)
     if staged:
         deltas = stage(deltas, "threshold-deltas")

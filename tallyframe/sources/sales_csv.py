@@ -21,6 +21,7 @@ from ..functions.text import (
     to_finite_double,
     to_long,
 )
+from .staging import stage
 
 # The columns of the sales file in file order, and how its header line starts.
 SALES_COLUMNS = (
@@ -195,9 +196,18 @@ def _reject() -> Column:
     return F.when(~F.col("is_header"), first)
 
 
-def typed_ingest(lines: DataFrame, line: str = "value") -> tuple[DataFrame, DataFrame]:
-    """Valid typed rows, and rejected lines with the field and the reason."""
+def typed_ingest(
+    lines: DataFrame, line: str = "value", staged: bool = True
+) -> tuple[DataFrame, DataFrame]:
+    """Valid typed rows, and rejected lines with the field and the reason.
+
+    The parsed lines are staged, so that both frames come from one parse; without ``staged``
+    each of them parses the lines again.
+    """
     parsed = parse_lines(lines, line).where(~F.col("is_header"))
+    if staged:
+        kept = F.when(F.col("reject_field").isNotNull(), F.col("line"))
+        parsed = stage(parsed.withColumn("line", kept), "parsed-lines")
     valid = parsed.where(F.col("reject_field").isNull()).drop(
         "line", "is_header", "reject_field", "reject_reason"
     )

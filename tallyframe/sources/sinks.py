@@ -17,9 +17,10 @@ def write_csv(
 ) -> None:
     """CSV with a header; values keep their outer blanks, existing output is refused.
 
-    ``single_file`` is meant for small aggregates: it sends all rows through one task.
+    ``single_file`` is meant for small aggregates: all rows are written by one task, which
+    leaves the tasks that make them as they are.
     """
-    out = frame.coalesce(1) if single_file else frame
+    out = frame.repartition(1) if single_file else frame
     out.write.csv(
         path, mode=_mode(overwrite), header=True,
         ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, **QUOTING,
@@ -45,12 +46,11 @@ def read_parquet_result(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_csv_result(
-    spark: SparkSession, path: str, schema: StructType | str, multi_line: bool = True
+    spark: SparkSession, path: str, schema: StructType | str, multi_line: bool = False
 ) -> DataFrame:
     """Typed CSV result; a wrong header or a value of another type fails the read.
 
-    ``multi_line=False`` lets Spark split large files, which is right only if no cell holds a
-    line break.
+    Large files are split. ``multi_line=True`` reads cells with line breaks, one task a file.
     """
     return spark.read.csv(
         path, schema=schema, header=True, enforceSchema=False, mode="FAILFAST",

@@ -8,28 +8,29 @@ enough for a broadcast join.
 
 from __future__ import annotations
 
-import tempfile
-from functools import cache
+import re
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
 SHARED_FOLDER_SETTING = "spark.checkpoint.dir"
+WAREHOUSE_SETTING = "spark.sql.warehouse.dir"
 
-
-@cache
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="tallyframe-")
+_staged: list[str] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder named by the session; a temporary one only for local runs without it."""
-    folder = spark.conf.get(SHARED_FOLDER_SETTING, None)
+    """Folder named by the session, or by its context's checkpoint directory.
+
+    Only a session whose executors are threads of the driver may do without; it stages in its
+    warehouse folder.
+    """
+    folder = spark.conf.get(SHARED_FOLDER_SETTING, None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
         raise ValueError(f"{SHARED_FOLDER_SETTING} must name a folder that all executors share")
-    return _local_folder()
+    return f"{spark.conf.get(WAREHOUSE_SETTING).rstrip('/')}/staged"
 
 
 def new_path(spark: SparkSession, label: str) -> str:
@@ -40,5 +41,16 @@ def stage(frame: DataFrame, label: str) -> DataFrame:
     """Write ``frame`` as a new table in the shared folder and return the table."""
     spark = frame.sparkSession
     path = new_path(spark, label)
+    _staged.append(path)
     frame.write.mode("error").parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
+
+
+def drop_staged(spark: SparkSession) -> int:
+    """Remove the tables this process has staged; frames built on them can't be read any more."""
+    count = 0
+    while _staged:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_staged.pop())
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        count += bool(files.delete(path, True))
+    return count

@@ -4,7 +4,7 @@ import pytest
 
 from tallyframe.operators.checks import violations
 from tallyframe.operators.compare import keyed_difference, set_difference_counts
-from tallyframe.operators.keys import lookup_join, missing_key_counts, within_row_bound
+from tallyframe.operators.keys import existing_values, lookup_join, missing_key_counts
 from tallyframe.plans.validation import (
     cancelled_rate_contract,
     percentile_bands_contract,
@@ -90,18 +90,36 @@ def test_keyed_difference_is_a_bag(spark):
     assert counts == {"a": (2, 0), "c": (0, 1)}
 
 
-def test_forced_broadcast_is_bounded(spark):
+def test_forced_strategy_is_the_one_that_runs(spark):
     facts, lookup = spark.range(50), spark.range(20)
-    assert within_row_bound(lookup, 20) and not within_row_bound(lookup, 19)
-    small = lookup_join(facts, lookup, ["id"], strategy="broadcast", bound=20)
-    large = lookup_join(facts, lookup, ["id"], strategy="broadcast", bound=19)
-    assert small.count() == large.count() == 20
-    plan = large._jdf.queryExecution().executedPlan().toString()
-    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+    for strategy, node in (
+        ("broadcast", "BroadcastHashJoin"), ("merge", "SortMergeJoin"),
+        ("shuffle_hash", "ShuffledHashJoin"),
+    ):
+        joined = lookup_join(facts, lookup, ["id"], strategy=strategy)
+        assert joined.count() == 20
+        assert node in joined._jdf.queryExecution().executedPlan().toString()
     with pytest.raises(ValueError, match="strategy"):
         lookup_join(facts, lookup, ["id"], strategy="nested")
 
 
+def test_keyed_difference_reads_each_side_once_and_matches_null_keys(spark):
+    left = spark.createDataFrame([("a", None), (None, 1), (None, None)], "k string, n int")
+    right = spark.createDataFrame([("a", None), (None, None), ("b", 2)], "k string, n int")
+    rows = keyed_difference(left, right, ["k", "n"], "l", "r")
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(str, map(tuple, rows.collect()))) == ["('b', 2, 'r')", "(None, 1, 'l')"]
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+
+
+def test_existing_values(spark):
+    frame = spark.createDataFrame([("a",), (None,)], "k string")
+    found = {row["k"]: row["found"] for row in existing_values(frame, "k", ["a", "b"]).collect()}
+    assert found == {"a": True, "b": False}
+    none = existing_values(frame.limit(0), "k", ["a", "b"]).collect()
+    assert [row["found"] for row in none] == [False, False]
+
+
 def test_missing_key_counts(spark):
     frame = spark.createDataFrame([(1, "a"), (None, "b"), (2, None)], "x int, y string")
     assert tuple(missing_key_counts(frame, ["x", "y"]).first()) == (1, 2)

@@ -155,12 +155,13 @@ def test_csv_round_trip(spark, tmp_path):
     path = str(tmp_path / "out")
     write_csv(frame, path, single_file=True)
     assert len(list((tmp_path / "out").glob("part-*"))) == 1
-    back = read_csv_result(spark, path, "id bigint, cell string, price double")
+    schema = "id bigint, cell string, price double"
+    back = read_csv_result(spark, path, schema, multi_line=True)
     assert sorted(map(tuple, back.collect())) == AWKWARD
     with pytest.raises(Exception, match="(?i)exist"):
         write_csv(frame, path)
     write_csv(frame.limit(1), path, overwrite=True)
-    assert read_csv_result(spark, path, "id bigint, cell string, price double").count() == 1
+    assert read_csv_result(spark, path, schema, multi_line=True).count() == 1
     with pytest.raises(Exception, match="(?i)header"):
         read_csv_result(spark, path, "id bigint, other string, price double").collect()
 

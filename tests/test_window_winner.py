@@ -153,14 +153,55 @@ def test_moments_are_exact_for_large_and_negative_amounts(spark):
     assert result.m == pytest.approx(float(mean / 100), rel=1e-14)
 
 
-def test_variance_beyond_38_digits_falls_back_to_doubles(spark):
+def test_variance_beyond_38_digits_fails(spark):
     grouped = spark.sql("""
         SELECT 1000000000000L AS row_count, 1000000000000L AS value_count,
                5000000000000000000L AS value_sum, 0L AS square_units, 0L AS square_blocks,
                0L AS square_cross, 9000000000000L AS square_high""")
-    variance = grouped.select(population_variance()).first()[0]
-    expected = (9e12 * 2.0**62 / 1e12 - 5e6**2) / 1e4
-    assert variance == pytest.approx(expected, rel=1e-9)
+    with pytest.raises(Exception, match="38 digits"):
+        grouped.select(population_variance()).first()
+
+
+def test_variance_of_large_amounts_close_together(spark):
+    amounts = [9e13 + k / 100 for k in (0, 1, 4, 9)]
+    frame = spark.createDataFrame([("g", x) for x in amounts] * 100, "k string, x double")
+    variance = group_moments(frame, ["k"], "x").select(population_variance()).first()[0]
+    units = [Fraction(round(x * 100)) for x in amounts]
+    mean = sum(units) / 4
+    assert variance == pytest.approx(float(sum((u - mean) ** 2 for u in units) / 4 / 10_000), rel=1e-12)
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+@pytest.mark.parametrize("amount", [1.001, float("nan"), float("inf"), 1e17])
+def test_inexact_amounts_fail(spark, ansi, amount):
+    frame = spark.createDataFrame([("g", 1.0), ("g", amount)], "k string, x double")
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        with pytest.raises(Exception, match="whole number"):
+            group_moments(frame, ["k"], "x").collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_sums_never_wrap(spark, ansi):
+    frame = spark.createDataFrame([("g", 9e13)] * 1030, "k string, x double")
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        with pytest.raises(Exception, match="64 bits"):
+            group_moments(frame, ["k"], "x").collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+def test_ties_below_a_cent_need_a_larger_scale(spark):
+    rows = [("S", 0, "A", 1.001), ("S", 0, "A", 1.004), ("S", 0, "L", 1.0), ("S", 0, "L", 1.0)]
+    found = winners(sales(spark, rows), scale=3)
+    assert found["S", 1][1:3] == ("L", 2) and found["S", 1][3] == 0.0
+    with pytest.raises(Exception, match="whole number"):
+        winners(sales(spark, rows))
 
 
 def test_no_window_gathers_rows_of_a_group(spark):
