@@ -3,7 +3,9 @@
 Equal vectors are one point with a multiplicity. Points are dealt by hash to shards of bounded
 size, and each shard builds a cover tree: nested levels of centers with halving radii, where
 every point lies within the radius of a center of each level and centers are further apart
-than it. Every node knows how far its furthest point is. Each pair of shards is then one task that
+than it. The root has all points below it; the first radius under it is the distance asked for,
+as with many dimensions a wider node is too near to everything to be dropped. Every node
+knows how far its furthest point is. Each pair of shards is then one task that
 walks both trees from the top: a pair of nodes is dropped if their distance less both covering
 radii is beyond the threshold, taken as a whole if their distance plus both radii is within
 it, and else split into its children. What is left at the lowest level is compared in double
@@ -33,7 +35,7 @@ from .frames import arrow_rows, stage
 
 COSINE = 0.9
 SHARD_POINTS = 8192
-LEVELS = 6
+LEVELS = 5
 MARGIN = 1e-4
 BLOCK = 2048
 
@@ -45,13 +47,15 @@ FOUND_DDL = "point long, links long, part long"
 class CoverTree:
     """Arrays of a cover tree: per level the centers, their parents, radii and children."""
 
-    def __init__(self, ids: np.ndarray, weights: np.ndarray, points: np.ndarray):
+    def __init__(
+        self, ids: np.ndarray, weights: np.ndarray, points: np.ndarray, cosine: float = COSINE
+    ):
         self.ids, self.weights, self.points = ids, weights, points
         self.single = points.astype(np.float32)
         centers = np.zeros(1, np.int64)
         self.centers, self.parents = [centers], []
         cover = np.zeros(len(points), np.int64)
-        radius = 1.0
+        radius = float(np.sqrt(2 - 2 * cosine))
         for _ in range(LEVELS):
             wider, finer = self._refined(centers, cover, radius)
             self.parents.append(cover[wider])
@@ -96,7 +100,7 @@ class CoverTree:
 
     def _measure(self) -> None:
         """Covering radius, weight and children of each node."""
-        self.radii, self.children = [], []
+        self.radii, self.children, self.sizes = [], [], []
         owner = self.leaf
         for level in range(LEVELS, -1, -1):
             centers = self.centers[level]
@@ -105,6 +109,7 @@ class CoverTree:
             radii = np.zeros(len(centers), np.float32)
             np.maximum.at(radii, owner, far)
             self.radii.insert(0, radii)
+            self.sizes.insert(0, np.bincount(owner, minlength=len(centers)))
             members = owner if level == LEVELS else self.parents[level]
             order = np.argsort(members, kind="stable")
             bounds = np.searchsorted(members[order], np.arange(len(centers) + 1))
@@ -207,14 +212,14 @@ def traverse(one: CoverTree, two: CoverTree, same: bool, cosine: float) -> Parts
                 widest = one.radii[below][r].max() + two.radii[below][c].max()
                 loose = 1 - (reach + widest + MARGIN) ** 2 / 2
                 i, j = np.nonzero(near >= loose)
-                if own and x == y:
-                    i, j = i[i <= j], j[i <= j]
+                if own and x == y:  # each pair once, and no point with itself
+                    once = (i < j) | ((i == j) & (one.sizes[below][r[i]] > 1))
+                    i, j = i[once], j[once]
                 far = np.sqrt(np.maximum(0, 2 - 2 * near[i, j]))
                 radii = one.radii[below][r[i]] + two.radii[below][c[j]]
-                alike = same and own
                 for k in np.flatnonzero(far - radii <= reach + MARGIN):
                     p, q = int(r[i[k]]), int(c[j[k]])
-                    if far[k] + radii[k] <= reach - MARGIN and not (alike and p == q):
+                    if far[k] + radii[k] <= reach - MARGIN and not (same and p == q):
                         parts.whole(one.points_under(below, p), two.points_under(below, q))
                     else:
                         stack.append((below, p, q))
@@ -226,11 +231,19 @@ def unit(vectors: np.ndarray) -> np.ndarray:
     return vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
 
 
-def build_tree(rows: pa.Table) -> pa.Table:
+def build_tree(cosine: float):
+    def build(rows: pa.Table) -> pa.Table:
+        return _tree_row(rows, cosine)
+
+    return build
+
+
+def _tree_row(rows: pa.Table, cosine: float) -> pa.Table:
     vectors = np.array(rows["v"].to_pylist(), np.float64)
     order = np.argsort(rows["point"].to_numpy())
     tree = CoverTree(
-        rows["point"].to_numpy()[order], rows["copies"].to_numpy()[order], unit(vectors)[order]
+        rows["point"].to_numpy()[order], rows["copies"].to_numpy()[order], unit(vectors)[order],
+        cosine,
     )
     return pa.table({
         "dim": pa.array([rows["dim"][0].as_py()], pa.int32()),
@@ -264,7 +277,7 @@ def threshold_links(
         "shard", F.pmod(F.xxhash64("point"), F.col("shards")).cast("int")
     )
     trees = stage(
-        dealt.groupBy("dim", "shard").applyInArrow(build_tree, TREES_DDL), "cover-trees"
+        dealt.groupBy("dim", "shard").applyInArrow(build_tree(cosine), TREES_DDL), "cover-trees"
     )
     pairs = sizes.select("dim", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard"), "shards")
     pairs = pairs.select(
