@@ -119,6 +119,44 @@ SQL: dict[str, str] = {
                coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
                coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
         FROM d LEFT JOIN hit_words USING (r) LEFT JOIN hit_items USING (r)""",
+    "op4_cover_tree": """
+        WITH RECURSIVE v AS (
+            SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+        usable AS (
+            SELECT vec_id, e FROM v WHERE e IS NOT NULL AND list_bool_and(
+                [x IS NOT NULL AND isfinite(x) FOR x IN e]) AND list_bool_or([x <> 0 FOR x IN e])),
+        links AS (
+            SELECT a.vec_id AS a, b.vec_id AS b FROM usable AS a JOIN usable AS b
+            ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+                AND list_cosine_similarity(a.e, b.e) >= 0.9),
+        reach AS (
+            SELECT vec_id AS a, vec_id AS b FROM v
+            UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)
+        SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id,
+               vec_id = component_id AS kept
+        FROM (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a)
+             LEFT JOIN (SELECT a AS vec_id, count(*) AS n_links FROM links GROUP BY a)
+                 USING (vec_id)""",
+    "op10_substring_dedup": r"""
+        WITH d AS (
+            SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+            FROM documents),
+        windows AS (
+            SELECT doc_id, i, array_to_string(w[i:i + 19], ' ') AS k
+            FROM d, unnest(range(1, len(w) - 18)) AS t(i) WHERE len(w) >= 20),
+        later AS (
+            SELECT doc_id, i FROM windows
+            QUALIFY row_number() OVER (PARTITION BY k ORDER BY doc_id, i) > 1),
+        gone AS (SELECT DISTINCT doc_id, j FROM later, unnest(range(i, i + 20)) AS t(j)),
+        kept AS (
+            SELECT d.doc_id, string_agg(w[j], ' ' ORDER BY j) AS k
+            FROM d, unnest(range(1, len(w) + 1)) AS t(j)
+            WHERE NOT EXISTS (SELECT 1 FROM gone WHERE gone.doc_id = d.doc_id AND gone.j = t.j)
+            GROUP BY d.doc_id)
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed,
+               sha256(coalesce(k, '')) AS kept_sha256
+        FROM d LEFT JOIN (SELECT doc_id, count(*) AS n_removed FROM gone GROUP BY doc_id)
+            USING (doc_id) LEFT JOIN kept USING (doc_id)""",
 }
 
 

@@ -135,9 +135,11 @@ def test_decontamination_of_nothing(spark):
     assert len(rows) == documents(spark).count() and not any(row["n_hit"] for row in rows)
 
 
-def test_sql_of_decontamination(spark):
-    frame = catalog.op8_decontamination(spark, "/root/testdata/sf0.001")
-    assert mismatch(frame, connect("/root/testdata/sf0.001"), catalog.oracle_sql()["op8_decontamination"]) is None
+@pytest.mark.parametrize("name", sorted(catalog.oracle_sql()))
+def test_sql(spark, name):
+    folder = "/root/testdata/sf0.001"
+    frame = catalog.queries()[name](spark, folder)
+    assert mismatch(frame, connect(folder), catalog.oracle_sql()[name]) is None
 
 
 def test_native_scans_run_no_python(spark):
