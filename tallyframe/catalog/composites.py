@@ -11,6 +11,7 @@ from ..operators.percentiles import exact_percentiles
 from ..operators.windows import difference_window_moments
 from ..plans import percentile_bands as bands
 from ..plans.cancelled_rate import conditional_rate_by_city
+from ..plans.pipeline_counters import bucket_counters, pipeline_counters, variety_counters
 from ..plans.validation import (
     cancelled_rate_contract,
     percentile_bands_contract,
@@ -23,7 +24,7 @@ from ..plans.window_winner import dynamic_window_winner
 from ..sources.staging import stage
 from ..sources.star_schema import line_sales, order_sales, table
 from .registry import query
-from .relational import OTHER_LEVELS, SPAN_DAYS, repeated_rows, volume_limit
+from .relational import OTHER_LEVELS, SPAN_DAYS, repeated_rows, sold_days, volume_limit
 
 WINNER_SQL = "SELECT * FROM window_winner"
 
@@ -45,6 +46,25 @@ def _(spark, sf):
     )
 
 
+@query("s4_pipeline_counters", """
+    SELECT 'bought_complete_rows' AS counter, count(*) AS rows FROM bought
+    WHERE style IN (SELECT style FROM styles)
+    UNION ALL SELECT 'non_qualifying_style_rows', count(*) FROM bought
+    WHERE style NOT IN (SELECT style FROM styles)
+    UNION ALL SELECT 'missing_dimension_rows', 0
+    UNION ALL SELECT 'qualifying_styles', count(*) FROM (
+        SELECT DISTINCT state, month, style FROM bought WHERE style IN (SELECT style FROM styles))
+    UNION ALL SELECT 'state_month_groups', count(*) FROM (
+        SELECT DISTINCT state, month FROM bought WHERE style IN (SELECT style FROM styles))
+    UNION ALL SELECT 'buckets_emitted', CAST(sum(window_days) AS BIGINT)
+    FROM bought JOIN state_days USING (state) WHERE size IS NOT NULL""")
+def _(spark, sf):
+    daily, days = sold_days(spark, sf)
+    return pipeline_counters(
+        variety_counters(line_sales(spark, sf)), bucket_counters(daily, days, "state", "size")
+    )
+
+
 @query("q2_variety_median", "SELECT * FROM global_median")
 def median(spark, sf):
     return variety_median(line_sales(spark, sf))

@@ -93,6 +93,11 @@ def merged_moments() -> list[Column]:
     ]
 
 
+def signed_sum(name: str, sign: Column) -> Column:
+    """Sum of a moment with signs; an error if it leaves 64 bits."""
+    return _checked_sum(F.col(name) * sign, F.count(name), name)
+
+
 def group_moments(
     frame: DataFrame, keys: list[str], value: Column | str, scale: int = 2
 ) -> DataFrame:

@@ -55,7 +55,8 @@ def exact_median(
     """Median per group (mean of the two middle values for an even count) and group size.
 
     The percentile aggregate keeps one counter per distinct value and merges counters
-    map-side, so a large group never lies in one task as a list of rows.
+    map-side: right for counts, whose distinct values are few. A group of values that hardly
+    repeat lies in one task.
     """
     return require_keys(frame, [value]).groupBy(*keys).agg(
         F.median(value).alias(median), F.count(F.lit(1)).alias(size)

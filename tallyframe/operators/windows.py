@@ -7,7 +7,14 @@ from pyspark.sql import functions as F
 
 from ..functions.arrays import following_days
 from .keys import require_keys
-from .moments import MOMENTS, ROWS, group_moments, merged_moments, population_variance
+from .moments import (
+    MOMENTS,
+    ROWS,
+    group_moments,
+    merged_moments,
+    population_variance,
+    signed_sum,
+)
 
 # Groups with more sold rows than this look back 5 days, all others 10.
 LARGE_GROUP_ROWS = 10_000
@@ -87,7 +94,7 @@ def difference_window_moments(
     edges = placed.repartition(group, label).withColumn("edge", F.explode(F.array(enter, leave)))
     keys = [group, label, "window_days"]
     changes = edges.groupBy(*keys, F.col("edge.day").alias("day")).agg(
-        *[F.sum(F.col(c) * F.col("edge.sign")).alias(c) for c in MOMENTS]
+        *[signed_sum(c, F.col("edge.sign")).alias(c) for c in MOMENTS]
     )
     by_day = Window.partitionBy(group, label).orderBy("day")
     so_far = by_day.rowsBetween(Window.unboundedPreceding, 0)
@@ -106,7 +113,7 @@ def best_candidate(
     """Most frequent label; ties go to the smaller variance, then to the smaller label.
 
     An undefined variance loses to any defined one. The minimum of an ordering struct is
-    merged map-side, so no group is ever gathered or sorted as a whole.
+    merged map-side. Spark sorts the candidates by key for it, as a struct is no hashable buffer.
     """
     order = F.struct(
         (-F.col(frequency)).alias("negative_frequency"),
