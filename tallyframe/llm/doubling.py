@@ -26,7 +26,7 @@ from .blocks import (
     bucket_count, bucketed, exchange, key_rows, mix, packed, sliding, text_blocks, unpacked,
     with_answers,
 )
-from .frames import arrow_rows, stage
+from .frames import arrow_rows, row_by_row, stage
 
 KEPT = pa.schema([
     ("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()),
@@ -88,20 +88,19 @@ def _alive(row: dict, inside: np.ndarray) -> np.ndarray:
 
 def send_level(length: int, window: int, buckets: int):
     def send(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                _, _, prints, docs = words_of(Block.of(row))
-                inside = whole_windows(docs, window)
-                alive = _alive(row, inside)
-                if not len(alive):
-                    continue
-                least = sliding(run_prints(prints, length), window - length + 1, np.minimum)[alive]
-                keys = bucketed(mix(least), buckets)
-                found, first = np.unique(keys, return_index=True)
-                # windows next to each other share their run; only another place is a repeat
-                where = run_places(prints, alive, length, window)
-                many = repeats_inside(keys, where, found)
-                yield key_rows(row["block"], found, many)
+        for row in row_by_row(batches):
+            _, _, prints, docs = words_of(Block.of(row))
+            inside = whole_windows(docs, window)
+            alive = _alive(row, inside)
+            if not len(alive):
+                continue
+            least = sliding(run_prints(prints, length), window - length + 1, np.minimum)[alive]
+            keys = bucketed(mix(least), buckets)
+            found, first = np.unique(keys, return_index=True)
+            # windows next to each other share their run; only another place is a repeat
+            where = run_places(prints, alive, length, window)
+            many = repeats_inside(keys, where, found)
+            yield key_rows(row["block"], found, many)
 
     return send
 
@@ -130,22 +129,21 @@ def repeats_inside(keys: np.ndarray, places: np.ndarray, found: np.ndarray) -> n
 
 def keep_level(length: int, window: int, buckets: int):
     def keep(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                _, _, prints, docs = words_of(Block.of(row))
-                inside = whole_windows(docs, window)
-                alive = _alive(row, inside)
-                bits = np.zeros(len(inside), bool)
-                if len(alive):
-                    least = sliding(run_prints(prints, length), window - length + 1, np.minimum)[alive]
-                    keys = bucketed(mix(least), buckets)
-                    found = np.unique(keys)
-                    repeated = answered_bits(row["answers"], found)
-                    bits[alive] = repeated[np.searchsorted(found, keys)]
-                yield arrow_rows(
-                    SURVIVORS, block=[row["block"]], alive=[int(bits.sum())],
-                    bits=[packed(np.packbits(bits))],
-                )
+        for row in row_by_row(batches):
+            _, _, prints, docs = words_of(Block.of(row))
+            inside = whole_windows(docs, window)
+            alive = _alive(row, inside)
+            bits = np.zeros(len(inside), bool)
+            if len(alive):
+                least = sliding(run_prints(prints, length), window - length + 1, np.minimum)[alive]
+                keys = bucketed(mix(least), buckets)
+                found = np.unique(keys)
+                repeated = answered_bits(row["answers"], found)
+                bits[alive] = repeated[np.searchsorted(found, keys)]
+            yield arrow_rows(
+                SURVIVORS, block=[row["block"]], alive=[int(bits.sum())],
+                bits=[packed(np.packbits(bits))],
+            )
 
     return keep
 
@@ -163,23 +161,22 @@ def full_keys(prints: np.ndarray, alive: np.ndarray, window: int, buckets: int):
 
 def send_full(window: int, buckets: int):
     def send(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                block = Block.of(row)
-                _, _, prints, docs = words_of(block)
-                alive = _alive(row, whole_windows(docs, window))
-                if not len(alive):
-                    continue
-                low, more, first, _, _ = full_keys(prints, alive, window, buckets)
-                ids = block.ids[docs[first]]
-                which, bounds = bucket_bounds(low)
-                cuts = list(zip(bounds[:-1], bounds[1:]))
-                yield arrow_rows(
-                    KEYS, bucket=which, block=[row["block"]] * len(which),
-                    keys=[low[a:b].astype("<u8").tobytes() + more[a:b].astype("<u8").tobytes()
-                          for a, b in cuts],
-                    notes=[packed(ids[a:b].astype("<i8")) for a, b in cuts],
-                )
+        for row in row_by_row(batches):
+            block = Block.of(row)
+            _, _, prints, docs = words_of(block)
+            alive = _alive(row, whole_windows(docs, window))
+            if not len(alive):
+                continue
+            low, more, first, _, _ = full_keys(prints, alive, window, buckets)
+            ids = block.ids[docs[first]]
+            which, bounds = bucket_bounds(low)
+            cuts = list(zip(bounds[:-1], bounds[1:]))
+            yield arrow_rows(
+                KEYS, bucket=which, block=[row["block"]] * len(which),
+                keys=[low[a:b].astype("<u8").tobytes() + more[a:b].astype("<u8").tobytes()
+                      for a, b in cuts],
+                notes=[packed(ids[a:b].astype("<i8")) for a, b in cuts],
+            )
 
     return send
 
@@ -204,21 +201,20 @@ def answer_first(rows: pa.Table) -> pa.Table:
 
 def remove_later(window: int, buckets: int):
     def remove(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                block = Block.of(row)
-                starts, ends, prints, docs = words_of(block)
-                inside = whole_windows(docs, window)
-                alive = _alive(row, inside)
-                change = np.zeros(len(docs) + 1, np.int64)
-                if len(alive):
-                    low, _, first, place, group = full_keys(prints, alive, window, buckets)
-                    stays = answered_bits(row["answers"], low)
-                    gone = place[~(stays[group] & (place == first[group]))]
-                    np.add.at(change, gone, 1)
-                    np.add.at(change, gone + window, -1)
-                kept = np.cumsum(change[:-1]) == 0
-                yield kept_rows(block, starts, ends, docs, kept)
+        for row in row_by_row(batches):
+            block = Block.of(row)
+            starts, ends, prints, docs = words_of(block)
+            inside = whole_windows(docs, window)
+            alive = _alive(row, inside)
+            change = np.zeros(len(docs) + 1, np.int64)
+            if len(alive):
+                low, _, first, place, group = full_keys(prints, alive, window, buckets)
+                stays = answered_bits(row["answers"], low)
+                gone = place[~(stays[group] & (place == first[group]))]
+                np.add.at(change, gone, 1)
+                np.add.at(change, gone + window, -1)
+            kept = np.cumsum(change[:-1]) == 0
+            yield kept_rows(block, starts, ends, docs, kept)
 
     return remove
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -42,6 +43,24 @@ def text_batches(
             size += len(text)
     if texts:
         yield ids, texts
+    release_memory()
+
+
+def row_by_row(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """Rows as dictionaries, one at a time, for tables with large cells."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield batch.slice(i, 1).to_pylist()[0]
+    release_memory()
+
+
+def release_memory() -> None:
+    """Give freed memory back at the end of a task: a worker process serves many tasks, and what
+    one of them held would otherwise stay with it."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only in some C libraries
+    if trim is not None:
+        trim(0)
 
 
 def arrow_rows(schema: pa.Schema, **columns) -> pa.RecordBatch:
@@ -50,4 +69,7 @@ def arrow_rows(schema: pa.Schema, **columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, schema=schema)
 
 
-__all__ = ["BATCH_CHARS", "arrow_rows", "stage", "table", "text_batches", "whole_texts"]
+__all__ = [
+    "BATCH_CHARS", "arrow_rows", "release_memory", "row_by_row", "stage", "table", "text_batches",
+    "whole_texts",
+]

@@ -35,12 +35,12 @@ from .blocks import (
     bucketed, exchange, key_rows, mix, packed, sliding, text_blocks, unpacked, with_answers,
 )
 from .doubling import BYTE_VALUES
-from .frames import arrow_rows, stage
+from .frames import arrow_rows, row_by_row, stage
 from .pieces import ragged_positions
 
 SPAN = 50
 CORE = 24
-SLICE = 2_000_000
+SLICE = 400_000
 
 KEPT = pa.schema([
     ("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()),
@@ -126,19 +126,18 @@ def doc_of(block: Block, at: np.ndarray) -> np.ndarray:
 
 def send_anchors(span: int, core: int, buckets: int):
     def send(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                block = Block.of(row)
-                at, prints, _ = anchors(block, span, core)
-                if not len(at):
-                    continue
-                keys = bucketed(prints, buckets)
-                order = np.argsort(keys, kind="stable")
-                keys, docs = keys[order], doc_of(block, at)[order]
-                begins = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
-                low = np.minimum.reduceat(docs, begins)
-                high = np.maximum.reduceat(docs, begins)
-                yield key_rows(row["block"], keys[begins], low < high)
+        for row in row_by_row(batches):
+            block = Block.of(row)
+            at, prints, _ = anchors(block, span, core)
+            if not len(at):
+                continue
+            keys = bucketed(prints, buckets)
+            order = np.argsort(keys, kind="stable")
+            keys, docs = keys[order], doc_of(block, at)[order]
+            begins = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+            low = np.minimum.reduceat(docs, begins)
+            high = np.maximum.reduceat(docs, begins)
+            yield key_rows(row["block"], keys[begins], low < high)
 
     return send
 
@@ -203,11 +202,10 @@ class SuffixRun:
 
 def send_runs(span: int, core: int, buckets: int):
     def send(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                run = SuffixRun(Block.of(row), row["answers"], span, core, buckets)
-                if len(run.entry):
-                    yield run.send(row["block"])
+        for row in row_by_row(batches):
+            run = SuffixRun(Block.of(row), row["answers"], span, core, buckets)
+            if len(run.entry):
+                yield run.send(row["block"])
 
     return send
 
@@ -358,23 +356,22 @@ def whole_characters(data: np.ndarray, removed: np.ndarray) -> np.ndarray:
 
 def remove_marked(span: int, core: int, buckets: int, characters: bool):
     def remove(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                block = Block.of(row)
-                run = SuffixRun(block, row["anchor_answers"], span, core, buckets)
-                change = np.zeros(len(block.data) + 1, np.int32)
-                if len(run.entry):
-                    flags = answered_flags(row["answers"], run)[run.entry]
-                    later = run.ids > run.least[run.entry]
-                    gone = np.where(later, run.masks, flags & run.masks)
-                    for d in range(span - core + 1):
-                        starts = run.at[(gone >> np.uint32(d) & np.uint32(1)).astype(bool)] - d
-                        np.add.at(change, starts, 1)
-                        np.add.at(change, starts + span, -1)
-                removed = np.cumsum(change[:-1]) > 0
-                if characters:
-                    removed = whole_characters(block.data, removed)
-                yield marked_rows(block, removed)
+        for row in row_by_row(batches):
+            block = Block.of(row)
+            run = SuffixRun(block, row["anchor_answers"], span, core, buckets)
+            change = np.zeros(len(block.data) + 1, np.int32)
+            if len(run.entry):
+                flags = answered_flags(row["answers"], run)[run.entry]
+                later = run.ids > run.least[run.entry]
+                gone = np.where(later, run.masks, flags & run.masks)
+                for d in range(span - core + 1):
+                    starts = run.at[(gone >> np.uint32(d) & np.uint32(1)).astype(bool)] - d
+                    np.add.at(change, starts, 1)
+                    np.add.at(change, starts + span, -1)
+            removed = np.cumsum(change[:-1]) > 0
+            if characters:
+                removed = whole_characters(block.data, removed)
+            yield marked_rows(block, removed)
 
     return remove
 
