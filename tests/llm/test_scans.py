@@ -11,7 +11,7 @@ from tallyframe.llm import catalog
 from tallyframe.llm.cover_tree import threshold_links
 from tallyframe.llm.decontaminate import contamination, remove_contaminated
 from tallyframe.llm.langid import LanguageModel, fit, fit_language_model, predict_languages
-from tallyframe.llm.licenses import BASE_PHRASES, scan_licenses
+from tallyframe.llm.licenses import BASE_PHRASES, TEMPLATES, scan_licenses
 
 from ..support import connect, mismatch
 from .samples import documents, nothing, prose, texts, words
@@ -87,6 +87,26 @@ def test_license_templates(spark):
     assert found[3]["score"] == 1.0
 
 
+def test_license_templates_take_no_votes_from_each_other(spark):
+    texts = {label: text for label, (text, _) in TEMPLATES.items()}
+    stray = "mozilla waived gnu fee redistribution commons creative neighboring compliance"
+    rows = [
+        (1, "under the GNU General Public License and " + texts["mit"]),
+        (2, f" {prose(7, 50)} ".join(texts[label] for label in sorted(texts))),
+        *[(10 + k, f"{stray} {prose(20 + k, 100)} {texts[label]} {prose(40 + k, 100)} {stray}")
+          for k, label in enumerate(sorted(texts))],
+        *[(100 + k, texts["isc"]) for k in range(40)],  # a hot source
+        (200, "form code subject source terms source form " + prose(8, 30) + " mozilla public license"),
+    ]
+    found = {row["doc_id"]: row for row in scan_licenses(documents(spark, rows)).collect()}
+    assert found[1]["labels"] == "gpl,mit"
+    assert found[2]["labels"] == ",".join(sorted(texts))
+    for k, label in enumerate(sorted(texts)):
+        assert found[10 + k]["labels"] == label and found[10 + k]["score"] == 1.0
+    assert all(found[100 + k]["labels"] == "isc" for k in range(40))
+    assert found[200]["labels"] == "mpl" and found[200]["score"] == 3 / 8
+
+
 def brute_contamination(rows, items):
     windows = {}
     for item, text in items:
