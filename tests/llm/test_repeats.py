@@ -11,7 +11,9 @@ from hypothesis import strategies as st
 from tallyframe.llm import catalog
 from tallyframe.llm.components import connected_components
 from tallyframe.llm.doubling import remove_repeated_windows
-from tallyframe.llm.order_minhash import labelled, near_duplicates, similarity, sketches
+from tallyframe.llm.order_minhash import (
+    exact_keys, labelled, near_duplicates, short_length, similarity, sketches,
+)
 from tallyframe.llm.suffix_merge import merged, remove_repeated_bytes
 
 from .samples import documents, nothing, prose, texts, words
@@ -187,6 +189,28 @@ def test_near_duplicates(spark):
     assert all(row["kept"] == (i == row["group_id"]) for i, row in found.items())
 
 
+def test_near_duplicates_of_short_texts(spark):
+    rows = []
+    for k, size in enumerate([5, 7, 8, 9, 10, 11, 12, 13, 14, 15, 16] * 6):
+        base = prose(700 + k, size + 2).split()
+        cuts = [base[1:-1], base[1:], base[:-1], base] if k % 2 else [base, base[1:-1], base[:-1], base[2:]]
+        rows += [(10 * k + i, " ".join(cut)) for i, cut in enumerate(cuts)]
+    rows += [(5001, prose(900, 5) + " a"), (5002, prose(900, 5) + " b"), (5003, "Solo"), (5004, "solo!")]
+    found = {row["doc_id"]: row for row in near_duplicates(documents(spark, rows)).collect()}
+    assert {i: row["group_id"] for i, row in found.items()} == brute_groups(rows)
+
+
+def test_short_texts_of_the_asked_similarity_share_an_exact_key():
+    assert short_length(0.8, 5) == 14 and short_length(0.5, 5) >= 10
+    for a in range(1, 15):
+        for b in range(a, 15):
+            for common in range(a + 1):
+                one = np.arange(1, a + 1, dtype=np.uint64)
+                two = np.r_[np.arange(100, 100 + b - common, dtype=np.uint64), one[a - common:]]
+                shared = set(exact_keys(one, 0.8)[0].tolist()) & set(exact_keys(two, 0.8)[0].tolist())
+                assert shared or similarity(one, two, 0.8) == 0.0
+
+
 def test_near_duplicates_whole_table(spark):
     rows = [tuple(r) for r in spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text").collect()]
     found = {row["doc_id"]: row["group_id"] for row in catalog.op7_order_minhash(spark, FOLDER).collect()}
