@@ -14,7 +14,8 @@ of all but ``reject_share`` of the rightly classified calibration texts, and nev
 ``REJECT_BELOW``, where even the best guess is more likely wrong than right.
 
 Defined results: a null text, and a text without a letter, gets ``und``, score 0 and
-``rejected``. Labels that are null or empty are not learned from. Without any labelled text
+``rejected``. Labels that are null or empty are not learned from. More labels than
+``max_languages`` are an error; none is dropped. Without any labelled text
 every document is ``und``, and only those without a letter are rejected. Repeated rows are predicted each. Prediction has no shuffle.
 """
 
@@ -36,6 +37,7 @@ GRAMS = (1, 2, 3, 4)
 BUCKET_BITS = 16
 WIDTH = 16
 REJECT_BELOW = 0.4
+MAX_LANGUAGES = 200
 LETTER = re.compile(r"[^\W\d_]")
 
 SCHEMA = pa.schema([
@@ -163,12 +165,15 @@ def calibrate(model: LanguageModel, texts: list[str], classes: np.ndarray, share
 def fit_language_model(
     docs: DataFrame, trainable: Column, sample_rows: int = 4000, sample_chars: int = 4_000_000,
     id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+    max_languages: int = MAX_LANGUAGES,
 ) -> LanguageModel:
     """Fit on at most ``sample_rows`` rows for which ``trainable`` holds.
 
     Rows are chosen per language by a hash of the id, so the sample does not depend on
     how the table is partitioned; of a longer text the first ``sample_chars / sample_rows``
-    characters are learned from, which bounds what comes to the driver.
+    characters are learned from, which bounds what comes to the driver. Every label is learned;
+    more than ``max_languages`` of them raise a ValueError, as the model and the number of
+    samples drawn grow with them.
     """
     chars = max(1, sample_chars // sample_rows)
     rows = docs.where(trainable & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()
@@ -177,7 +182,12 @@ def fit_language_model(
         F.substring(F.col(text_col).cast("string"), 1, chars).alias("text"),
         F.xxhash64(F.col(id_col).cast("string")).alias("turn"),
     )
-    kinds = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(200).collect()
+    kinds = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang")
+    kinds = kinds.limit(max_languages + 1).collect()
+    if len(kinds) > max_languages:
+        raise ValueError(
+            f"{lang_col!r} has more than {max_languages} labels; raise max_languages or merge them"
+        )
     if not kinds:
         return fit([], [])
     share = math.ceil(sample_rows / len(kinds))

@@ -47,6 +47,19 @@ def test_language_of_awkward_texts(spark):
     assert none.predict("text") == ("und", 0.0, False) and none.predict("!") == ("und", 0.0, True)
 
 
+def test_no_language_is_dropped(spark):
+    labels = [f"l{k:03d}" for k in range(201)]
+    frame = spark.createDataFrame(
+        [(k, f"text {label}", label) for k, label in enumerate(labels)], "doc_id long, text string, lang string"
+    )
+    with pytest.raises(ValueError, match="more than 200 labels"):
+        fit_language_model(frame, F.lit(True))
+    with pytest.raises(ValueError, match="more than 2 labels"):
+        fit_language_model(frame.limit(3), F.lit(True), max_languages=2)
+    few = frame.where("doc_id < 3")
+    assert fit_language_model(few, F.lit(True), max_languages=3).languages == labels[:3]
+
+
 def brute_base(text):
     parts = words(text)
     places = []
