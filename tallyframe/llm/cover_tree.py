@@ -13,8 +13,8 @@ precision. Bounds use single precision with a margin far above its rounding erro
 
 A task puts out, per point, how many vectors it is linked to and the smallest point of its
 part, not the pairs, so a large group of near copies costs no more rows than it has members.
-The number of shard pairs grows with the square of the shards: the join compares all with
-all unless the bounds prune it.
+The number of shard pairs grows with the square of the shards, and so do the trees shipped: the
+join brings every tree to every other, and only the walk within a task drops pairs of nodes.
 
 Defined results: vectors that are null, zero, or have null or non-finite components link with
 nothing, as do vectors of different length; a row without id links with nothing and is kept;
