@@ -4,7 +4,9 @@ Documents are put in ascending order of doc_id (ties by a hash of the text) by a
 shuffle, encoded, and cut into shards of about ``shard_tokens`` ids. In each shard, frequent
 pairs of neighbouring symbols are replaced by nonterminals, over and over; many pairs are
 replaced in one round, and where two of them overlap the more frequent one wins. No pair
-crosses the end of a document. A shard holds its rules, the length that each rule expands to,
+crosses the end of a document. Rounds end when no pair occurs ``least_count`` times, or when
+a round would replace less than ``least_gain`` of the symbols: a passage that makes up less of
+a shard stays as it is. Both cost compression only, and decoding is exact with any. A shard holds its rules, the length that each rule expands to,
 the remaining symbols, and per document its id and how many symbols it has, so that any
 range of ids is decoded from the symbols that cover it.
 
@@ -138,8 +140,14 @@ class Shard:
         return self.expand(self.symbols[first:last])[start - skipped:start - skipped + count]
 
 
-def compress(doc_ids: list, parts: list[np.ndarray], base: int) -> Shard:
-    """Build the grammar of the documents' ids; ``base`` is above every id."""
+def compress(
+    doc_ids: list, parts: list[np.ndarray], base: int,
+    least_count: int = LEAST_COUNT, least_gain: float = LEAST_GAIN,
+) -> Shard:
+    """Build the grammar of the documents' ids; ``base`` is above every id.
+
+    With ``least_gain`` 0 it goes on until no pair occurs ``least_count`` times.
+    """
     sizes = np.array([len(part) for part in parts], np.int64)
     symbols = np.concatenate(parts).astype(np.int64)
     last = np.zeros(len(symbols), bool)
@@ -151,12 +159,12 @@ def compress(doc_ids: list, parts: list[np.ndarray], base: int) -> Shard:
         keys = symbols[:-1] << 32 | symbols[1:]
         keys[last[:-1]] = -1
         pairs, counts = run_lengths(np.sort(keys))
-        frequent = np.flatnonzero((counts >= LEAST_COUNT) & (pairs >= 0))
+        frequent = np.flatnonzero((counts >= least_count) & (pairs >= 0))
         if not len(frequent):
             break
         chosen = frequent[np.argsort(-counts[frequent], kind="stable")[:RULES_A_ROUND]]
         at, rule = places_of(keys, pairs[chosen])
-        if len(at) < LEAST_GAIN * len(symbols):
+        if not len(at) or len(at) < least_gain * len(symbols):
             break
         used = np.unique(rule)
         number = np.zeros(len(chosen), np.int64)
@@ -215,6 +223,7 @@ def places_of(keys: np.ndarray, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarr
 def token_shards(
     docs: DataFrame, vocabulary: str, end_id: int = 0, shard_tokens: int = SHARD_TOKENS,
     id_col: str = "doc_id", text_col: str = "text",
+    least_count: int = LEAST_COUNT, least_gain: float = LEAST_GAIN,
 ) -> DataFrame:
     """Shards of the encoded documents, ``part`` and ``seq`` in ascending doc_id order."""
     ordered = whole_texts(docs, id_col, text_col).repartitionByRange(
@@ -228,7 +237,7 @@ def token_shards(
         held_ids, held, size = [], [], 0
 
         def full():
-            shard = compress(held_ids, held, base)
+            shard = compress(held_ids, held, base, least_count, least_gain)
             return arrow_rows(
                 SHARDS, part=[part], seq=[seq], n_docs=[len(held)], n_tokens=[size],
                 n_symbols=[len(shard.symbols)], n_rules=[len(shard.left)],

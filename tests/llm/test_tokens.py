@@ -80,6 +80,18 @@ def test_grammar_makes_rules():
     assert shard.rule_lengths.max() > 2
 
 
+def test_grammar_goes_on_as_far_as_asked():
+    chance = np.random.default_rng(3)
+    passage = np.arange(50_000, 50_010)
+    parts = [np.r_[chance.integers(0, 50_000, 500), passage].astype(np.uint32) for _ in range(40)]
+    ids = list(range(len(parts)))
+    whole = compress(ids, parts, 50_010, least_gain=0)
+    assert whole.rule_lengths.max() == len(passage)
+    assert [found.tolist() for _, found in whole.documents()] == [part.tolist() for part in parts]
+    assert len(compress(ids, parts, 50_010).left) == 0
+    assert len(compress(ids, parts, 50_010, least_count=41, least_gain=0).left) == 0
+
+
 @pytest.mark.parametrize("whole", [True, False])
 def test_token_shards(spark, whole):
     encode = library(BYTE_LEVEL)
