@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.staging import new_path
 from .cover_tree import threshold_links
 from .decontaminate import contamination
 from .doubling import remove_repeated_windows
@@ -17,8 +18,11 @@ from .order_minhash import near_duplicates
 from .packing import pack
 from .pieces import BYTE_LEVEL, WORD_LEVEL, vocabulary
 from .repair import decoded_documents, token_shards
+from .spelling import variant_groups
 from .suffix_merge import remove_repeated_bytes
 from .token_counts import token_counts
+from .warc import read_archives, write_archives
+from .whitening import whitened_vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -78,6 +82,29 @@ def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return variant_groups(table(spark, folder, "documents"))
+
+
+def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitened_vectors(table(spark, folder, "embeddings"))
+
+
+def op13_warc(spark: SparkSession, folder: str) -> DataFrame:
+    # the place of a row in its file names the row, whichever task reads it
+    row = F.concat_ws("#", "_metadata.file_path", "_metadata.row_index")
+    pages = table(spark, folder, "pages").select("page_id", "url", "html", row.alias("row_name"))
+    archives = write_archives(pages, new_path(spark, "archives"), row_col="row_name")
+    found = read_archives(spark, archives, payloads=False)
+    sound = F.when(F.col("problem").isNull(), F.col("record_type")).otherwise(
+        F.raise_error(F.concat("record_id", F.lit(": "), "problem"))
+    )
+    return found.select(
+        "page_id", "payload_bytes", "payload_digest", sound.cast("string").alias("record_type"),
+        F.col("refers_to_page").alias("refers_to"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_repair_shards": op1_repair_shards,
     "op2_packing": op2_packing,
@@ -89,6 +116,9 @@ QUERIES: dict[str, Query] = {
     "op8_decontamination": op8_decontamination,
     "op9_token_counts": op9_token_counts,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_whitening": op12_whitening,
+    "op13_warc": op13_warc,
 }
 
 _CAPITALS = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
@@ -98,6 +128,61 @@ _WORDS = (
 )
 
 SQL: dict[str, str] = {
+    # SQL has no crc32: one step per byte over a table of 256 values, as in its definition.
+    "op11_spelling_variants": f"""
+        WITH RECURSIVE steps AS (
+            SELECT list(list_reduce([CAST(i AS BIGINT)] || range(8), lambda c, k:
+                CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t
+            FROM range(256) AS r(i)),
+        runs AS (
+            SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS owner, unnest(regexp_extract_all(
+                translate(coalesce(text, ''), {_CAPITALS}), '[a-zÀ-ÿ]+')) AS run FROM documents),
+        counted AS (SELECT owner, run, count(*) AS c FROM runs WHERE length(run) >= 7 GROUP BY ALL),
+        marked AS (
+            SELECT run, c, xor(4294967295, list_reduce([4294967295::BIGINT] || list_transform(
+                regexp_extract_all(hex(encode(owner || ':' || run)), '..'),
+                lambda x: CAST('0x' || x AS BIGINT)),
+                lambda a, b: xor(a >> 8, t[1 + xor(a & 255, b)]))) AS h FROM counted, steps),
+        slipped AS (
+            SELECT c, CASE WHEN h % 31 = 0 THEN left(run, h % length(run))
+                || substr(run, h % length(run) + 2) ELSE run END AS word FROM marked),
+        v AS (SELECT word, CAST(sum(c) AS BIGINT) AS n FROM slipped WHERE length(word) >= 7
+              GROUP BY word HAVING sum(c) >= 2),
+        holes AS (SELECT word, i, left(word, i) AS a, substr(word, i + 2) AS b
+                  FROM v, unnest(range(length(word))) AS t(i)),
+        shorter AS (SELECT DISTINCT h.word, v.word AS other FROM holes AS h JOIN v ON v.word = h.a || h.b),
+        near AS (
+            SELECT x.word, y.word AS other FROM holes AS x JOIN holes AS y
+            ON x.a = y.a AND x.b = y.b AND x.word <> y.word
+            UNION ALL SELECT word, other FROM shorter UNION ALL SELECT other, word FROM shorter),
+        best AS (
+            SELECT near.word, count(*) AS n_near, first(other ORDER BY v.n DESC, other) AS other,
+                   max(v.n) AS other_n FROM near JOIN v ON v.word = near.other GROUP BY near.word),
+        judged AS (
+            SELECT v.word, v.n, coalesce(n_near, 0) AS n_near,
+                   CASE WHEN other_n >= 10 * v.n THEN other END AS form,
+                   CASE WHEN other_n >= 10 * v.n THEN other_n END AS form_n
+            FROM v LEFT JOIN best USING (word)),
+        chains AS (
+            SELECT word, word AS tip, 0 AS steps FROM judged
+            UNION ALL SELECT c.word, j.form, c.steps + 1
+            FROM chains AS c JOIN judged AS j ON j.word = c.tip WHERE j.form IS NOT NULL),
+        ends AS (SELECT word, arg_max(tip, steps) AS root FROM chains GROUP BY word)
+        SELECT word, form, root, n, n_near, form_n FROM judged JOIN ends USING (word)""",
+    "op13_warc": """
+        WITH p AS (
+            SELECT page_id, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS h FROM pages),
+        bits AS (
+            SELECT page_id, body, h, CAST(unhex(h) AS BIT)::VARCHAR AS b,
+                   row_number() OVER (PARTITION BY body ORDER BY page_id) AS k,
+                   min(page_id) OVER (PARTITION BY body) AS first_page FROM p)
+        SELECT page_id, octet_length(encode(body)) AS payload_bytes,
+               list_aggregate([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                   1 + CAST(CAST(lpad(substr(b, 5 * i + 1, 5), 64, '0') AS BIT) AS BIGINT), 1)
+                   FOR i IN range(32)], 'string_agg', '') AS payload_digest,
+               CASE WHEN k = 1 THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN k > 1 THEN first_page END AS refers_to
+        FROM bits""",
     "op8_decontamination": f"""
         WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
         b AS (SELECT CAST(item_id AS VARCHAR) AS item_id, {_WORDS} AS w FROM benchmark),
