@@ -8,7 +8,8 @@ from ..operators import checks
 from ..operators.compare import LEVEL, set_difference_counts
 from ..operators.moments import ROWS
 from ..operators.percentiles import exact_percentiles
-from ..operators.windows import difference_window_moments
+from ..operators.running import band_stats_by_blocks
+from ..operators.windows import blocked_window_moments, difference_window_moments
 from ..plans import percentile_bands as bands
 from ..plans.cancelled_rate import conditional_rate_by_city
 from ..plans.pipeline_counters import bucket_counters, pipeline_counters, variety_counters
@@ -46,6 +47,13 @@ def _(spark, sf):
     )
 
 
+@query("q1_by_blocks", WINNER_SQL)
+def _(spark, sf):
+    return dynamic_window_winner(
+        line_sales(spark, sf), limit=volume_limit(spark, sf), window_moments=blocked_window_moments
+    )
+
+
 @query("s4_pipeline_counters", """
     SELECT 'bought_complete_rows' AS counter, count(*) AS rows FROM bought
     WHERE style IN (SELECT style FROM styles)
@@ -150,6 +158,12 @@ def percentile_stats(spark, sf):
     return rounded(bands.ordered_band_stats(base(spark, sf)))
 
 
+@query("q4_exact_by_blocks", STATS.format(method="'exact'"))
+def _(spark, sf):
+    histogram = bands.amount_histogram(base(spark, sf))
+    return rounded(band_stats_by_blocks(histogram, bands.KEYS, bands.VALUE))
+
+
 @query("q4_repeated_records", """
     SELECT r.sku, r.month, 'exact' AS method, percentile_level, threshold,
            count(*) AS qualifying_order_count, count(cents) AS amount_value_count,

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.ingest_report import ingest_report, reject_samples
+from ..sources.observed_ingest import write_valid_rows
 from ..sources.sales_csv import (
     BYTE_ORDER_MARK,
     SALES_COLUMNS,
@@ -164,6 +165,12 @@ def _(spark, sf):
     return ingest_outcome_counts(parse_lines(sales_lines(spark, sf)), ["state"])
 
 
+@query("s4_observed_outcome_counts", "SELECT * FROM outcome_counts")
+def _(spark, sf):
+    """The same counts, taken while the valid rows are written."""
+    return write_valid_rows(sales_lines(spark, sf), new_path(spark, "valid-rows"), ["state"])
+
+
 # Part names with everything a CSV cell has to survive.
 CELLS_SQL = r"""
     SELECT p_partkey, ' ' || p_name || E', "q"\n' || p_type || ' ' AS cell,

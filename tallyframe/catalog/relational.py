@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.arrays import token_count
 from ..functions.text import month_key
 from ..operators import compare
 from ..operators.keys import (
@@ -21,16 +22,28 @@ from ..operators.moments import (
     finished_moments,
     group_moments,
     mean_value,
+    minor_units,
     population_variance,
 )
 from ..operators.percentiles import (
+    LEVELS,
     approx_percentiles,
     exact_percentiles,
     qualifying_stats,
+    value_histogram,
     with_group_size,
 )
 from ..operators.profile import data_quality_profile, group_size_profile, mean_and_sample_sd
 from ..operators.rates import conditional_rate, filtered_average
+from ..operators.running import percentiles_by_blocks
+from ..operators.selection import median_by_selection, percentiles_by_selection
+from ..operators.sketches import (
+    RANK_ERROR,
+    merged_sketches,
+    rank_errors,
+    sketch_percentiles,
+    sketch_table,
+)
 from ..operators.tokens import (
     lifespans,
     long_lived,
@@ -48,6 +61,7 @@ from ..operators.variety import (
 )
 from ..operators.windows import (
     best_candidate,
+    blocked_window_moments,
     count_by,
     daily_moments,
     difference_window_moments,
@@ -59,6 +73,7 @@ from ..operators.windows import (
 from ..plans.cancelled_rate import merchant_shipped, state_averages
 from ..plans.percentile_bands import KEYS, VALUE, amount_histogram, sku_month_base
 from ..plans.window_winner import bought_rows
+from ..sources.bucketed import bucketed_table
 from ..sources.staging import stage
 from ..sources.star_schema import line_sales, order_sales, table
 from .registry import query
@@ -226,6 +241,40 @@ def _(spark, sf):
     return reduce(DataFrame.unionByName, parts)
 
 
+@query("j1_bucketed_left_join", """
+    SELECT o_orderkey AS record_id, coalesce(token_count, 0) AS token_count
+    FROM orders LEFT JOIN (SELECT record_id, count(*) AS token_count FROM order_tokens
+        GROUP BY record_id) AS t ON o_orderkey = t.record_id""")
+def _(spark, sf):
+    """Orders and their tokens in buckets of the record id: counting and joining take no shuffle."""
+    sales = order_sales(spark, sf)
+    orders = bucketed_table(sales.select("record_id"), ["record_id"], "order-buckets")
+    rows = bucketed_table(tokens(sales, unique_records=True), ["record_id"], "token-buckets")
+    counts = count_by(rows, ["record_id"], "token_count")
+    return left_counts(orders, counts.hint("merge"), ["record_id"], ["token_count"])
+
+
+@query("j10_bucketed_strategies", """
+    SELECT strategy, state, count(*) AS rows, count(token_count) AS with_tokens
+    FROM order_sales LEFT JOIN (SELECT record_id, count(*) AS token_count FROM order_tokens
+             GROUP BY record_id) USING (record_id),
+         (SELECT unnest(['broadcast', 'merge', 'shuffle_hash']) AS strategy)
+    GROUP BY ALL""")
+def _(spark, sf):
+    """Each strategy over the same two bucketed tables."""
+    sales = order_sales(spark, sf)
+    orders = bucketed_table(sales.select("record_id", "state"), ["record_id"], "order-buckets")
+    counts = bucketed_table(
+        count_by(tokens(sales), ["record_id"], "token_count"), ["record_id"], "count-buckets"
+    )
+    return reduce(DataFrame.unionByName, [
+        lookup_join(orders, counts, ["record_id"], "left", strategy).groupBy(
+            F.lit(strategy).alias("strategy"), "state"
+        ).agg(F.count(F.lit(1)).alias("rows"), F.count("token_count").alias("with_tokens"))
+        for strategy in JOIN_STRATEGIES
+    ])
+
+
 # Aggregates
 
 @query("g1_count_by", "SELECT state, count(*) AS row_count FROM bought GROUP BY state")
@@ -323,6 +372,24 @@ def _(spark, sf):
     return exact_median(varieties, ["state"], "variety")
 
 
+@query("g8_median_by_selection", """
+    SELECT state, median(variety) AS median, count(*) AS group_size FROM (
+        SELECT state, style, count(DISTINCT sku) AS variety FROM bought GROUP BY state, style)
+    GROUP BY state""")
+def _(spark, sf):
+    varieties = distinct_count(sold(spark, sf), ["state", "style"], "sku", "variety")
+    return median_by_selection(varieties, ["state"], "variety")
+
+
+@query("g8_median_of_large_groups", """
+    SELECT l_linestatus, median(l_extendedprice) AS median, count(*) AS group_size
+    FROM lineitem GROUP BY l_linestatus""")
+def _(spark, sf):
+    """Two groups with almost as many distinct values as rows."""
+    rows = table(spark, sf, "lineitem")
+    return median_by_selection(rows, ["l_linestatus"], "l_extendedprice", scale=2, salt_values=1000)
+
+
 @query("g9_lifespans", "SELECT * FROM lifespans")
 def _(spark, sf):
     return lifespans(tokens(order_sales(spark, sf)))
@@ -389,6 +456,31 @@ def _(spark, sf):
     return approx_percentiles(order_base(spark, sf), KEYS, VALUE)
 
 
+@query("g15_sketch_percentiles", """
+    SELECT sku, month, 'sketch' AS method, percentile_level, threshold FROM exact_thresholds""")
+def _(spark, sf):
+    """Daily sketches, stored, then merged to months: exact for groups of this size."""
+    rows = order_sales(spark, sf).withColumn("promotion_count", token_count("promotion_ids_raw"))
+    daily = stage(sketch_table(rows, ["sku", "order_date"], VALUE), "daily-sketches")
+    months = merged_sketches(daily, ["sku", month_key("order_date").alias("month")])
+    return sketch_percentiles(months, KEYS)
+
+
+@query("g15_sketch_rank_errors", """
+    SELECT l_linestatus, percentile_level, count(*) AS group_rows, TRUE AS within_bound
+    FROM lineitem, levels GROUP BY ALL""")
+def _(spark, sf):
+    """Sketches per ship day, merged to all days; the ranks of their thresholds are counted."""
+    keys = ["l_linestatus"]
+    rows = table(spark, sf, "lineitem").withColumn("cents", minor_units("l_extendedprice"))
+    daily = stage(sketch_table(rows, [*keys, "l_shipdate"], "cents"), "daily-sketches")
+    thresholds = stage(sketch_percentiles(merged_sketches(daily, keys), keys), "sketch-thresholds")
+    errors = rank_errors(rows, thresholds, keys, "cents")
+    return errors.select(
+        *keys, "percentile_level", "group_rows", (F.col("rank_error") <= 2 * RANK_ERROR).alias("within_bound")
+    )
+
+
 @query("g16_qualifying_stats", """
     SELECT sku, month, method, percentile_level, threshold, qualifying_order_count,
            amount_value_count, round(amount_stddev_pop, 6) AS amount_stddev_pop
@@ -492,6 +584,32 @@ def _(spark, sf):
     return exact_percentiles(amount_histogram(order_base(spark, sf)), KEYS, VALUE)
 
 
+@query("w2_nearest_rank_by_blocks", "SELECT * FROM exact_thresholds")
+def _(spark, sf):
+    return percentiles_by_blocks(amount_histogram(order_base(spark, sf)), KEYS, VALUE)
+
+
+LARGE_RANKS = """
+    SELECT l_linestatus, {method}percentile_level, CASE percentile_level
+        WHEN 'P80' THEN quantile_disc(l_extendedprice, 0.8)
+        ELSE quantile_disc(l_extendedprice, 0.9) END AS threshold
+    FROM lineitem, levels GROUP BY l_linestatus, percentile_level"""
+
+
+@query("w2_large_groups_by_blocks", LARGE_RANKS.format(method="'exact' AS method, "))
+def _(spark, sf):
+    """Two groups with almost as many distinct values as rows."""
+    rows = table(spark, sf, "lineitem")
+    histogram = value_histogram(rows, ["l_linestatus"], "l_extendedprice", "l_extendedprice")
+    return percentiles_by_blocks(histogram, ["l_linestatus"], "l_extendedprice")
+
+
+@query("w2_large_groups_by_selection", LARGE_RANKS.format(method=""))
+def _(spark, sf):
+    rows = table(spark, sf, "lineitem")
+    return percentiles_by_selection(rows, ["l_linestatus"], "l_extendedprice", LEVELS, scale=2)
+
+
 WINDOW_SQL = """
     SELECT state, size, window_date, window_days, row_count, value_count,
            CAST(value_sum AS VARCHAR) AS value_sum,
@@ -509,6 +627,13 @@ def _(spark, sf):
     return as_text(difference_window_moments(*sold_days(spark, sf), "state", "order_date", "size"))
 
 
+@query("w4_blocked_difference_array", WINDOW_SQL)
+def _(spark, sf):
+    return as_text(blocked_window_moments(
+        *sold_days(spark, sf), "state", "order_date", "size", block_days=200
+    ))
+
+
 # Ordering
 
 @query("o1_total_order", """

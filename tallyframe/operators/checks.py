@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..sources.sinks import column_types
-from ..sources.staging import stage
 
 VIOLATIONS = "result string, rule string, row_key string"
 
@@ -73,27 +72,42 @@ def wrong_multiplicity(frame: DataFrame, contract: Contract) -> DataFrame:
     )
 
 
-def violations(frame: DataFrame, contract: Contract) -> DataFrame:
-    """All violations of one result. With a wrong schema only that is reported."""
-    if column_types(StructType.fromDDL(contract.schema)) != column_types(frame.schema):
-        return schema_violations(frame, contract)
-    parts = [duplicate_keys(frame, contract)]
-    if contract.rules:
-        parts.append(broken_rules(frame, contract))
-    if contract.multiplicity:
-        parts.append(wrong_multiplicity(frame, contract))
-    return reduce(DataFrame.unionByName, parts)
+def _keyed(rule: str, keys: list[str]) -> Column:
+    parts = F.array(*[F.col(key).cast("string") for key in keys])
+    return F.struct(F.lit(rule).alias("rule"), parts.alias("key"))
 
 
-def check_all(results: list[tuple[DataFrame, Contract]], staged: bool = True) -> DataFrame:
-    """All violations of all results.
+def violations(frame: DataFrame, contract: Contract) -> DataFrame:
+    """All violations of one result, in one scan. With a wrong schema only that is reported.
 
-    Each check reads its result again, so a result is staged first; ``staged=False`` is for
-    results that are stored tables already.
+    Each row stands for its key, for the key of its multiplicity and for each rule it breaks; one
+    grouping by (rule, key), merged map-side, then tells duplicate keys, wrong multiplicities and
+    broken rules apart by their counts.
     """
-    return reduce(DataFrame.unionByName, [
-        violations(stage(f, "checked-result") if staged else f, c) for f, c in results
-    ])
+    if column_types(StructType.fromDDL(contract.schema)) != column_types(frame.schema):
+        return schema_violations(frame, contract)
+    entries = [_keyed("unique_key", contract.keys)]
+    expected = F.when(F.col("rule") == "unique_key", F.lit(1))
+    if contract.multiplicity:
+        keys, rows = contract.multiplicity
+        entries.append(_keyed("multiplicity", keys))
+        expected = expected.when(F.col("rule") == "multiplicity", F.lit(rows))
+    for name, holds in contract.rules.items():
+        broken = ~F.coalesce(holds, F.lit(False))
+        entries.append(F.when(broken, _keyed(name, contract.keys)))
+    marked = frame.select(F.explode(F.array(*entries)).alias("entry")).where(F.col("entry").isNotNull())
+    counts = marked.groupBy("entry.rule", "entry.key").agg(F.count(F.lit(1)).alias("rows"))
+    repeats = F.when(expected.isNull(), F.col("rows")).otherwise(F.lit(1))
+    return counts.where(expected.isNull() | (F.col("rows") != expected)).select(
+        F.lit(contract.name).alias("result"), "rule",
+        F.array_join("key", "|", "NULL").alias("row_key"),
+        F.explode(F.sequence(F.lit(1).cast("bigint"), repeats.cast("bigint"))),
+    ).drop("col")
+
+
+def check_all(results: list[tuple[DataFrame, Contract]]) -> DataFrame:
+    """All violations of all results; each result is read once."""
+    return reduce(DataFrame.unionByName, [violations(f, c) for f, c in results])
 
 
 def non_negative_finite(column: str) -> Column:

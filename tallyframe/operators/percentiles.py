@@ -28,7 +28,7 @@ def percentile_rows(frame: DataFrame, keys: list[str], values: str, levels=LEVEL
     )
 
 
-def _labelled(rows: DataFrame, keys: list[str], method: str) -> DataFrame:
+def labelled_levels(rows: DataFrame, keys: list[str], method: str) -> DataFrame:
     return rows.select(
         *keys, F.lit(method).alias("method"), "percentile_level", "threshold"
     )
@@ -43,7 +43,7 @@ def approx_percentiles(
     arrays = frame.groupBy(*keys).agg(
         F.percentile_approx(value, list(levels.values()), accuracy).alias("thresholds")
     )
-    return _labelled(percentile_rows(arrays, keys, "thresholds", levels), keys, "approx")
+    return labelled_levels(percentile_rows(arrays, keys, "thresholds", levels), keys, "approx")
 
 
 def value_histogram(
@@ -87,7 +87,7 @@ def exact_percentiles(
     thresholds = rows.groupBy(*keys, "percentile_level").agg(
         F.min(value).cast("double").alias("threshold")
     )
-    return _labelled(thresholds, keys, "exact")
+    return labelled_levels(thresholds, keys, "exact")
 
 
 def with_group_size(frame: DataFrame, keys: list[str], name: str = "group_size") -> DataFrame:
@@ -104,7 +104,7 @@ def _stddev_or_zero(rows: Column, scale: int) -> Column:
     return F.when(rows >= 2, F.coalesce(population_stddev(scale), F.lit(0.0))).otherwise(0.0)
 
 
-def _statistics(merged: DataFrame, keys: list[str], scale: int) -> DataFrame:
+def band_statistics(merged: DataFrame, keys: list[str], scale: int) -> DataFrame:
     """Statistics per (group, method, level) from the merged moments of the rows above."""
     return merged.select(
         *keys, "method", "percentile_level", "threshold",
@@ -123,7 +123,7 @@ def qualifying_stats(
     """
     rows = join_null_safe(histogram, thresholds, keys).where(F.col(value) >= F.col("threshold"))
     merged = rows.groupBy(*keys, "method", "percentile_level", "threshold").agg(*merged_moments())
-    return _statistics(merged, keys, scale)
+    return band_statistics(merged, keys, scale)
 
 
 def exact_band_stats(
@@ -137,4 +137,4 @@ def exact_band_stats(
     merged = rows.groupBy(*keys, F.lit("exact").alias("method"), "percentile_level").agg(
         F.min(value).cast("double").alias("threshold"), *merged_moments()
     )
-    return _statistics(merged, keys, scale)
+    return band_statistics(merged, keys, scale)

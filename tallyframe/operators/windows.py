@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.arrays import following_days
+from ..sources.staging import stage
 from .keys import require_keys
 from .moments import (
     MOMENTS,
@@ -15,12 +16,16 @@ from .moments import (
     population_variance,
     signed_sum,
 )
+from .running import running_sums_by_blocks
 
 # Groups with more sold rows than this look back 5 days, all others 10.
 LARGE_GROUP_ROWS = 10_000
 LARGE_GROUP_DAYS = 5
 SMALL_GROUP_DAYS = 10
 
+#: Days in a block of the blocked running sums.
+BLOCK_DAYS = 1024
+
 
 def count_by(frame: DataFrame, keys: list[str], name: str = "row_count") -> DataFrame:
     return frame.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
@@ -86,20 +91,30 @@ def difference_window_moments(
     A day's moments enter the window one day later and leave it L+1 days later, so the
     work per day no longer grows with L: prefer this form for long windows.
     """
-    placed = require_keys(daily, [label]).join(window_days, group)
+    placed = require_keys(daily, [label]).join(window_days, group).repartition(group, label)
+    keys = [group, label, "window_days"]
+    changes = _window_changes(placed, keys, date)
+    by_day = Window.partitionBy(group, label).orderBy("day")
+    so_far = by_day.rowsBetween(Window.unboundedPreceding, 0)
+    running = [F.sum(c).over(so_far).alias(c) for c in MOMENTS]
+    levels = changes.select(*keys, "day", F.lead("day").over(by_day).alias("next_day"), *running)
+    return _days_of_levels(levels, group, label)
+
+
+def _window_changes(placed: DataFrame, keys: list[str], date: str) -> DataFrame:
+    """What enters the windows of each key on a day, less what leaves them."""
     enter = F.struct(F.date_add(date, 1).alias("day"), F.lit(1).alias("sign"))
     leave = F.struct(
         F.date_add(F.col(date), F.col("window_days") + 1).alias("day"), F.lit(-1).alias("sign")
     )
-    edges = placed.repartition(group, label).withColumn("edge", F.explode(F.array(enter, leave)))
-    keys = [group, label, "window_days"]
-    changes = edges.groupBy(*keys, F.col("edge.day").alias("day")).agg(
+    edges = placed.withColumn("edge", F.explode(F.array(enter, leave)))
+    return edges.groupBy(*keys, F.col("edge.day").alias("day")).agg(
         *[signed_sum(c, F.col("edge.sign")).alias(c) for c in MOMENTS]
     )
-    by_day = Window.partitionBy(group, label).orderBy("day")
-    so_far = by_day.rowsBetween(Window.unboundedPreceding, 0)
-    running = [F.sum(c).over(so_far).alias(c) for c in MOMENTS]
-    levels = changes.select(*keys, "day", F.lead("day").over(by_day).alias("next_day"), *running)
+
+
+def _days_of_levels(levels: DataFrame, group: str, label: str) -> DataFrame:
+    """One row per day from each level up to the next one."""
     return levels.where(F.col(ROWS) > 0).select(
         group, label,
         F.explode(F.sequence("day", F.date_sub("next_day", 1))).alias("window_date"),
@@ -107,6 +122,26 @@ def difference_window_moments(
     )
 
 
+def blocked_window_moments(
+    daily: DataFrame, window_days: DataFrame, group: str, date: str, label: str,
+    block_days: int = BLOCK_DAYS,
+) -> DataFrame:
+    """Same result as :func:`difference_window_moments`, summed up in blocks of days.
+
+    The changes of a (group, label) are spread over tasks by day, and each block carries on from
+    the totals of the blocks before it, so a long history doesn't sit in one window partition.
+    """
+    placed = require_keys(daily, [label]).join(window_days, group)
+    keys = [group, label, "window_days"]
+    changes = _window_changes(placed, keys, date).withColumn("day", F.unix_date("day"))
+    levels = running_sums_by_blocks(
+        stage(changes, "window-changes"), keys, "day", list(MOMENTS), block_days, "next_day"
+    ).withColumns({
+        "day": F.date_from_unix_date("day"), "next_day": F.date_from_unix_date("next_day")
+    })
+    return _days_of_levels(levels, group, label)
+
+
 def best_candidate(
     candidates: DataFrame, keys: list[str], label: str, frequency: str, variance: str
 ) -> DataFrame:

@@ -2,21 +2,17 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.arrays import token_array, token_count
-from ..functions.sales import below_reference_flag
-from ..functions.text import status_contains
-from ..operators.keys import left_counts, lookup_join, require_keys
-from ..operators.rates import conditional_rate, filtered_average, percentage
-from ..operators.tokens import (
-    MIN_SPAN_DAYS,
-    long_lived,
-    temporally_valid_tokens,
-    token_occurrences,
-    valid_token_count,
-)
+from ..functions.text import status_contains, strip
+from ..operators.keys import left_counts, lookup_join
+from ..operators.moments import ROWS, mean_value, moments
+from ..operators.rates import filtered_average, percentage
+from ..operators.tokens import MIN_SPAN_DAYS, tokens, valid_token_count
 from ..sources.staging import stage
 
 # The labels of the orders in question, of the orders behind the average, and
@@ -46,6 +42,49 @@ def state_averages(base: DataFrame, scale: int = 2) -> DataFrame:
     )
 
 
+def rate_parts(
+    base: DataFrame, min_promotions: int, with_tokens: bool, scale: int = 2
+) -> DataFrame:
+    """All that the rates need of the rows, by kind, from one scan and one grouping.
+
+    ``average``: moments of the amounts behind the average of a state; ``order``: rows per (state,
+    city) in question; ``token``: first and last day of a token; ``candidate``: the orders in
+    question that have an amount, as (record, state, city, amount), ``with_tokens`` only those
+    with enough tokens, and with their token list. Everything but the candidates shrinks
+    map-side to a few rows per task.
+    """
+    kind, token = F.col("_kind"), strip("_token")
+    wanted = cancelled_standard() & F.col("state").isNotNull() & F.col("city").isNotNull()
+    candidate = wanted & F.col("amount").isNotNull() & F.col("record_id").isNotNull()
+    if with_tokens:
+        candidate &= token_count("promotion_ids_raw") >= min_promotions
+    rules = {
+        "average": merchant_shipped() & F.col("state").isNotNull() & F.col("amount").isNotNull(),
+        "order": wanted,
+        "token": F.col("promotion_ids_raw").isNotNull() & F.col("order_date").isNotNull(),
+        "candidate": candidate,
+    }
+    listed = base.select("*", F.explode(F.array(*[F.lit(name) for name in rules])).alias("_kind"))
+    kept = listed.where(reduce(Column.__or__, [(kind == k) & rule for k, rule in rules.items()]))
+    split = F.when(kind == "token", F.split("promotion_ids_raw", ","))
+    rows = kept.select("*", F.explode_outer(split).alias("_token")).where(
+        (kind != "token") | (F.length(token) > 0)
+    )
+    in_candidate = kind == "candidate"
+    raw = F.col("promotion_ids_raw") if with_tokens else F.lit(None).cast("string")
+    return rows.groupBy(
+        kind.alias("kind"), F.when(kind != "token", F.col("state")).alias("state"),
+        F.when(kind.isin("order", "candidate"), F.col("city")).alias("city"),
+        F.when(kind == "token", token).alias("promotion_id"),
+        F.when(in_candidate, F.col("record_id")).alias("record_id"),
+        F.when(in_candidate, F.col("amount")).alias("amount"),
+        F.when(in_candidate, raw).alias("promotion_ids_raw"),
+    ).agg(
+        *moments(F.when(kind == "average", F.col("amount")), scale),
+        F.min("order_date").alias("first_date"), F.max("order_date").alias("last_date"),
+    )
+
+
 def conditional_rate_by_city(
     base: DataFrame,
     min_span_days: int = MIN_SPAN_DAYS,
@@ -57,63 +96,48 @@ def conditional_rate_by_city(
 ) -> DataFrame:
     """Cancelled standard orders per (state, city), the qualifying ones, and their share.
 
-    A record id may stand in several rows, whose tokens are counted together. With the promise
-    ``unique_records=True`` only orders that can still qualify, by amount and by number of
-    tokens, have their tokens exploded and matched, and they keep their group columns, so no
-    join back to the orders is needed. ``staged`` writes the two lookups first, one row per
-    state and one per long-lived token: with their sizes known, the orders need no shuffle to
-    meet them.
+    The rows are read once, into :func:`rate_parts`; with ``staged`` these are written first, so
+    that averages, denominators, long-lived tokens and candidates come from one scan and join
+    with known sizes. A record id may stand in several rows, whose tokens are counted together:
+    that takes a second scan, for the tokens of the candidates' records. The promise
+    ``unique_records=True`` saves it, as candidates then carry all their tokens.
     """
-    orders = require_keys(base.where(cancelled_standard()), ["state", "city"])
-    averages = state_averages(base, scale)
-    if not unique_records or min_promotions < 1:
-        return _rate_by_joined_counts(base, orders, averages, min_span_days, min_promotions)
-    valid = long_lived(token_occurrences(base), min_span_days)
+    with_tokens = unique_records and min_promotions >= 1
+    parts = rate_parts(base, min_promotions, with_tokens, scale)
     if staged:
-        averages, valid = stage(averages, "state-averages"), stage(valid, "long-lived-tokens")
+        parts = stage(parts, "rate-parts")
+
+    def part(kind: str) -> DataFrame:
+        return parts.where(F.col("kind") == kind)
+
+    averages = part("average").select("state", mean_value(scale).alias("state_average_amount"))
+    span = F.datediff("last_date", "first_date")
+    valid = part("token").where(span >= min_span_days).select("promotion_id")
     candidates = lookup_join(
-        require_keys(orders, ["record_id"]).where(
-            token_count("promotion_ids_raw") >= min_promotions
-        ),
+        part("candidate").select("record_id", "state", "city", "amount", "promotion_ids_raw", ROWS),
         averages, ["state"], "inner", strategy,
     ).where(F.col("amount") < F.col("state_average_amount"))
-    candidate_tokens = candidates.select(
-        "record_id", "state", "city",
-        F.explode(token_array("promotion_ids_raw")).alias("promotion_id"),
-    )
-    matched = lookup_join(candidate_tokens, valid, ["promotion_id"], "left_semi", strategy)
-    counts = matched.groupBy("record_id", "state", "city").count()
-    qualifying = (
-        counts.where(F.col("count") >= min_promotions)
-        .groupBy("state", "city").agg(F.count(F.lit(1)).alias("qualifying_orders"))
-    )
-    whole = orders.groupBy("state", "city").agg(
-        F.count(F.lit(1)).alias("cancelled_standard_orders")
-    )
+    if with_tokens:
+        candidate_tokens = candidates.select(
+            "record_id", "state", "city", F.explode(token_array("promotion_ids_raw")).alias("promotion_id")
+        )
+        matched = lookup_join(candidate_tokens, valid, ["promotion_id"], "left_semi", strategy)
+        counts = matched.groupBy("record_id", "state", "city").count()
+        qualified = counts.where(F.col("count") >= min_promotions).withColumn(ROWS, F.lit(1))
+    elif min_promotions >= 1:
+        matched = lookup_join(tokens(base), valid, ["promotion_id"], "left_semi", strategy)
+        counts = valid_token_count(matched).where(F.col("valid_promotion_count") >= min_promotions)
+        qualified = candidates.join(counts, "record_id", "left_semi")
+    else:
+        qualified = candidates
+    qualifying = qualified.groupBy("state", "city").agg(F.sum(ROWS).alias("qualifying_orders"))
+    whole = part("order").select("state", "city", F.col(ROWS).alias("cancelled_standard_orders"))
     rates = left_counts(whole, qualifying, ["state", "city"], ["qualifying_orders"])
     return _ordered(rates.withColumn(
         "percentage", percentage("qualifying_orders", "cancelled_standard_orders")
     ))
 
 
-def _rate_by_joined_counts(
-    base: DataFrame,
-    orders: DataFrame,
-    averages: DataFrame,
-    min_span_days: int,
-    min_promotions: int,
-) -> DataFrame:
-    counts = valid_token_count(temporally_valid_tokens(base, min_span_days, unique_records=False))
-    counted = left_counts(orders, counts, ["record_id"], ["valid_promotion_count"])
-    enriched = counted.join(averages, "state", "left")
-    qualifies = below_reference_flag(
-        "valid_promotion_count", "amount", "state_average_amount", min_promotions
-    )
-    return _ordered(conditional_rate(
-        enriched, ["state", "city"], qualifies, "cancelled_standard_orders", "qualifying_orders"
-    ))
-
-
 def _ordered(rates: DataFrame) -> DataFrame:
     return rates.select(
         "state", "city", "cancelled_standard_orders", "qualifying_orders", "percentage"

@@ -48,12 +48,13 @@ def percentile_band_stats(
     accuracy: int = ACCURACY,
     levels=LEVELS,
     scale: int = 2,
-    staged: bool = True,
+    staged: bool = False,
 ) -> DataFrame:
     """Thresholds and statistics of the rows at or above them, by method and level.
 
     The exact method reads the rows once. The approximate one reads them a second time for
-    its sketches; ``staged`` then shares one histogram between all uses.
+    its sketches. Both methods share the histogram: its shuffle is reused within the plan, or it
+    is written first if ``staged``, which pays where the plan is run more than once.
     """
     if method not in METHODS:
         raise ValueError(f"unknown method {method!r}, expected one of {METHODS}")

@@ -102,3 +102,36 @@ def test_lifespans(spark):
         assert sorted((r.record_id, r.promotion_id) for r in valid) == [(1, "A"), (2, "A")]
     counts = {r.record_id: r.promotion_count for r in per_record_counts(base).collect()}
     assert counts == {1: 2, 2: 1, 3: 2, 4: 0}
+
+
+@pytest.mark.parametrize("unique, scans", [(True, 1), (False, 2)])
+def test_rows_are_scanned_once_or_twice(spark, unique, scans):
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    rows = [cancelled(i, "P1,P2,P3") for i in range(20)]
+    base = frame(spark, rows).repartition(3)
+    result = conditional_rate_by_city(base.mapInArrow(counted, SCHEMA), unique_records=unique)
+    assert [tuple(r)[2:4] for r in result.collect()] == [(20, 20)]
+    # the column pruning of a lookup could drop a scan, never add one
+    assert read.value == scans * (len(LIVES) + len(rows))
+
+
+@pytest.mark.parametrize("unique", [True, False])
+@pytest.mark.parametrize("minimum, qualifying", [(0, 2), (1, 1), (3, 1), (4, 0)])
+def test_number_of_promotions_asked_for(spark, unique, minimum, qualifying):
+    rows = [cancelled(1, "P1,P2,P3"), cancelled(2, None), cancelled(3, None, amount=None)]
+    result = conditional_rate_by_city(frame(spark, rows), min_promotions=minimum, unique_records=unique)
+    assert [tuple(r)[2:4] for r in result.collect()] == [(3, qualifying)]
+
+
+def test_empty_base_and_missing_record_ids(spark):
+    assert conditional_rate_by_city(frame(spark, []).where("false")).count() == 0
+    rows = [cancelled(None, "P1,P2,P3"), cancelled(2, "P1,P2,P3")]
+    for unique in (True, False):
+        result = conditional_rate_by_city(frame(spark, rows), unique_records=unique)
+        assert [tuple(r)[2:4] for r in result.collect()] == [(2, 1)]

@@ -2,7 +2,7 @@ import datetime as dt
 
 import pytest
 
-from tallyframe.operators.checks import violations
+from tallyframe.operators.checks import check_all, violations
 from tallyframe.operators.compare import keyed_difference, set_difference_counts
 from tallyframe.operators.keys import existing_values, lookup_join, missing_key_counts
 from tallyframe.plans.validation import (
@@ -123,3 +123,30 @@ def test_existing_values(spark):
 def test_missing_key_counts(spark):
     frame = spark.createDataFrame([(1, "a"), (None, "b"), (2, None)], "x int, y string")
     assert tuple(missing_key_counts(frame, ["x", "y"]).first()) == (1, 2)
+
+
+def test_keys_that_read_alike_are_not_equal(spark):
+    contract = cancelled_rate_contract()
+    rows = [("a|b", "c", 1, 0, 0.0), ("a", "b|c", 1, 0, 0.0), ("NULL", "x", 1, 0, 0.0)]
+    assert found(spark, contract, rows) == []
+    twice = [("a", "x", 0, 0, 0.0), ("a", "x", 0, 0, 0.0)]
+    assert found(spark, contract, twice) == [
+        ("cancelled_standard_orders", "a|x"), ("cancelled_standard_orders", "a|x"), ("unique_key", "a|x"),
+    ]
+    assert found(spark, contract, []) == []
+
+
+def test_a_result_is_scanned_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    contract = percentile_bands_contract()
+    rows = [("A", "m", m, p, 1.0, 2, 1, 0.0) for m in ("approx", "exact", "exact") for p in ("P80", "P90")]
+    frame = spark.createDataFrame(rows, contract.schema).repartition(2).mapInArrow(counted, contract.schema)
+    result = sorted((r.rule, r.row_key) for r in check_all([(frame, contract)]).collect())
+    assert result == [("multiplicity", "A|m"), ("unique_key", "A|m|exact|P80"), ("unique_key", "A|m|exact|P90")]
+    assert read.value == len(rows)

@@ -173,3 +173,52 @@ def test_parquet_round_trip(spark, tmp_path):
     with pytest.raises(Exception, match="(?i)exist"):
         write_parquet_checked(frame, path)
     assert write_parquet_checked(frame.limit(2), path, overwrite=True).count() == 2
+
+
+def test_counts_ride_on_the_write(spark, tmp_path, monkeypatch):
+    from tallyframe.sources import observed_ingest
+    from tallyframe.sources.sales_csv import ingest_outcome_counts, parse_lines, typed_ingest
+    from tallyframe.sources.star_schema import table
+    from tallyframe.catalog.ingest import sales_lines
+
+    lines = sales_lines(spark, "/root/testdata/sf0.001")
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    expected = sorted(map(tuple, ingest_outcome_counts(parse_lines(lines), ["state"]).collect()))
+    watched = lines.mapInArrow(counted, lines.schema)
+    path = str(tmp_path / "valid")
+    result = observed_ingest.write_valid_rows(watched, path, ["state"])
+    assert sorted(map(tuple, result.collect())) == expected
+    assert read.value == lines.count()  # one pass counts and writes
+    valid, _ = typed_ingest(lines, staged=False)
+    written = spark.read.parquet(path)
+    assert written.columns == valid.columns and written.count() == valid.count()
+    assert table(spark, "/root/testdata/sf0.001", "orders").count() > written.count() > 0
+    # counts that a retried task could have doubled are noticed and taken anew
+    monkeypatch.setattr(observed_ingest, "_agree", lambda *_: False)
+    again = observed_ingest.write_valid_rows(lines, str(tmp_path / "again"), ["state"])
+    assert sorted(map(tuple, again.collect())) == expected
+
+
+def test_doubled_counts_are_noticed(spark, tmp_path):
+    from tallyframe.sources.observed_ingest import OUTCOMES, _agree
+
+    path = str(tmp_path / "rows")
+    spark.range(5).write.parquet(path)
+    counts = dict.fromkeys(OUTCOMES, 0) | {"accepted": 3, "not_bought": 2, "header": 1}
+    assert _agree(spark, path, counts | {"rows_read": 6})
+    assert not _agree(spark, path, counts | {"rows_read": 7})
+    assert not _agree(spark, path, counts | {"accepted": 8, "rows_read": 11})
+
+
+def test_no_lines(spark, tmp_path):
+    from tallyframe.sources.observed_ingest import write_valid_rows
+
+    nothing = spark.createDataFrame([], "value string")
+    counts = write_valid_rows(nothing, str(tmp_path / "rows"), ["state"]).collect()
+    assert [tuple(r) for r in counts] == [("rows_read", 0)]
