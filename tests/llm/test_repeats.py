@@ -1,6 +1,7 @@
 """Byte, word and near-duplicate removal against brute force."""
 
 import hashlib
+import math
 import random
 
 import numpy as np
@@ -12,7 +13,8 @@ from tallyframe.llm import catalog
 from tallyframe.llm.components import connected_components
 from tallyframe.llm.doubling import remove_repeated_windows
 from tallyframe.llm.order_minhash import (
-    exact_keys, labelled, near_duplicates, short_length, similarity, sketches,
+    exact_keys, exact_length, labelled, later_draws, near_duplicates, short_length, similarity,
+    sketches,
 )
 from tallyframe.llm.suffix_merge import merged, remove_repeated_bytes
 
@@ -211,6 +213,64 @@ def test_short_texts_of_the_asked_similarity_share_an_exact_key():
                 assert shared or similarity(one, two, 0.8) == 0.0
 
 
+def template_rows(seed, templates, variants, own, size=84):
+    """Longer variants of templates, with smaller ids, and two texts of each that are 0.82 similar."""
+    rows, pairs = [], []
+    for t in range(templates):
+        base = prose(seed * 1000 + t, size).split()
+        for v in range(variants):
+            rows.append((len(rows), " ".join(base + prose(70_000 + seed * 10_000 + t * 100 + v, own).split())))
+        one = [*base[:30], f"changed{t}", *base[31:]]
+        pairs.append((len(rows), len(rows) + 1))
+        rows += [(len(rows), " ".join(one)), (len(rows) + 1, " ".join([*base[:-3], "x", "y", "z"]))]
+    return rows, pairs
+
+
+def star_rows(seed, count, size=100, changes=2):
+    """One text, with the largest id, that all others are near to; the others are apart."""
+    chance = random.Random(seed)
+    base = prose(seed, size).split()
+    rows = []
+    for i in range(count):
+        text = list(base)
+        for k in chance.sample(range(5, size - 5), changes):
+            text[k] = f"own{i}x{k}"
+        rows.append((i, " ".join(text)))
+    return [*rows, (count, " ".join(base))]
+
+
+@pytest.mark.parametrize("options", [{}, {"least_pairs": 0, "pairs_a_text": 0}], ids=["default", "sharper"])
+def test_links_in_groups_with_a_common_template(spark, options):
+    rows, pairs = template_rows(1, 60, 30, 25)
+    found = {row["doc_id"]: row["group_id"] for row in near_duplicates(documents(spark, rows), **options).collect()}
+    assert sum(found[a] == found[b] for a, b in pairs) == 60
+    for low, high in pairs[:12]:
+        group = [row for row in rows if low - 30 <= row[0] <= high]
+        assert {i: found[i] for i, _ in group} == brute_groups(group)
+
+
+@pytest.mark.parametrize("rows", [
+    star_rows(5, 60), star_rows(6, 60, 40, 1), template_rows(7, 3, 60, 30)[0],
+    template_rows(8, 6, 20, 8, 26)[0], template_rows(9, 6, 20, 7, 19)[0],
+], ids=["star", "short star", "many variants", "short", "shorter"])
+def test_groups_of_other_shapes(spark, rows):
+    found = near_duplicates(documents(spark, rows), least_pairs=0, pairs_a_text=0).collect()
+    assert {row["doc_id"]: row["group_id"] for row in found} == brute_groups(rows)
+
+
+def test_draws_and_exact_lengths():
+    for size in (10, 15, 20):
+        bound = exact_length(size, 0.8)
+        for length in range(1, 200):
+            wanted = later_draws(length, size, 0.8)
+            assert wanted == 0 if length < 0.8 * bound else wanted > 0
+            if length > bound:  # the chance to share none is within LOSS for the worst partner
+                common = int(0.8 * length + 1e-9)
+                share = math.comb(common, size) / math.comb(length, size)
+                assert (1 - share) ** wanted <= 1.01e-4
+                assert later_draws(max(length - 1, bound), size, 0.8) >= 0
+
+
 def test_near_duplicates_whole_table(spark):
     rows = [tuple(r) for r in spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text").collect()]
     found = {row["doc_id"]: row["group_id"] for row in catalog.op7_order_minhash(spark, FOLDER).collect()}
