@@ -9,7 +9,9 @@ knows how far its furthest point is. Each pair of shards is then one task that
 walks both trees from the top: a pair of nodes is dropped if their distance less both covering
 radii is beyond the threshold, taken as a whole if their distance plus both radii is within
 it, and else split into its children. What is left at the lowest level is compared in double
-precision. Bounds use single precision with a margin far above its rounding error.
+precision. Dot products of centers use single precision; its worst rounding error is taken off
+the squared distance before the root, to the safe side of each bound, and covering radii are
+computed in double precision and rounded up, so that no bound drops or adds a link.
 
 A task puts out, per point, how many vectors it is linked to and the smallest point of its
 part, not the pairs, so a large group of near copies costs no more rows than it has members.
@@ -31,12 +33,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import connected_components
-from .frames import arrow_rows, stage
+from .frames import arrow_rows, row_by_row, stage
 
 COSINE = 0.9
 SHARD_POINTS = 8192
 LEVELS = 5
-MARGIN = 1e-4
+#: What a whole pair of nodes must be nearer than the threshold, above any rounding in double.
+INSIDE = 1e-9
 BLOCK = 2048
 
 TREES_DDL = "dim int, shard int, tree binary"
@@ -44,6 +47,17 @@ FOUND = pa.schema([("point", pa.int64()), ("links", pa.int64()), ("part", pa.int
 FOUND_DDL = "point long, links long, part long"
 
 
+def dot_error(dimension: int) -> float:
+    """Bound on the error of a single-precision dot product of unit vectors, in any order."""
+    return (dimension + 4) * 2.0**-24
+
+
+def nearest_and_furthest(near: np.ndarray, dimension: int) -> tuple[np.ndarray, np.ndarray]:
+    """Bounds of the distance of unit vectors from their single-precision dot product."""
+    squared, error = 2 - 2 * near.astype(np.float64), 2 * dot_error(dimension)
+    return np.sqrt(np.maximum(0, squared - error)), np.sqrt(np.maximum(0, squared + error))
+
+
 class CoverTree:
     """Arrays of a cover tree: per level the centers, their parents, radii and children."""
 
@@ -104,9 +118,10 @@ class CoverTree:
         owner = self.leaf
         for level in range(LEVELS, -1, -1):
             centers = self.centers[level]
-            near = np.einsum("ij,ij->i", self.single, self.single[centers[owner]])
-            far = np.sqrt(np.maximum(0, 2 - 2 * near))
-            radii = np.zeros(len(centers), np.float32)
+            near = np.einsum("ij,ij->i", self.points, self.points[centers[owner]])
+            rounding = 8 * (self.points.shape[1] + 4) * 2.0**-53
+            far = np.sqrt(np.maximum(0, 2 - 2 * near) + rounding)
+            radii = np.zeros(len(centers))
             np.maximum.at(radii, owner, far)
             self.radii.insert(0, radii)
             self.sizes.insert(0, np.bincount(owner, minlength=len(centers)))
@@ -192,6 +207,7 @@ def traverse(one: CoverTree, two: CoverTree, same: bool, cosine: float) -> Parts
     """Walk two trees (or one with itself) down to the linked points."""
     parts = Parts(one, two, same)
     reach = float(np.sqrt(2 - 2 * cosine))
+    dimension = one.points.shape[1]
     stack = [(0, 0, 0)]
     while stack:
         level, a, b = stack.pop()
@@ -210,16 +226,16 @@ def traverse(one: CoverTree, two: CoverTree, same: bool, cosine: float) -> Parts
                 r, c = rows[x:x + BLOCK], cols[y:y + BLOCK]
                 near = one.single[one.centers[below][r]] @ two.single[two.centers[below][c]].T
                 widest = one.radii[below][r].max() + two.radii[below][c].max()
-                loose = 1 - (reach + widest + MARGIN) ** 2 / 2
+                loose = 1 - (reach + widest + INSIDE) ** 2 / 2 - 2 * dot_error(dimension)
                 i, j = np.nonzero(near >= loose)
                 if own and x == y:  # each pair once, and no point with itself
                     once = (i < j) | ((i == j) & (one.sizes[below][r[i]] > 1))
                     i, j = i[once], j[once]
-                far = np.sqrt(np.maximum(0, 2 - 2 * near[i, j]))
+                nearest, furthest = nearest_and_furthest(near[i, j], dimension)
                 radii = one.radii[below][r[i]] + two.radii[below][c[j]]
-                for k in np.flatnonzero(far - radii <= reach + MARGIN):
+                for k in np.flatnonzero(nearest - radii <= reach + INSIDE):
                     p, q = int(r[i[k]]), int(c[j[k]])
-                    if far[k] + radii[k] <= reach - MARGIN and not (same and p == q):
+                    if furthest[k] + radii[k] <= reach - INSIDE and not (same and p == q):
                         parts.whole(one.points_under(below, p), two.points_under(below, q))
                     else:
                         stack.append((below, p, q))
@@ -289,18 +305,17 @@ def threshold_links(
     ).repartition(F.col("dim"), F.col("shard"), F.col("other"))
 
     def walk(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                alike = row["shard"] == row["other"]
-                one = CoverTree.from_bytes(row["tree"])
-                two = one if alike else CoverTree.from_bytes(row["other_tree"])
-                parts = traverse(one, two, alike, cosine)
-                ids = one.ids if alike else np.concatenate([one.ids, two.ids])
-                some = np.flatnonzero(parts.links)
-                yield arrow_rows(
-                    FOUND, point=ids[some], links=parts.links[some],
-                    part=ids[roots(parts.part)[some]],
-                )
+        for row in row_by_row(batches):
+            alike = row["shard"] == row["other"]
+            one = CoverTree.from_bytes(row["tree"])
+            two = one if alike else CoverTree.from_bytes(row["other_tree"])
+            parts = traverse(one, two, alike, cosine)
+            ids = one.ids if alike else np.concatenate([one.ids, two.ids])
+            some = np.flatnonzero(parts.links)
+            yield arrow_rows(
+                FOUND, point=ids[some], links=parts.links[some],
+                part=ids[roots(parts.part)[some]],
+            )
 
     found = stage(
         both.select("shard", "other", "tree", "other_tree").mapInArrow(walk, FOUND_DDL), "point-links"

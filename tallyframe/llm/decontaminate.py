@@ -20,6 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .frames import free_name
 from .words import words
 
 LEAD = 3
@@ -125,8 +126,7 @@ def remove_contaminated(
     null and repeated ids make no difference.
     """
     judged = contamination(docs, benchmark, text_col=text_col, **options)
-    bad = judged.where("contaminated").select("text_key").distinct()
-    keyed = docs.withColumn("__text_key", F.sha2(F.col(text_col).cast("string"), 256))
-    return keyed.join(
-        bad.withColumnRenamed("text_key", "__text_key"), "__text_key", "left_anti"
-    ).select(*docs.columns)
+    key = free_name(docs, "text_key")
+    bad = judged.where("contaminated").select(F.col("text_key").alias(key)).distinct()
+    keyed = docs.withColumn(key, F.sha2(F.col(text_col).cast("string"), 256))
+    return keyed.join(bad, key, "left_anti").select(*docs.columns)

@@ -63,6 +63,15 @@ def release_memory() -> None:
         trim(0)
 
 
+def free_name(frame: DataFrame, name: str) -> str:
+    """``name``, or the first variation of it that no column of the frame has in any case."""
+    taken = {column.lower() for column in frame.columns}
+    found, k = name, 0
+    while found.lower() in taken:
+        found, k = f"{name}_{k}", k + 1
+    return found
+
+
 def arrow_rows(schema: pa.Schema, **columns) -> pa.RecordBatch:
     """One record batch with the columns of ``schema`` in order."""
     arrays = [pa.array(columns[field.name], field.type) for field in schema]
@@ -70,6 +79,6 @@ def arrow_rows(schema: pa.Schema, **columns) -> pa.RecordBatch:
 
 
 __all__ = [
-    "BATCH_CHARS", "arrow_rows", "release_memory", "row_by_row", "stage", "table", "text_batches",
+    "BATCH_CHARS", "arrow_rows", "free_name", "release_memory", "row_by_row", "stage", "table", "text_batches",
     "whole_texts",
 ]

@@ -22,12 +22,11 @@ every document is ``und``, and only those without a letter are rejected. Repeate
 from __future__ import annotations
 
 import math
-import re
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .frames import arrow_rows, text_batches
@@ -38,7 +37,6 @@ BUCKET_BITS = 16
 WIDTH = 16
 REJECT_BELOW = 0.4
 MAX_LANGUAGES = 200
-LETTER = re.compile(r"[^\W\d_]")
 
 SCHEMA = pa.schema([
     ("doc_id", pa.int64()), ("lang_pred", pa.string()), ("score", pa.float64()),
@@ -58,6 +56,11 @@ def letter_bytes() -> np.ndarray:
 FOLD = letter_bytes()
 
 
+def has_letter(text: str) -> bool:
+    """Whether a text holds a letter; number signs such as fractions are none."""
+    return any(map(str.isalpha, text))
+
+
 def gram_buckets(text: bytes) -> np.ndarray:
     """Bucket of every n-gram of a text, all lengths of GRAMS one after another."""
     padded = np.concatenate([[32], FOLD[np.frombuffer(text, np.uint8)], [32]]).astype(np.uint32)
@@ -96,7 +99,7 @@ class LanguageModel:
 
     def predict(self, text: str | None) -> tuple[str, float, bool]:
         """(language, probability, rejected) of one whole text."""
-        if not text or not LETTER.search(text):
+        if not text or not has_letter(text):
             return UNKNOWN, 0.0, True
         if not self.languages:
             return UNKNOWN, 0.0, False
@@ -148,7 +151,7 @@ def fit(
 
 def calibrate(model: LanguageModel, texts: list[str], classes: np.ndarray, share: float) -> None:
     """Temperature of least log loss, then the threshold, on texts not trained on."""
-    lettered = [i for i, text in enumerate(texts) if LETTER.search(text)]
+    lettered = [i for i, text in enumerate(texts) if has_letter(text)]
     if not lettered:
         return
     logits = np.array([model.logits(texts[i]) for i in lettered])
@@ -170,17 +173,21 @@ def fit_language_model(
     """Fit on at most ``sample_rows`` rows for which ``trainable`` holds.
 
     Rows are chosen per language by a hash of the id, so the sample does not depend on
-    how the table is partitioned; of a longer text the first ``sample_chars / sample_rows``
-    characters are learned from, which bounds what comes to the driver. Every label is learned;
+    how the table is partitioned; of a longer text a run of ``sample_chars / sample_rows``
+    characters is learned from, whose place follows from the same hash, which bounds what comes to
+    the driver. The table is read twice, to count the labels and to draw the sample, however many
+    labels there are. Every label is learned;
     more than ``max_languages`` of them raise a ValueError, as the model and the number of
     samples drawn grow with them.
     """
     chars = max(1, sample_chars // sample_rows)
+    turn = F.xxhash64(F.col(id_col).cast("string"))
+    body = F.col(text_col).cast("string")
+    place = F.pmod(turn, F.greatest(F.length(body) - chars, F.lit(0)) + 1) + 1
     rows = docs.where(trainable & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()
                       & (F.length(F.trim(F.col(lang_col))) > 0)).select(
-        F.col(lang_col).cast("string").alias("lang"),
-        F.substring(F.col(text_col).cast("string"), 1, chars).alias("text"),
-        F.xxhash64(F.col(id_col).cast("string")).alias("turn"),
+        F.col(lang_col).cast("string").alias("lang"), turn.alias("turn"),
+        F.substring(body, place.cast("int"), F.lit(chars)).alias("text"),
     )
     kinds = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang")
     kinds = kinds.limit(max_languages + 1).collect()
@@ -191,14 +198,17 @@ def fit_language_model(
     if not kinds:
         return fit([], [])
     share = math.ceil(sample_rows / len(kinds))
-    sampled = None
+    bounds = []
     for kind in kinds:
         # twice the share by hash range on average, then the smallest hashes
         part = min(1.0, 2 * share / kind["count"] + 0.01)
         bound = min(int(-(1 << 63) + part * (1 << 64)), (1 << 63) - 1)
-        few = rows.where((F.col("lang") == kind["lang"]) & (F.col("turn") <= bound))
-        few = few.orderBy("turn", "text").limit(share).select("lang", "text")
-        sampled = few if sampled is None else sampled.unionAll(few)
+        bounds += [F.lit(kind["lang"]), F.lit(bound)]
+    few = rows.where(F.col("turn") <= F.create_map(*bounds)[F.col("lang")])
+    ranked = few.withColumn(
+        "rank", F.row_number().over(Window.partitionBy("lang").orderBy("turn", "text"))
+    )
+    sampled = ranked.where(F.col("rank") <= share).select("lang", "text")
     found = sorted((r["lang"], r["text"]) for r in sampled.collect())
     return fit([text for _, text in found], [lang for lang, _ in found])
 

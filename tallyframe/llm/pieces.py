@@ -29,7 +29,7 @@ SPACED_WORDS = re.compile(f"[{SPACES}]*[^{SPACES}]+|[{SPACES}]+")
 #: Words alone, for tokenizers that drop white space.
 WORDS = re.compile(f"[^{SPACES}]+")
 
-TABLE_LIMIT = 700_000
+TABLE_LIMIT = 1_100_000
 
 # The vocabulary files that the queries use.
 BYTE_LEVEL = "byte_bpe_50k.json"

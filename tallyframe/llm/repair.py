@@ -10,9 +10,10 @@ a shard stays as it is. Both cost compression only, and decoding is exact with a
 the remaining symbols, and per document its id and how many symbols it has, so that any
 range of ids is decoded from the symbols that cover it.
 
-Shard file, little-endian: magic ``RPG1``; then for each of the arrays in ``FIELDS`` its
-item type (2 bytes), count (8 bytes) and items. ``high`` holds the bits above 16 of the
-symbols, of which ``low`` holds the lower 16. Shard files are the binary cells of a Parquet
+Shard file, little-endian: magic ``RPG2``; then for each of the arrays in ``FIELDS`` its
+item type (2 bytes), count (8 bytes) and items. ``low`` holds the lower 16 bits of the symbols;
+for each bit above them that the largest symbol has, ``high`` holds one bit a symbol, eight to a
+byte, so that a symbol takes as many bits as the grammar needs. Shard files are the binary cells of a Parquet
 table, one row each, which is how Spark writes and reads them on any store.
 
 Defined results: a null text is empty and yields the end id alone; a null doc_id sorts first
@@ -30,10 +31,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .frames import arrow_rows, text_batches, whole_texts
+from .frames import arrow_rows, row_by_row, text_batches, whole_texts
 from .pieces import crc32, encoder, ragged_positions
 
-MAGIC = b"RPG1"
+MAGIC = b"RPG2"
 FIELDS = ("base", "doc_ids", "doc_valid", "doc_symbols", "left", "right", "rule_lengths", "low", "high")
 
 SHARD_TOKENS = 2_000_000
@@ -75,7 +76,8 @@ class Shard:
             "doc_valid": self.doc_valid.astype("u1"), "doc_symbols": self.doc_symbols.astype("<u4"),
             "left": self.left.astype("<u4"), "right": self.right.astype("<u4"),
             "rule_lengths": self.rule_lengths.astype("<u4"),
-            "low": (self.symbols & 0xFFFF).astype("<u2"), "high": (self.symbols >> 16).astype("u1"),
+            "low": (self.symbols & 0xFFFF).astype("<u2"),
+            "high": np.packbits(self._planes(), axis=1).ravel(),
         }
         out = [MAGIC]
         for name in FIELDS:
@@ -83,6 +85,13 @@ class Shard:
             out += [array.dtype.str[1:].encode(), struct.pack("<Q", len(array)), array.tobytes()]
         return b"".join(out)
 
+    def _planes(self) -> np.ndarray:
+        """The bits above 16, a row for each."""
+        count = max(0, int(self.symbols.max(initial=0)).bit_length() - 16)
+        return np.array([self.symbols >> 16 + k & 1 for k in range(count)], np.uint8).reshape(
+            count, len(self.symbols)
+        )
+
     @classmethod
     def from_bytes(cls, body: bytes) -> Shard:
         if body[:4] != MAGIC:
@@ -93,7 +102,11 @@ class Shard:
             (count,) = struct.unpack_from("<Q", body, at + 2)
             parts[name] = np.frombuffer(body, kind, count, at + 10)
             at += 10 + count * kind.itemsize
-        symbols = parts.pop("low").astype(np.int64) | parts.pop("high").astype(np.int64) << 16
+        symbols, high = parts.pop("low").astype(np.int64), parts.pop("high")
+        row = -(-len(symbols) // 8)
+        for k in range(len(high) // row if row else 0):
+            bits = np.unpackbits(high[k * row:(k + 1) * row], count=len(symbols))
+            symbols |= bits.astype(np.int64) << 16 + k
         return cls(base=int(parts.pop("base")[0]), symbols=symbols, **parts)
 
     def _lengths(self, symbols: np.ndarray) -> np.ndarray:
@@ -265,15 +278,14 @@ def decoded_documents(shards: DataFrame) -> DataFrame:
     row a part) and of the shards before it in its part; shard bodies are not shuffled.
     """
     def decode(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                found = list(Shard.from_bytes(row["body"]).documents())
-                sizes = np.array([len(ids) for _, ids in found], np.int64)
-                yield arrow_rows(
-                    DECODED, part=[row["part"]] * len(found), seq=[row["seq"]] * len(found),
-                    doc_id=[doc_id for doc_id, _ in found], before=np.cumsum(sizes) - sizes,
-                    n_tokens=sizes, ids_crc32=[crc32(ids) for _, ids in found],
-                )
+        for row in row_by_row(batches):
+            found = list(Shard.from_bytes(row["body"]).documents())
+            sizes = np.array([len(ids) for _, ids in found], np.int64)
+            yield arrow_rows(
+                DECODED, part=[row["part"]] * len(found), seq=[row["seq"]] * len(found),
+                doc_id=[doc_id for doc_id, _ in found], before=np.cumsum(sizes) - sizes,
+                n_tokens=sizes, ids_crc32=[crc32(ids) for _, ids in found],
+            )
 
     sizes = shards.select("part", "seq", "n_tokens")
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .decontaminate import remove_contaminated
-from .frames import stage, table
+from .frames import free_name, stage, table
 from .langid import fit_language_model, predicted_language
 from .order_minhash import near_duplicates
 from .packing import pack
@@ -28,26 +28,36 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Order MinHash: of each group of near-duplicates the smallest doc_id stays.
+    """Order MinHash: of each group of near-duplicate rows one stays, that of the smallest doc_id
+    (ties: the first row of the staged table).
 
-    Rows that share a doc_id stay or go together; rows without doc_id stay.
+    Rows are judged by their texts, whatever ids they share: of identical rows one stays, and a
+    text that shares its id with a copy of another stays. Rows without doc_id stay all, and take
+    no other row away.
     """
-    judged = near_duplicates(docs)
-    gone = judged.where(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    row = free_name(docs, "row_number")
+    numbered = stage(docs.withColumn(row, F.monotonically_increasing_id()), "numbered-documents")
+    ids = numbered.select(F.col(row).alias("row"), "doc_id", "text").where(F.col("doc_id").isNotNull())
+    groups = near_duplicates(ids, id_col="row").select(F.col("doc_id").alias("row"), "group_id")
+    stays = ids.select("row", "doc_id").join(groups, "row").groupBy("group_id").agg(
+        F.min(F.struct("doc_id", "row"))["row"].alias(row)
+    ).select(row)
+    unnamed = numbered.where(F.col("doc_id").isNull()).select(row)
+    return numbered.join(stays.union(unnamed), row, "left_semi").select(*docs.columns)
 
 
 def remove_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Suffix dedup: characters of repeated 50-byte strings go, ``n_chars`` follows the text."""
-    numbered = stage(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
-    kept = remove_repeated_bytes(numbered, row_col="__row", characters=True).select(
-        F.col("row").alias("__row"), F.col("kept").cast("string").alias("__text")
-    )
-    joined = numbered.drop("text").join(kept, "__row")
-    changed = {"text": F.col("__text")}
+    row, text = free_name(docs, "row_number"), free_name(docs, "kept_text")
+    numbered = stage(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    kept = remove_repeated_bytes(
+        numbered.select("doc_id", "text", F.col(row).alias("row")), row_col="row", characters=True
+    ).select(F.col("row").alias(row), F.col("kept").cast("string").alias(text))
+    joined = numbered.drop("text").join(kept, row)
+    changed = {"text": F.col(text)}
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
-        changed["n_chars"] = F.length("__text").cast(kind)
+        changed["n_chars"] = F.length(text).cast(kind)
     return joined.withColumns(changed).select(*docs.columns)
 
 

@@ -102,3 +102,31 @@ def test_stage_functions_are_the_operators():
         stages.keep_known_languages, stages.keep_one_of_each_group, stages.remove_repeated_passages,
         stages.remove_benchmark_documents, stages.pack_sequences,
     ]
+
+
+CLASHES = "row_number string, ROW_NUMBER_0 string, text_key string, kept_text string, __row string, __text string, __text_key string"
+
+
+def clashing(spark, rows):
+    kind = f"doc_id long, text string, lang string, source string, n_chars long, {CLASHES}"
+    return spark.createDataFrame([(i, t, "en", "s", len(t or ""), *"abcdefg") for i, t in rows], kind)
+
+
+def test_names_of_the_input_stay(spark):
+    rows = [(i, f"words of the text number {i} and more words that stand here in a row") for i in range(9)]
+    docs = clashing(spark, [*rows, (20, rows[0][1])])
+    for name, apply in corpus_pipeline.STAGES[:-1]:
+        found = apply(spark, docs, FOLDER)
+        assert found.columns == docs.columns
+        kept = found.select(*docs.columns[5:]).distinct().collect()
+        assert [tuple(row) for row in kept] == [tuple("abcdefg")]
+
+
+def test_colliding_ids_and_identical_rows(spark):
+    one = " ".join(f"one{k}" for k in range(40))
+    two = " ".join(f"two{k}" for k in range(40))
+    rows = [(1, two), (5, one), (5, two), (9, one), (7, one), (7, one), (3, "alone"), (3, "alone"), (None, one), (None, one)]
+    kept = stages.keep_one_of_each_group(spark, clashing(spark, rows), FOLDER)
+    assert sorted(pairs(kept), key=str) == sorted(
+        [(1, two), (5, one), (3, "alone"), (None, one), (None, one)], key=str
+    )

@@ -1,6 +1,8 @@
 """Language identification, licence scan, decontamination and vector links."""
 
 import hashlib
+import math
+import unicodedata
 import zlib
 
 import numpy as np
@@ -60,6 +62,56 @@ def test_no_language_is_dropped(spark):
     assert fit_language_model(few, F.lit(True), max_languages=3).languages == labels[:3]
 
 
+def test_number_signs_are_no_letters(spark):
+    rows = [(0, "½"), (1, "² ①"), (2, "Ⅷ 12"), (3, "ª"), (4, "\u02b0"), (5, "中")]
+    model = fit(["the of and to", "der die und das"] * 40, ["en", "de"] * 40)
+    found = {row["doc_id"]: row["lang_pred"] for row in predict_languages(documents(spark, rows), model).collect()}
+    letters = {i for i, text in rows if any(unicodedata.category(c)[0] == "L" for c in text)}
+    assert {i for i, lang in found.items() if lang != "und"} == letters == {3, 4, 5}
+
+
+def plain_prediction(model, text):
+    """The model's prediction with dictionaries and one n-gram at a time."""
+    folded = [b if b >= 128 else (ord(chr(b).lower()) if chr(b).isalpha() else 32) for b in text.encode()]
+    folded = [32, *folded, 32]
+    sums, count = [0.0] * len(model.languages), 0
+    for length in (1, 2, 3, 4):
+        for k in range(len(folded) - length + 1):
+            packed = int.from_bytes(bytes(folded[k:k + length]), "big")
+            bucket = ((packed + length) * 2654435761 % 2**32) >> 16
+            count += 1
+            for j in range(len(sums)):
+                sums[j] += float(model.weights[j][bucket])
+    powers = [math.exp((x / count + float(b)) / model.temperature) for x, b in zip(sums, model.bias)]
+    best = max(range(len(powers)), key=powers.__getitem__)
+    return model.languages[best], powers[best] / sum(powers)
+
+
+def test_prediction_against_a_plain_one(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    model = fit_language_model(docs, F.lit(True))
+    for row in predict_languages(docs, model).join(docs, "doc_id").limit(40).collect():
+        if row["lang_pred"] != "und":
+            lang, score = plain_prediction(model, row["text"])
+            assert row["lang_pred"] == lang and abs(row["score"] - score) < 1e-6
+
+
+def test_fitting_reads_the_table_twice(spark):
+    docs = spark.createDataFrame(
+        [(k, f"text of language {k % 30}", f"l{k % 30}") for k in range(300)],
+        "doc_id long, text string, lang string",
+    ).repartition(3)
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    model = fit_language_model(docs.mapInArrow(counted, docs.schema), F.lit(True))
+    assert len(model.languages) == 30 and read.value == 2 * 300
+
+
 def brute_base(text):
     parts = words(text)
     places = []
@@ -227,3 +279,31 @@ def test_vector_links(spark, shard):
     found = threshold_links(frame, shard_points=shard).collect()
     assert sorted((str(r[0]), r[1], str(r[2]), r[3]) for r in found) == brute_links(rows)
     assert threshold_links(frame.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("width", [1e-5, 1e-4, 4.5e-4, 1e-3, 1e-2])
+def test_links_of_narrow_clusters_at_the_threshold(width):
+    from tallyframe.llm.cover_tree import CoverTree, traverse, unit
+
+    chance = np.random.default_rng(int(width * 1e6))
+    for trial in range(400):
+        size = int(chance.integers(2, 9))
+        one = unit(chance.normal(size=(1, size + 2)))[0]
+        side = chance.normal(size=size + 2)
+        side -= side @ one * one
+        side /= np.linalg.norm(side)
+        cosine = 0.9 + chance.choice([-1, 1, 0]) * 10.0 ** -chance.integers(4, 12)
+        two = cosine * one + np.sqrt(1 - cosine**2) * side
+        noise = chance.normal(size=(6, size + 2)) * width
+        points = unit(np.vstack([one, two, one + noise[:3], two + noise[3:]]))
+        cosines = points @ points.T
+        if np.abs(cosines - 0.9).min() < 1e-14:
+            continue  # nearer to the threshold than a double product of other shape can tell
+        expected = (cosines >= 0.9).sum(axis=1) - 1
+        ids, weights = np.arange(8), np.ones(8, np.int64)
+        whole = CoverTree(ids, weights, points)
+        assert (traverse(whole, whole, True, 0.9).links == expected).all()
+        left, right = CoverTree(ids[:4], weights[:4], points[:4]), CoverTree(ids[4:], weights[4:], points[4:])
+        between = traverse(left, right, False, 0.9).links
+        own = np.r_[traverse(left, left, True, 0.9).links, traverse(right, right, True, 0.9).links]
+        assert (between + own == expected).all()

@@ -3,6 +3,7 @@
 import zlib
 from collections import Counter, defaultdict
 
+import duckdb
 import numpy as np
 import pytest
 from hypothesis import given, settings
@@ -11,7 +12,7 @@ from hypothesis import strategies as st
 from tallyframe.llm import catalog
 from tallyframe.llm.frames import stage
 from tallyframe.llm.packing import pack, plan
-from tallyframe.llm.pieces import BYTE_LEVEL, WORD_LEVEL, PieceEncoder, vocabulary
+from tallyframe.llm.pieces import BYTE_LEVEL, WORD_LEVEL, PieceEncoder, encoder, vocabulary
 from tallyframe.llm.repair import Shard, compress, decoded_documents, token_shards
 from tallyframe.llm.token_counts import RankMerger, token_counts
 
@@ -161,3 +162,18 @@ def test_packing_of_repeated_rows_and_none(spark):
     found = pack(frame, vocabulary(WORD_LEVEL))
     assert found.where("start = 0").count() == frame.count()
     assert pack(nothing(spark), vocabulary(WORD_LEVEL)).count() == 0
+
+
+def test_shards_are_smaller_than_their_ids():
+    docs = duckdb.sql("SELECT doc_id, coalesce(text, '') FROM '/root/testdata/sf0.01/documents.parquet' ORDER BY doc_id").fetchall()
+    coder = encoder(vocabulary(BYTE_LEVEL), True)
+    parts = [np.append(ids, np.uint32(0)) for ids in coder.encode_all([text for _, text in docs])]
+    shard = compress([i for i, _ in docs], parts, len(coder.weights))
+    body = shard.to_bytes()
+    count = sum(map(len, parts))
+    # raw ids of this vocabulary take 16 bits; symbols, rules and documents are all counted
+    assert len(body) < 0.85 * 2 * count
+    assert [ids.tolist() for _, ids in Shard.from_bytes(body).documents()] == [ids.tolist() for ids in parts]
+    many = Shard(5, np.zeros(1, np.int64), np.ones(1, bool), np.array([9]), np.zeros(0, np.int64),
+                 np.zeros(0, np.int64), np.zeros(0, np.int64), np.array([0, 1 << 16, 5, 1 << 17, 3, 2**18 - 1, 7, 8, 9]))
+    assert Shard.from_bytes(many.to_bytes()).symbols.tolist() == many.symbols.tolist()
