@@ -13,7 +13,7 @@ from .decontaminate import contamination
 from .doubling import remove_repeated_windows
 from .frames import stage, table
 from .langid import fit_language_model, predict_languages
-from .licenses import BASE_PHRASES, scan_licenses
+from .licenses import BASE_PHRASES, RARE_WORDS, TEMPLATES, VOTES, scan_licenses
 from .order_minhash import near_duplicates
 from .packing import pack
 from .pieces import BYTE_LEVEL, WORD_LEVEL, vocabulary
@@ -127,7 +127,61 @@ _WORDS = (
     r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 )
 
+
+
+def _listed(text: str) -> str:
+    return "[" + ", ".join(f"'{word}'" for word in text.split()) + "]"
+
+
+_BASE_VALUES = ", ".join(f"('{label}', {_listed(phrase)})" for phrase, label in BASE_PHRASES.items())
+_TEMPLATE_VALUES = ", ".join(f"('{label}', {_listed(text)})" for label, (text, _) in TEMPLATES.items())
+_KEY_VALUES = ", ".join(f"('{label}', ' {key} ')" for label, (_, keys) in TEMPLATES.items() for key in keys)
+
 SQL: dict[str, str] = {
+    "op6_license_scan": f"""
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
+        phrases(label, p) AS (VALUES {_BASE_VALUES}),
+        templates(label, t) AS (VALUES {_TEMPLATE_VALUES}),
+        keys(label, k) AS (VALUES {_KEY_VALUES}),
+        base AS (
+            SELECT r, i - 1 AS place, label
+            FROM d, unnest(range(1, len(w) + 1)) AS u(i), phrases
+            WHERE w[i] = p[1] AND w[i:i + len(p) - 1] = p),
+        bases AS (
+            SELECT r, count(*) AS n_base, min(place) AS first_word, max(place) AS last_word,
+                   string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels
+            FROM base GROUP BY r),
+        frequency AS (
+            SELECT word, count(*) AS n FROM (SELECT DISTINCT r, unnest(w) AS word FROM d) GROUP BY word),
+        verified AS (
+            SELECT r, label FROM d, keys GROUP BY r, label
+            HAVING bool_and(contains(' ' || array_to_string(w, ' ') || ' ', k))),
+        looked_up AS (
+            SELECT r, label, word
+            FROM (SELECT r, label, unnest(list_distinct(t)) AS word
+                  FROM verified JOIN templates USING (label)) AS x
+                 JOIN d USING (r) JOIN frequency USING (word)
+            WHERE list_contains(w, word)
+            QUALIFY row_number() OVER (PARTITION BY r, label ORDER BY n, word) <= {RARE_WORDS}),
+        votes AS (
+            SELECT r, label, i - j AS distance, count(DISTINCT word) AS agreeing
+            FROM looked_up JOIN d USING (r) JOIN templates USING (label),
+                 unnest(range(1, len(w) + 1)) AS u(i), unnest(range(1, len(t) + 1)) AS v(j)
+            WHERE w[i] = word AND t[j] = word GROUP BY r, label, distance),
+        accepted AS (
+            SELECT r, label, max(agreeing) / any_value(n) AS share
+            FROM votes JOIN (SELECT r, label, count(*) AS n FROM looked_up GROUP BY r, label)
+                 USING (r, label)
+            WHERE agreeing >= {VOTES} GROUP BY r, label),
+        all_labels AS (
+            SELECT r, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
+            FROM (SELECT r, label FROM base UNION ALL SELECT r, label FROM accepted) GROUP BY r)
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base,
+               first_word, last_word, coalesce(base_labels, '') AS base_labels,
+               coalesce(labels, '') AS labels,
+               CASE WHEN n_base > 0 THEN 1.0::DOUBLE ELSE coalesce(best, 0.0::DOUBLE) END AS score
+        FROM d LEFT JOIN bases USING (r) LEFT JOIN all_labels USING (r)
+             LEFT JOIN (SELECT r, max(share) AS best FROM accepted GROUP BY r) USING (r)""",
     # SQL has no crc32: one step per byte over a table of 256 values, as in its definition.
     "op11_spelling_variants": f"""
         WITH RECURSIVE steps AS (

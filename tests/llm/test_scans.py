@@ -4,6 +4,7 @@ import hashlib
 import math
 import unicodedata
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -13,7 +14,9 @@ from tallyframe.llm import catalog
 from tallyframe.llm.cover_tree import threshold_links
 from tallyframe.llm.decontaminate import contamination, remove_contaminated
 from tallyframe.llm.langid import LanguageModel, fit, fit_language_model, predict_languages
-from tallyframe.llm.licenses import BASE_PHRASES, TEMPLATES, scan_licenses
+from tallyframe.llm.licenses import (
+    BASE_PHRASES, RARE_WORDS, TEMPLATES, VOTES, document_frequencies, postings, scan_licenses,
+)
 
 from ..support import connect, mismatch
 from .samples import documents, nothing, prose, texts, words
@@ -123,14 +126,40 @@ def brute_base(text):
     return len(parts), len(places), first, last, ",".join(sorted({label for _, label in places}))
 
 
+def brute_licenses(rows):
+    """All columns of the scan, with sets and one document at a time."""
+    cut = [words(text) for _, text in rows]
+    frequency = Counter(word for parts in cut for word in set(parts))
+    out = []
+    for (i, text), parts in zip(rows, cut):
+        base = brute_base(text)
+        joined, shares = f" {' '.join(parts)} ", {}
+        for label, (template, keys) in TEMPLATES.items():
+            if not all(f" {key} " in joined for key in keys):
+                continue
+            own = template.split()
+            present = sorted(set(own) & set(parts), key=lambda word: (frequency[word], word))[:RARE_WORDS]
+            votes = {}
+            for k, word in enumerate(parts):
+                if word in present:
+                    for j in range(len(own)):
+                        if own[j] == word:
+                            votes.setdefault(k - j, set()).add(word)
+            best = max(map(len, votes.values()))
+            if best >= VOTES:
+                shares[label] = best / len(present)
+        labels = set(shares) | set(base[4].split(",")) - {""}
+        score = 1.0 if base[1] else max(shares.values(), default=0.0)
+        out.append((i, *base, ",".join(sorted(labels)), score))
+    return sorted(map(str, out))
+
+
 def test_license_base_phrases(spark):
     whole = spark.read.parquet(f"{FOLDER}/documents.parquet")
     for frame in (documents(spark), whole):
-        rows = scan_licenses(frame).select(
-            "doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels"
-        ).collect()
-        expected = [(r["doc_id"], *brute_base(r["text"])) for r in frame.select("doc_id", "text").collect()]
-        assert sorted(map(str, map(tuple, rows))) == sorted(map(str, expected))
+        rows = scan_licenses(frame).collect()
+        expected = brute_licenses([tuple(r) for r in frame.select("doc_id", "text").collect()])
+        assert sorted(str(tuple(row)) for row in rows) == expected
     assert scan_licenses(nothing(spark)).count() == 0
 
 
@@ -163,15 +192,42 @@ def test_license_templates_take_no_votes_from_each_other(spark):
         *[(100 + k, texts["isc"]) for k in range(40)],  # a hot source
         (200, "form code subject source terms source form " + prose(8, 30) + " mozilla public license"),
     ]
-    found = {row["doc_id"]: row for row in scan_licenses(documents(spark, rows)).collect()}
+    judged = scan_licenses(documents(spark, rows)).collect()
+    assert sorted(str(tuple(row)) for row in judged) == brute_licenses(rows)
+    found = {row["doc_id"]: row for row in judged}
     assert found[1]["labels"] == "gpl,mit"
     assert found[2]["labels"] == ",".join(sorted(texts))
     for k, label in enumerate(sorted(texts)):
         assert found[10 + k]["labels"] == label and found[10 + k]["score"] == 1.0
     assert all(found[100 + k]["labels"] == "isc" for k in range(40))
+    # of eight words of the template the last three agree on one distance
     assert found[200]["labels"] == "mpl" and found[200]["score"] == 3 / 8
 
 
+def test_license_words_are_looked_up_by_frequency(spark):
+    text = TEMPLATES["mit"][0]
+    grant = text[:text.index(" including")]
+    rows = [
+        (1, prose(9, 80) + " " + text + " " + prose(10, 80)), (2, grant), (3, grant[:60]),
+        # in a file that holds the phrases apart from each other, no three words agree
+        (4, f" {prose(11, 9)} ".join(TEMPLATES["bsd"][1])), (5, None),
+        *[(10 + k, "hereby granted deal restriction dealings noninfringement " + prose(12 + k, 20))
+          for k in range(30)],  # what the licence alone has elsewhere is common here
+        *[(50 + k, text) for k in range(20)],  # a hot source
+    ]
+    frame = documents(spark, rows)
+    for options in ({}, {"rare_words": 3}, {"votes": 1}):
+        found = scan_licenses(frame, **options).collect()
+        if not options:
+            assert sorted(str(tuple(row)) for row in found) == brute_licenses(rows)
+        by_id = {row["doc_id"]: row for row in found}
+        assert [by_id[i]["labels"] for i in (1, 2, 3, 5)] == ["mit", "mit", "", ""]
+        assert all(by_id[50 + k]["labels"] == "mit" and by_id[50 + k]["score"] == 1.0 for k in range(20))
+    vocabulary = sorted({word for word, _, _ in postings()})
+    counted = document_frequencies(frame.selectExpr("split(text, ' ') AS w"), vocabulary)
+    assert counted["hereby"] == 30 + 23 and counted["noninfringement"] == 30 + 21
+
+
 def brute_contamination(rows, items):
     windows = {}
     for item, text in items:
