@@ -62,6 +62,17 @@ def test_token_counts(spark):
     assert token_counts(nothing(spark), vocabulary(BYTE_LEVEL)).count() == 0
 
 
+def test_token_counts_of_the_whole_table(spark):
+    encode = library(BYTE_LEVEL)
+    rows = spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text").collect()
+    expected = []
+    for row in rows:
+        tokens = len(encode(row["text"]))
+        expected.append((row["doc_id"], len((row["text"] or "").encode()), tokens, tokens > 1024))
+    found = catalog.op9_token_counts(spark, FOLDER).select("doc_id", "n_bytes", "n_tokens", "over_limit")
+    assert sorted(map(tuple, found.collect())) == sorted(expected)
+
+
 @given(st.lists(st.lists(st.integers(0, 5), min_size=1, max_size=400), min_size=1, max_size=5))
 @settings(max_examples=60, deadline=None)
 def test_grammar_round_trip(parts):
