@@ -1,15 +1,16 @@
 """Benchmark decontamination with a broadcast set of normalised test n-grams.
 
 Every benchmark item gives its windows of ``n`` consecutive words; an item of fewer words,
-but not none, is one window. A document's word positions are scanned inside the row: a
-position is taken further only if the hash of its first words is among those that begin a
-window, and then its whole window, as text, is looked up in the broadcast windows, so that
-hits are exact. One row per document is shuffled, by a key that is unique to the row, which
-leaves no hot key.
+but not none, is one window. A document's word positions are scanned inside the row: hashes of
+a position's first words, and then of its whole window, are tested against an array of bits;
+what passes is looked up, as text, among the windows, so that hits are exact. One row per
+document is shuffled, by a key that is unique to the row, which leaves no hot key.
 
-The windows are broadcast only if there are at most ``broadcast_windows`` of them (counted
-first); beyond that Spark joins them as it sees fit. Likewise the set of first words is put
-into the scan only up to ``filter_windows``. Both leave the result unchanged.
+The plan is the same for every number of windows. The bits are the result of a scalar subquery,
+16 for each hash and at most ``filter_bits`` (4 MB by default) in all: where they fill up, more
+positions pass to the lookup, and the result stays. The windows are broadcast if their texts and
+items, which are counted first, have at most ``broadcast_bytes``; beyond that Spark joins them as
+it sees fit.
 
 Defined results: a null text has no words and no hit; an empty benchmark hits nothing;
 repeated rows are each judged; windows that several items share count for all of them.
@@ -20,14 +21,23 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .frames import free_name
+from .frames import free_name, stage
 from .words import words
 
 LEAD = 3
+BITS_A_HASH = 16
+ENTRY_BYTES = 64
+
+
+def _prints(window: Column, size: int | Column) -> tuple[Column, Column]:
+    """Hashes of the first words and of all words of a window."""
+    size = F.lit(size) if isinstance(size, int) else size
+    lead = F.slice(window, F.lit(1), F.least(size, F.lit(LEAD)))
+    return F.xxhash64(F.lit("lead"), size, lead), F.xxhash64(F.lit("whole"), size, window)
 
 
 def benchmark_windows(benchmark: DataFrame, n: int, item_col: str, text_col: str) -> DataFrame:
-    """(window, window_size, lead, items): each distinct window once, with its items."""
+    """(window, window_size, prints, items): each distinct window once, with its items."""
     size = F.least(F.size("w"), F.lit(n))
     rows = benchmark.select(
         F.col(item_col).cast("string").alias("item_id"), words(F.col(text_col)).alias("w")
@@ -39,25 +49,60 @@ def benchmark_windows(benchmark: DataFrame, n: int, item_col: str, text_col: str
     window = F.slice("w", F.col("start"), F.col("window_size"))
     return starts.select(
         "item_id", "window_size", F.concat_ws(" ", window).alias("window"),
-        F.xxhash64(F.slice(window, 1, LEAD)).alias("lead"),
-    ).groupBy("window", "window_size", "lead").agg(F.collect_set("item_id").alias("items"))
+        F.array(*_prints(window, F.col("window_size"))).alias("prints"),
+    ).groupBy("window", "window_size", "prints").agg(F.collect_set("item_id").alias("items"))
+
+
+def _place(found: Column, bits: int) -> Column:
+    return F.pmod(found, F.lit(bits))
+
 
+def bit_array(windows: DataFrame, bits: int) -> DataFrame:
+    """One row: the bits of all hashes of the windows, 64 to a number."""
+    found = windows.select(F.explode("prints").alias("found"))
+    marked = found.select(_place(F.col("found"), bits).alias("place")).distinct().groupBy(
+        F.shiftright("place", 6).alias("id")
+    ).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), (F.col("place") % 64).cast("int")))
+          .alias("mask"))
+    every = windows.sparkSession.range(bits // 64).join(marked, "id", "left")
+    numbered = F.array_sort(F.collect_list(F.struct("id", F.coalesce("mask", F.lit(0)).alias("mask"))))
+    return every.agg(F.transform(numbered, lambda entry: entry["mask"]).alias("bits"))
 
-def _candidates(size: int, leads: list[int] | None) -> Column:
+
+def _candidates(found: Column, size: int, count: int) -> Column:
     """Windows of ``size`` words of the array ``w`` that may be in the set."""
-    last = F.size("w") - size
+    def marked(hashed: Column) -> Column:
+        place = _place(hashed, count)
+        bits = F.get(found["bits"], F.shiftright(place, 6).cast("int"))
+        return F.getbit(bits, (place % 64).cast("int")) == 1
+
+    def passes(i: Column) -> Column:
+        lead, whole = _prints(F.slice(found["w"], i + 1, size), size)
+        return marked(lead) & marked(whole)
+
+    last = F.size(found["w"]) - size
     starts = F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
-    if leads is not None:
-        lead = min(size, LEAD)
-        starts = F.filter(
-            starts, lambda i: F.xxhash64(F.slice("w", i + 1, lead)).isin(leads)
-        )
-    return F.transform(starts, lambda i: F.struct(
+    return F.transform(F.filter(starts, passes), lambda i: F.struct(
         i.alias("start"), F.lit(size).alias("size"),
-        F.concat_ws(" ", F.slice("w", i + 1, size)).alias("window"),
+        F.concat_ws(" ", F.slice(found["w"], i + 1, size)).alias("window"),
     ))
 
 
+def _scanned(sizes: list[int], count: int) -> Column:
+    """(n_words, found) of a row with ``w`` and ``bits``. Both are named one time only, so that
+    Catalyst puts their expressions into the scan, and no row carries a copy of the bits."""
+    empty = F.array().cast("array<struct<start:int,size:int,window:string>>")
+
+    def scan(row: Column) -> Column:
+        parts = [_candidates(row, size, count) for size in sizes]
+        return F.struct(
+            F.size(row["w"]).cast("bigint").alias("n_words"),
+            (F.concat(*parts) if parts else empty).alias("found"),
+        )
+
+    return F.get(F.transform(F.array(F.struct("w", "bits")), scan), F.lit(0))
+
+
 def _covered(spans: Column) -> Column:
     """Number of words in the union of (start, size) spans."""
     def add(state: Column, span: Column) -> Column:
@@ -75,35 +120,32 @@ def contamination(
     docs: DataFrame, benchmark: DataFrame, n: int = 13, share: int = 20,
     id_col: str = "doc_id", text_col: str = "text",
     item_col: str = "item_id", item_text_col: str = "text",
-    broadcast_windows: int = 2_000_000, filter_windows: int = 50_000,
+    broadcast_bytes: int = 64 << 20, filter_bits: int = 1 << 25,
 ) -> DataFrame:
     """Per document row: its hit words and the items whose windows occur in it.
 
     ``spans`` are the hit (start, size) windows, counted in words. A document is contaminated
     if ``share * n_hit >= n_words`` and there is a hit. ``text_key`` is the text's SHA-256.
     """
-    windows = benchmark_windows(benchmark, n, item_col, item_text_col)
-    counts = windows.groupBy("window_size").count().collect()  # at most n rows
-    sizes = {row["window_size"]: row["count"] for row in counts}
-    total = sum(sizes.values())
-    leads: dict[int, list[int]] | None = None
-    if total <= filter_windows:
-        leads = {size: [] for size in sizes}
-        for row in windows.select("window_size", "lead").distinct().collect():
-            leads[row["window_size"]].append(row["lead"])
-    empty = F.array().cast("array<struct<start:int,size:int,window:string>>")
-    parts = [_candidates(size, leads and leads[size]) for size in sorted(sizes)]
-    found = F.concat(*parts) if parts else empty
+    windows = stage(benchmark_windows(benchmark, n, item_col, item_text_col), "benchmark-windows")
+    item_bytes = F.aggregate("items", F.lit(0), lambda total, item: total + F.octet_length(item))
+    counts = windows.groupBy("window_size").agg(
+        F.count("*").alias("n"),
+        F.sum(F.octet_length("window") + item_bytes + F.lit(ENTRY_BYTES)).alias("bytes"),
+    ).collect()  # at most n rows
+    sizes = sorted(row["window_size"] for row in counts)
+    hashes = 2 * sum(row["n"] for row in counts)
+    n_bits = max(64, min(filter_bits, 1 << (BITS_A_HASH * hashes).bit_length()))
+    bits = bit_array(windows, n_bits).scalar()
     rows = docs.select(
-        F.monotonically_increasing_id().alias("row_id"),
         F.col(id_col).alias("doc_id"), F.sha2(F.col(text_col).cast("string"), 256).alias("text_key"),
-        words(F.col(text_col)).alias("w"),
+        words(F.col(text_col)).alias("w"), bits.alias("bits"),
     ).select(
-        "row_id", "doc_id", "text_key", F.size("w").cast("bigint").alias("n_words"),
-        F.explode_outer(found).alias("c"),
-    )
+        F.monotonically_increasing_id().alias("row_id"), "doc_id", "text_key",
+        _scanned(sizes, n_bits).alias("scan"),
+    ).select("row_id", "doc_id", "text_key", "scan.n_words", F.explode_outer("scan.found").alias("c"))
     known = windows.select("window", "items")
-    if total <= broadcast_windows:
+    if sum(row["bytes"] for row in counts) <= broadcast_bytes:
         known = F.broadcast(known)
     hits = rows.withColumn("window", F.col("c.window")).join(known, "window", "left")
     hit = F.when(F.col("items").isNotNull(), F.struct("c.start", "c.size"))

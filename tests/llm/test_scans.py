@@ -248,7 +248,7 @@ def brute_contamination(rows, items):
     return sorted(out)
 
 
-@pytest.mark.parametrize("options", [{}, {"filter_windows": 0}, {"broadcast_windows": 0}])
+@pytest.mark.parametrize("options", [{}, {"filter_bits": 64}, {"broadcast_bytes": 0}])
 def test_decontamination(spark, options):
     passage = prose(80, 40)
     items = [(1, passage), (2, "rare pair"), (3, None), (4, "!!"), (5, prose(81, 13)), (10, passage), (6, "solo")]
@@ -276,6 +276,22 @@ def test_decontamination_of_nothing(spark):
     assert len(rows) == documents(spark).count() and not any(row["n_hit"] for row in rows)
 
 
+def test_decontamination_by_many_windows(spark):
+    items = [(k, prose(1000 + k, 320)) for k in range(700)]
+    rows = [(k, prose(1000 + k * 11, 320)[k:] if k % 2 else prose(5000 + k, 300)) for k in range(60)]
+    benchmark = spark.createDataFrame(items, "item_id long, text string").repartition(4)
+    judged = contamination(documents(spark, rows), benchmark)
+    plan = judged._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin [window#" in plan and " AS bits#" not in plan  # no row carries the bits
+    found = judged.selectExpr(
+        "doc_id", "n_words", "n_hit", "cast(size(items) as bigint)", "sha2(array_join(items, ','), 256)",
+        "contaminated",
+    )
+    expected = brute_contamination(rows, items)
+    assert sum(row[5] for row in expected) == 30
+    assert sorted(map(tuple, found.collect())) == expected
+
+
 @pytest.mark.parametrize("name", sorted(catalog.oracle_sql()))
 def test_sql(spark, name):
     folder = "/root/testdata/sf0.001"
