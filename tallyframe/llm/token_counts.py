@@ -4,6 +4,9 @@ A text is cut into pieces at changes from non-space to space, the new pieces of
 are cut into pre-tokens, and the pre-tokens are held as one ragged array of byte symbols.
 In each step every pre-token that still has a mergeable pair replaces all occurrences of
 its lowest-ranked pair, all pre-tokens at once; the symbols that survive are its tokens.
+Pre-tokens of more than ``LONG`` bytes take far more steps than the others, so they go through
+the same steps as linked arrays in which a step touches the occurrences of one rank alone: the
+work for a text of a megabyte without a space is in proportion to its merges.
 Counts of pieces are kept in a bounded table per worker, so a word is merged one time.
 
 Defined results: a null text counts as empty (no tokens); special strings of the vocabulary
@@ -15,6 +18,7 @@ from __future__ import annotations
 
 import json
 from functools import cache
+from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +40,9 @@ PRE_TOKEN = (
 
 NO_RANK = np.int64(1) << 40
 
+#: Pre-tokens of more bytes than this are merged as linked arrays.
+LONG = 512
+
 
 def byte_letters() -> dict[int, str]:
     """Letter that stands for each byte in a byte-level vocabulary.
@@ -63,18 +70,34 @@ class RankMerger:
         order = np.argsort(keys, kind="stable")
         self.keys = keys[order]
         self.ranks = order.astype(np.int64)
-        self.merged = np.array([vocab[a + b] for a, b in pairs], np.int64)[order]
+        self.merged_by_rank = np.array([vocab[a + b] for a, b in pairs], np.int64)
+        self.merged = self.merged_by_rank[order]
 
     def counts(self, words: list[bytes]) -> np.ndarray:
         """Number of surviving symbols of each byte string."""
         sizes = np.fromiter(map(len, words), np.int64, len(words))
+        long = np.flatnonzero(sizes > LONG)
+        if not len(long):
+            return self._short_counts(words, sizes)
+        result = np.empty(len(words), np.int64)
+        result[long] = self._long_counts([words[k] for k in long.tolist()], sizes[long])
+        short = np.flatnonzero(sizes <= LONG)
+        result[short] = self._short_counts([words[k] for k in short.tolist()], sizes[short])
+        return result
+
+    def _found(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of pairs among the merges, and whether they are there."""
+        place = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return place, self.keys[place] == keys
+
+    def _short_counts(self, words: list[bytes], sizes: np.ndarray) -> np.ndarray:
         result = sizes.copy()
         owner = np.repeat(np.arange(len(words)), sizes)
         symbols = self.byte_ids[np.frombuffer(b"".join(words), np.uint8)]
         while len(symbols) > 1:
             keys = symbols[:-1] << 32 | symbols[1:]
-            place = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-            found = (self.keys[place] == keys) & (owner[:-1] == owner[1:])
+            place, found = self._found(keys)
+            found &= owner[:-1] == owner[1:]
             rank = np.where(found, self.ranks[place], NO_RANK)
             begins = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
             best = np.minimum.reduceat(np.r_[rank, NO_RANK], begins)
@@ -92,6 +115,60 @@ class RankMerger:
             symbols, owner = symbols[keep], owner[keep]
         return result
 
+    def _long_counts(self, words: list[bytes], sizes: np.ndarray) -> np.ndarray:
+        """The same by one rank after another, over all words, each word with an end of its own."""
+        owner = np.repeat(np.arange(len(words)), sizes + 1)
+        ends = np.cumsum(sizes + 1) - 1
+        total = len(owner)
+        symbols = np.full(total, -1, np.int64)
+        inner = np.ones(total, bool)
+        inner[ends] = False
+        symbols[inner] = self.byte_ids[np.frombuffer(b"".join(words), np.uint8)]
+        after = np.arange(1, total + 1)
+        before = np.arange(-1, total - 1)
+        rank_at = np.full(total, NO_RANK)
+        waiting: dict[int, list[np.ndarray]] = {}
+        order: list[int] = []
+
+        def note(at: np.ndarray) -> None:
+            """Look up the pairs that begin at these positions, and file them under their ranks."""
+            one, two = symbols[at], symbols[np.minimum(after[at], total - 1)]
+            place, found = self._found(one << 32 | two)
+            found &= (one >= 0) & (two >= 0)
+            ranks = np.where(found, self.ranks[place], NO_RANK)
+            rank_at[at] = ranks
+            at, ranks = at[found], ranks[found]
+            by_rank = np.argsort(ranks, kind="stable")
+            at, ranks = at[by_rank], ranks[by_rank]
+            begins = np.flatnonzero(np.r_[True, ranks[1:] != ranks[:-1]][:len(ranks)])
+            for part, rank in zip(np.split(at, begins[1:]), ranks[begins].tolist()):
+                if rank not in waiting:
+                    waiting[rank] = []
+                    heappush(order, rank)
+                waiting[rank].append(part)
+
+        note(np.flatnonzero(inner))
+        while order:
+            rank = heappop(order)
+            at = np.unique(np.concatenate(waiting.pop(rank)))
+            at = at[rank_at[at] == rank]  # pairs that an earlier merge changed are filed anew
+            if not len(at):
+                continue
+            linked = np.r_[False, after[at[:-1]] == at[1:]]
+            index = np.arange(len(at))
+            run = np.maximum.accumulate(np.where(linked, 0, index))
+            at = at[(index - run) % 2 == 0]
+            gone = after[at]
+            symbols[at] = self.merged_by_rank[rank]
+            symbols[gone] = -1
+            rank_at[gone] = NO_RANK
+            inner[gone] = False
+            after[at] = after[gone]
+            before[after[at]] = at
+            left = before[at]
+            note(np.unique(np.concatenate([at, left[left >= 0]])))
+        return np.bincount(owner[inner], minlength=len(words))
+
 
 def every_other(chosen: np.ndarray) -> np.ndarray:
     """The first, third, ... position of each run of chosen positions."""

@@ -2,6 +2,7 @@
 
 import zlib
 from collections import Counter, defaultdict
+from time import process_time
 
 import duckdb
 import numpy as np
@@ -53,6 +54,33 @@ def test_rank_merging_of_overlapping_pairs():
     assert merger.counts([w.encode() for w in words]).tolist() == [len(encode(w)) for w in words]
 
 
+def test_long_words_merge_as_short_ones(monkeypatch):
+    encode, merger = library(BYTE_LEVEL), RankMerger(vocabulary(BYTE_LEVEL))
+    chance = np.random.default_rng(8)
+    words = ["".join(chance.choice(list(letters), size)) for letters, size in [
+        ("ab", 700), ("abcdefghijklmnopqrstuvwxyz", 900), ("aeiourstn", 513), ("a", 1023), ("é", 600), ("xé", 512),
+    ] * 3] + ["a", "word", "a" * 512, "a" * 513]
+    expected = [len(encode(w)) for w in words]
+    encoded = [w.encode() for w in words]
+    assert merger.counts(encoded).tolist() == expected
+    for bound in (0, 10**6):
+        monkeypatch.setattr("tallyframe.llm.token_counts.LONG", bound)
+        assert merger.counts(encoded).tolist() == expected
+        assert merger.counts([]).tolist() == []
+
+
+@pytest.mark.parametrize("letters", [
+    "etaoinshrdlucmfwypvbgkjqxz", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz", "a",
+])
+def test_a_word_of_a_megabyte(letters):
+    encode, merger = library(BYTE_LEVEL), RankMerger(vocabulary(BYTE_LEVEL))
+    word = "".join(np.random.default_rng(9).choice(list(letters), 1_000_000))
+    begun = process_time()
+    found = merger.counts([word.encode()]).tolist()
+    assert process_time() - begun < 30  # far below what a step over the whole word per rank takes
+    assert found == [len(encode(word))]
+
+
 def test_token_counts(spark):
     encode, frame = library(BYTE_LEVEL), documents(spark)
     found = Counter(map(tuple, token_counts(frame, vocabulary(BYTE_LEVEL)).collect()))
