@@ -29,13 +29,6 @@ BITS_A_HASH = 16
 ENTRY_BYTES = 64
 
 
-def _prints(window: Column, size: int | Column) -> tuple[Column, Column]:
-    """Hashes of the first words and of all words of a window."""
-    size = F.lit(size) if isinstance(size, int) else size
-    lead = F.slice(window, F.lit(1), F.least(size, F.lit(LEAD)))
-    return F.xxhash64(F.lit("lead"), size, lead), F.xxhash64(F.lit("whole"), size, window)
-
-
 def benchmark_windows(benchmark: DataFrame, n: int, item_col: str, text_col: str) -> DataFrame:
     """(window, window_size, prints, items): each distinct window once, with its items."""
     size = F.least(F.size("w"), F.lit(n))
@@ -49,21 +42,24 @@ def benchmark_windows(benchmark: DataFrame, n: int, item_col: str, text_col: str
     window = F.slice("w", F.col("start"), F.col("window_size"))
     return starts.select(
         "item_id", "window_size", F.concat_ws(" ", window).alias("window"),
-        F.array(*_prints(window, F.col("window_size"))).alias("prints"),
+        F.array(F.xxhash64(F.slice(window, 1, LEAD)), F.xxhash64(window)).alias("prints"),
     ).groupBy("window", "window_size", "prints").agg(F.collect_set("item_id").alias("items"))
 
 
-def _place(found: Column, bits: int) -> Column:
-    return F.pmod(found, F.lit(bits))
+def _number_at(found: Column, bits: int) -> Column:
+    """Which of the ``bits // 64`` numbers a hash belongs to; its last 6 bits choose the bit."""
+    return F.shiftrightunsigned(found, 71 - bits.bit_length())
 
 
 def bit_array(windows: DataFrame, bits: int) -> DataFrame:
-    """One row: the bits of all hashes of the windows, 64 to a number."""
+    """One row: the bits of all hashes of the windows, 64 to a number; ``bits`` is a power of two."""
     found = windows.select(F.explode("prints").alias("found"))
-    marked = found.select(_place(F.col("found"), bits).alias("place")).distinct().groupBy(
-        F.shiftright("place", 6).alias("id")
-    ).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), (F.col("place") % 64).cast("int")))
-          .alias("mask"))
+    marked = found.select(
+        _number_at(F.col("found"), bits).alias("id"),
+        F.col("found").bitwiseAND(F.lit(63)).cast("int").alias("bit"),
+    ).distinct().groupBy("id").agg(
+        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("bit"))).alias("mask")
+    )
     every = windows.sparkSession.range(bits // 64).join(marked, "id", "left")
     numbered = F.array_sort(F.collect_list(F.struct("id", F.coalesce("mask", F.lit(0)).alias("mask"))))
     return every.agg(F.transform(numbered, lambda entry: entry["mask"]).alias("bits"))
@@ -72,13 +68,16 @@ def bit_array(windows: DataFrame, bits: int) -> DataFrame:
 def _candidates(found: Column, size: int, count: int) -> Column:
     """Windows of ``size`` words of the array ``w`` that may be in the set."""
     def marked(hashed: Column) -> Column:
-        place = _place(hashed, count)
-        bits = F.get(found["bits"], F.shiftright(place, 6).cast("int"))
-        return F.getbit(bits, (place % 64).cast("int")) == 1
+        number = F.get(found["bits"], _number_at(hashed, count).cast("int"))
+        return F.getbit(number, hashed.bitwiseAND(F.lit(63)).cast("int")) == 1
+
+    def begins(i: Column, length: int) -> Column:
+        # the array of one binds the hash, which is used twice, to a name
+        return F.exists(F.array(F.xxhash64(F.slice(found["w"], i + 1, length))), marked)
 
     def passes(i: Column) -> Column:
-        lead, whole = _prints(F.slice(found["w"], i + 1, size), size)
-        return marked(lead) & marked(whole)
+        lead = begins(i, min(size, LEAD))
+        return lead if size <= LEAD else lead & begins(i, size)
 
     last = F.size(found["w"]) - size
     starts = F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
@@ -135,7 +134,7 @@ def contamination(
     ).collect()  # at most n rows
     sizes = sorted(row["window_size"] for row in counts)
     hashes = 2 * sum(row["n"] for row in counts)
-    n_bits = max(64, min(filter_bits, 1 << (BITS_A_HASH * hashes).bit_length()))
+    n_bits = max(128, min(filter_bits, 1 << (BITS_A_HASH * hashes).bit_length()))
     bits = bit_array(windows, n_bits).scalar()
     rows = docs.select(
         F.col(id_col).alias("doc_id"), F.sha2(F.col(text_col).cast("string"), 256).alias("text_key"),

@@ -248,7 +248,7 @@ def brute_contamination(rows, items):
     return sorted(out)
 
 
-@pytest.mark.parametrize("options", [{}, {"filter_bits": 64}, {"broadcast_bytes": 0}])
+@pytest.mark.parametrize("options", [{}, {"filter_bits": 128}, {"broadcast_bytes": 0}])
 def test_decontamination(spark, options):
     passage = prose(80, 40)
     items = [(1, passage), (2, "rare pair"), (3, None), (4, "!!"), (5, prose(81, 13)), (10, passage), (6, "solo")]
