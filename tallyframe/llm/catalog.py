@@ -138,6 +138,32 @@ _TEMPLATE_VALUES = ", ".join(f"('{label}', {_listed(text)})" for label, (text, _
 _KEY_VALUES = ", ".join(f"('{label}', ' {key} ')" for label, (_, keys) in TEMPLATES.items() for key in keys)
 
 SQL: dict[str, str] = {
+    "op5_suffix_dedup": """
+        WITH d AS (
+            SELECT row_number() OVER () AS r, doc_id, encode(coalesce(text, '')) AS b,
+                   octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+        windows AS (
+            SELECT r, doc_id, i, array_slice(b, i, i + 49) AS s
+            FROM d, unnest(range(1, n - 48)) AS t(i) WHERE n >= 50),
+        later AS (
+            SELECT r, i FROM (SELECT r, i, doc_id, min(doc_id) OVER (PARTITION BY s) AS least FROM windows)
+            WHERE least < doc_id),
+        steps AS (
+            SELECT r, i, CASE WHEN i - lag(i) OVER o <= 50 THEN 0 ELSE 1 END AS opens
+            FROM later WINDOW o AS (PARTITION BY r ORDER BY i)),
+        numbered AS (SELECT r, i, sum(opens) OVER (PARTITION BY r ORDER BY i) AS run FROM steps),
+        runs AS (SELECT r, min(i) AS a, max(i) + 49 AS e FROM numbered GROUP BY r, run),
+        ends AS (
+            SELECT r, a, e FROM runs UNION ALL SELECT r, n + 1, n + 1 FROM d),
+        gaps AS (
+            SELECT r, a, coalesce(lag(e) OVER (PARTITION BY r ORDER BY a), 0) + 1 AS f FROM ends),
+        kept AS (
+            SELECT r, string_agg(CASE WHEN f < a THEN hex(array_slice(b, f, a - 1)) ELSE '' END, '' ORDER BY a) AS k
+            FROM gaps JOIN d USING (r) GROUP BY r)
+        SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+               coalesce(n_spans, 0) AS n_spans, sha256(unhex(k)) AS kept_sha256
+        FROM d JOIN kept USING (r) LEFT JOIN (
+            SELECT r, sum(e - a + 1) AS n_removed, count(*) AS n_spans FROM runs GROUP BY r) USING (r)""",
     "op6_license_scan": f"""
         WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
         phrases(label, p) AS (VALUES {_BASE_VALUES}),

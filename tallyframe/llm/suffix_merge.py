@@ -12,9 +12,9 @@ that start at anchors are sorted, and each stands for all windows around its anc
    shares with the one before, and the rest. A bucket gets the entries of its anchors;
 3. a bucket merges its runs with a loser tree that keeps, for each run, the prefix its head
    shares with the last winner, and compares bytes beyond that prefix only. The shared prefixes
-   that come out are the LCP array, from which windows are grouped exactly: equal suffix
-   to the right, equal bytes to the left. One bit per window offset goes back: does this
-   window start in a smaller document?
+   that come out are the LCP array, from which windows are grouped: equal suffix to the right
+   byte by byte, equal bytes to the left by a 64-bit fingerprint. One bit per window offset
+   goes back: does this window start in a smaller document?
 4. each block marks its bytes.
 
 A passage that a third of all documents share reaches a bucket one time per block.
@@ -241,14 +241,14 @@ def merged(runs: list[tuple[bytes, bytes]], width: int) -> tuple[list[int], list
         """(winner, loser) of two runs."""
         if known[a] != known[b]:
             return (a, b) if known[a] > known[b] else (b, a)
-        if known[a] in (-1, width):
+        begin = known[a]
+        if begin in (-1, width):
             return (a, b)
-        one, two = heads[a], heads[b]
+        one, two = from_bytes(heads[a][begin:]), from_bytes(heads[b][begin:])
         if one == two:
             known[b] = width
             return (a, b)
-        apart = from_bytes(one, "big") ^ from_bytes(two, "big")
-        same = width - (apart.bit_length() + 7) // 8
+        same = width - ((one ^ two).bit_length() + 7) // 8
         if one < two:
             known[b] = same
             return (a, b)
