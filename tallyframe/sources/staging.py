@@ -9,6 +9,8 @@ enough for a broadcast join.
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
+from contextvars import ContextVar
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +19,7 @@ SHARED_FOLDER_SETTING = "spark.checkpoint.dir"
 WAREHOUSE_SETTING = "spark.sql.warehouse.dir"
 
 _staged: list[str] = []
+_scope: ContextVar[list[str] | None] = ContextVar("scope", default=None)
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -42,15 +45,39 @@ def stage(frame: DataFrame, label: str) -> DataFrame:
     spark = frame.sparkSession
     path = new_path(spark, label)
     _staged.append(path)
-    frame.write.mode("error").parquet(path)
+    scope = _scope.get()
+    if scope is not None:
+        scope.append(path)
+    frame.write.mode("error").option("compression", "zstd").parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def settled(build: Callable[[], DataFrame], label: str) -> DataFrame:
+    """What ``build`` returns as a staged table, without the tables that were staged on the way.
+
+    Nothing else may read those. Calls can be nested, and other threads are not concerned.
+    """
+    own: list[str] = []
+    token = _scope.set(own)
+    try:
+        frame = build()
+    finally:
+        _scope.reset(token)
+    result = stage(frame, label)
+    for path in own:
+        _staged.remove(path)
+        _remove(result.sparkSession, path)
+    return result
+
+
+def _remove(spark: SparkSession, name: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def drop_staged(spark: SparkSession) -> int:
     """Remove the tables this process has staged; frames built on them can't be read any more."""
     count = 0
     while _staged:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_staged.pop())
-        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
-        count += bool(files.delete(path, True))
+        count += bool(_remove(spark, _staged.pop()))
     return count

@@ -44,6 +44,24 @@ def test_drop_staged(spark):
         spark.read.parquet(table.inputFiles()[0]).count()
 
 
+def test_settled_removes_what_was_staged_on_the_way(spark):
+    staging.drop_staged(spark)
+    before = staging.stage(spark.range(3), "before")
+    inner = []
+
+    def build():
+        inner.append(staging.stage(spark.range(7), "inner"))
+        inner.append(staging.settled(lambda: staging.stage(inner[0].where("id > 1"), "deep"), "nested"))
+        return inner[1].join(before, "id", "left_semi")
+
+    result = staging.settled(build, "result")
+    assert [row["id"] for row in result.collect()] == [2] and before.count() == 3
+    for table in inner:
+        with pytest.raises(Exception, match="(?i)exist|not found"):
+            spark.read.parquet(table.inputFiles()[0]).count()
+    assert staging.drop_staged(spark) == 2
+
+
 def test_group_size_keeps_null_keys(spark):
     frame = spark.createDataFrame([("a", None), ("a", None), ("b", "m")], "k string, n string")
     rows = with_group_size(frame, ["k", "n"])
