@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.staging import stage
+from ..sources.staging import settled, stage
 
 #: Texts are handed to numpy code in batches of about this many characters.
 BATCH_CHARS = 4_000_000
@@ -79,6 +79,6 @@ def arrow_rows(schema: pa.Schema, **columns) -> pa.RecordBatch:
 
 
 __all__ = [
-    "BATCH_CHARS", "arrow_rows", "free_name", "release_memory", "row_by_row", "stage", "table", "text_batches",
+    "BATCH_CHARS", "arrow_rows", "free_name", "release_memory", "row_by_row", "settled", "stage", "table", "text_batches",
     "whole_texts",
 ]

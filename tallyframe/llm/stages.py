@@ -47,18 +47,33 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def remove_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Suffix dedup: characters of repeated 50-byte strings go, ``n_chars`` follows the text."""
-    row, text = free_name(docs, "row_number"), free_name(docs, "kept_text")
-    numbered = stage(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
-    kept = remove_repeated_bytes(
-        numbered.select("doc_id", "text", F.col(row).alias("row")), row_col="row", characters=True
-    ).select(F.col("row").alias(row), F.col("kept").cast("string").alias(text))
-    joined = numbered.drop("text").join(kept, row)
-    changed = {"text": F.col(text)}
+    """Suffix dedup: characters of repeated 50-byte strings go, ``n_chars`` follows the text.
+
+    What a row loses is a matter of its doc_id and its text, so rows meet their remaining text by
+    doc_id, 64-bit hash and length of the text; equal rows get the same one.
+    """
+    doc, key, size = (free_name(docs, name) for name in ("id_number", "text_hash", "text_bytes"))
+    kept_text = free_name(docs, "kept_text")
+    plain = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    keyed = docs.withColumns({
+        doc: F.col("doc_id").cast("bigint"), key: F.xxhash64(plain),
+        size: F.octet_length(plain).cast("bigint"),
+    })
+    cut = remove_repeated_bytes(
+        docs.select("doc_id", "text", F.xxhash64(plain).alias("row")), row_col="row", characters=True
+    ).groupBy("doc_id", "row", "n_bytes").agg(F.first("kept").alias("kept")).select(
+        F.col("doc_id").alias("cut_id"), F.col("row").alias("cut_hash"),
+        F.col("n_bytes").alias("cut_bytes"), F.col("kept").cast("string").alias(kept_text),
+    )
+    joined = keyed.drop("text").alias("d").join(
+        cut.alias("c"), F.col(f"d.{doc}").eqNullSafe(F.col("c.cut_id"))
+        & (F.col(f"d.{key}") == F.col("c.cut_hash")) & (F.col(f"d.{size}") == F.col("c.cut_bytes")),
+    )
+    columns = {name: F.col(f"d.`{name}`") for name in docs.columns if name != "text"}
+    columns["text"] = F.col(f"c.{kept_text}")
     if "n_chars" in docs.columns:
-        kind = docs.schema["n_chars"].dataType
-        changed["n_chars"] = F.length(text).cast(kind)
-    return joined.withColumns(changed).select(*docs.columns)
+        columns["n_chars"] = F.length(columns["text"]).cast(docs.schema["n_chars"].dataType)
+    return joined.select(*[columns[name].alias(name) for name in docs.columns])
 
 
 def remove_benchmark_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
