@@ -19,17 +19,15 @@ similarity of the word shingles.
 
 Equal texts are one node, so copies cost nothing further. In a group of candidates every text is
 verified against its center, the text that shares the most keys, and what is linked becomes one
-component. A group that still spans several components may hide links among its other members.
-All pairs of different components in such groups are verified if these are at most ``PAIRS_A_TEXT``
-for each text of the table, else those in groups of up to ``FULL_GROUP`` texts. In larger groups,
-the texts that the center's component leaves out form sharper groups by sketches of twice the size, and
-these are resolved in the same way. The longer a sketch, the more are drawn, by the length of the
-text, so that a pair of the asked similarity shares none with probability ``LOSS`` at most; texts
-too short for that have exact keys. No group's pairs are listed beyond these bounds.
-
-What is left to chance beyond ``LOSS``: where the pairs are more than the bound, a text in a group of
-more than ``FULL_GROUP`` that is near to none of the centers it meets, but to another member of a
-center's component, stays apart from it; so do two texts whose sharper groups are that large too.
+component. A group that still spans several components may hide links among its other members, so
+every pair of different components in it is decided too, whatever the sizes of the group and of the
+table. Pairs of groups of up to ``FULL_GROUP`` texts are listed, each once, and verified. Larger
+groups are cut into parts, and a task takes two parts of a group: it counts the common k-mers of all
+pairs at once, and aligns those that can reach the asked similarity and are not yet linked. Nothing
+but links comes out of it. The work grows with the square of such a group; a task's share does not.
+
+What is left to chance: a pair of the asked similarity shares no sketch with probability ``LOSS`` at
+most with the default number and size of sketches; texts too short for that have exact keys.
 
 Defined results: null texts count as empty, and texts without a word are near-duplicates of their
 exact copies only; a document without id is its own group and kept; a doc_id that several
@@ -51,7 +49,8 @@ from pyspark.sql import functions as F
 from .blocks import mix
 from .components import connected_components
 from .doubling import BYTE_VALUES, run_prints
-from .frames import arrow_rows, settled, stage, text_batches, whole_texts
+from .frames import arrow_rows, release_memory, settled, stage, text_batches, whole_texts
+from .pieces import ragged_positions
 
 WORDS = 5
 SIZE = 5
@@ -62,6 +61,9 @@ LOSS = 1e-4
 PAIRS_A_TEXT = 1
 LEAST_PAIRS = 50_000
 FULL_GROUP = 16
+PART_TEXTS = 2000
+PART_KMERS = 1_000_000
+SPREAD_PAIRS = 1 << 20
 KEPT_KMERS = 2_000_000
 BATCH_KEYS = 500_000
 
@@ -190,6 +192,77 @@ def similarity(one: np.ndarray, two: np.ndarray, least: float) -> float:
     return found if found >= least else 0.0
 
 
+def common_kmers(one: list[np.ndarray], two: list[np.ndarray]) -> np.ndarray:
+    """How many labelled k-mers each text of ``one`` has in common with each of ``two``.
+
+    K-mers of many texts are counted by products of 0-1 matrices, the others pair by pair.
+    """
+    rows = [np.repeat(np.arange(len(side)), [len(kmers) for kmers in side]) for side in (one, two)]
+    _, place = np.unique(np.concatenate([*one, *two]), return_inverse=True)
+    places = place[:len(rows[0])], place[len(rows[0]):]
+    often = [np.bincount(side, minlength=int(place.max(initial=-1)) + 1) for side in places]
+    pairs = often[0] * often[1]
+    dense = pairs * 100 > len(one) * len(two)
+    found = np.zeros((len(one), len(two)), np.float32)
+    column = np.cumsum(dense) - 1
+    for first in range(0, int(dense.sum()), 2048):
+        bits = []
+        for side, at, number in zip((one, two), places, rows):
+            here = dense[at] & (column[at] >= first) & (column[at] < first + 2048)
+            matrix = np.zeros((len(side), 2048), np.float32)
+            matrix[number[here], column[at[here]] - first] = 1
+            bits.append(matrix)
+        found += bits[0] @ bits[1].T
+    order = np.argsort(places[1], kind="stable")
+    begins = np.cumsum(often[1]) - often[1]
+    rare = np.flatnonzero(~dense[places[0]] & (pairs[places[0]] > 0))
+    spread = np.cumsum(often[1][places[0][rare]])
+    flat = found.reshape(-1)
+    while len(rare):
+        take = max(1, int(np.searchsorted(spread, SPREAD_PAIRS, "right")))
+        at = places[0][rare[:take]]
+        others = order[ragged_positions(begins[at], often[1][at])]
+        cells = np.repeat(rows[0][rare[:take]], often[1][at]) * len(two) + rows[1][others]
+        cells, n = np.unique(cells, return_counts=True)
+        flat[cells] += n
+        rare, spread = rare[take:], spread[take:] - spread[take - 1]
+    return found
+
+
+def part_links(one: tuple, two: tuple | None, least: float) -> tuple[list, list, list]:
+    """Links of different components between two parts, or within one, as (ids, components, k-mers):
+    as many as it takes to join all that any of the pairs would."""
+    (ids, components, kmers), (other_ids, other_components, other_kmers) = one, two or one
+    common = common_kmers(kmers, other_kmers).astype(np.float64)
+    total = np.add.outer([len(k) for k in kmers], [len(k) for k in other_kmers]) - common
+    bound = common / np.maximum(total, 1)
+    bound[components[:, None] == other_components[None, :]] = 0
+    if two is None:
+        bound = np.triu(bound, 1)
+    a, b = np.nonzero(bound >= least)
+    order = np.argsort(-bound[a, b], kind="stable")
+    parent: dict[int, int] = {}
+
+    def root(node: int) -> int:
+        while (above := parent.get(node, node)) != node:
+            parent[node] = parent.get(above, above)
+            node = above
+        return node
+
+    centers, members, found = [], [], []
+    for i, j in zip(a[order].tolist(), b[order].tolist()):
+        here, there = root(int(components[i])), root(int(other_components[j]))
+        if here == there:
+            continue
+        value = similarity(kmers[i], other_kmers[j], least)
+        if value >= least:
+            parent[there] = here
+            centers.append(int(min(ids[i], other_ids[j])))
+            members.append(int(max(ids[i], other_ids[j])))
+            found.append(value)
+    return centers, members, found
+
+
 def exact_count(length: int, least: float) -> int:
     """Number of exact keys of a text."""
     return sum(comb(length, gone) for gone in range(most_gone(length, least) + 1))
@@ -219,21 +292,19 @@ def exact_length(size: int, least: float) -> int:
 
 
 def later_draws(length: int, size: int, least: float) -> int:
-    """Number of sketches of a text in a later round; 0 if all its partners have exact keys."""
+    """Number of sketches of ``size`` k-mers that a text needs beside exact keys of texts up to
+    ``exact_length``, by which to choose other sizes; 0 if all its partners have exact keys."""
     bound = exact_length(size, least)
     if length < least * bound:
         return 0
     return int(draws(max(length, bound + 1), size, least))
 
 
-def keyed_texts(texts: DataFrame, size: int, least: float, count: int | None = None) -> DataFrame:
-    """(doc_id, keys, gone, n_kmers) of (doc_id, text): sketches, and exact keys of short texts.
-
-    ``gone`` is null for a sketch. The first round draws ``count`` sketches of every text; later
-    rounds as many as ``later_draws`` says.
+def keyed_texts(texts: DataFrame, size: int, least: float, count: int) -> DataFrame:
+    """(doc_id, keys, gone, n_kmers) of (doc_id, text): ``count`` sketches, and exact keys of short
+    texts. ``gone`` is null for a sketch.
     """
-    first = count is not None
-    short = short_length(least, size) if first else exact_length(size, least)
+    short = short_length(least, size)
 
     def keyed(batches):
         for ids, bodies in text_batches(batches):
@@ -248,10 +319,7 @@ def keyed_texts(texts: DataFrame, size: int, least: float, count: int | None = N
                 if 0 < len(kmers) <= short:
                     exact, fewer = exact_keys(kmers, least)
                 # up to ``size`` k-mers, whatever is similar has exact keys too
-                wanted = 0
-                if len(kmers) > size:
-                    wanted = count if first else later_draws(len(kmers), size, least)
-                drawn = sketches(kmers, size, wanted, 0 if first else size << 32) if wanted else exact[:0]
+                drawn = sketches(kmers, size, count) if len(kmers) > size else exact[:0]
                 keys.append(np.r_[drawn, exact])
                 gone.append([None] * len(drawn) + list(fewer))
                 lengths.append(len(kmers))
@@ -318,19 +386,17 @@ def near_duplicates(
     """Per document row: ``text_id``, the smallest document with an equal text, ``group_id``,
     the smallest document it is linked to by near-duplicates, and whether it stays.
 
-    ``pairs_a_text`` and ``least_pairs`` say up to how many pairs, per text of the table and at
-    least, groups of any size are verified in full. The result is a staged table; keys, groups
-    and candidate texts are removed when it is written.
+    Groups of any size are decided in full: ``pairs_a_text`` and ``least_pairs``, which once bounded
+    the pairs by the size of the table, are accepted and change nothing. The result is a staged
+    table; keys, groups and candidate texts are removed when it is written.
     """
     return settled(
-        lambda: _groups(docs, least, size, count, id_col, text_col, pairs_a_text, least_pairs),
-        "near-duplicates",
+        lambda: _groups(docs, least, size, count, id_col, text_col), "near-duplicates"
     )
 
 
 def _groups(
-    docs: DataFrame, least: float, size: int, count: int, id_col: str, text_col: str,
-    pairs_a_text: float, least_pairs: int,
+    docs: DataFrame, least: float, size: int, count: int, id_col: str, text_col: str
 ) -> DataFrame:
     texts = whole_texts(docs, id_col, text_col)
     keyed = texts.select("doc_id", F.unhex(F.sha2("text", 256)).alias("text_key"))
@@ -345,7 +411,6 @@ def _groups(
         ), "equal-texts",
     )
     nodes = equal.select("text_id").where(F.col("text_id").isNotNull()).distinct()
-    room = max(least_pairs, int(pairs_a_text * nodes.count()))
 
     named = texts.where(F.col("doc_id").isNotNull())
     first = stage(
@@ -361,22 +426,11 @@ def _groups(
     checked = _checked(
         groups.select("center", F.col("doc_id").alias("member")), None, bodies, least
     )
-    mixed, unseen = _mixed_groups(_placed(groups, _components(checked, least)))
-    small = mixed if unseen <= room else mixed.where(F.col("members") <= FULL_GROUP)
-    checked = _checked(_apart(small), checked, bodies, least)
-    if unseen > room:
-        size *= 2
-        left = mixed.where((F.col("members") > FULL_GROUP) & ~F.col("with_center"))
-        left = bodies.join(left.select("doc_id").distinct(), "doc_id", "left_semi")
-        again = stage(keyed_texts(left, size, least), "text-keys")
-        most = most_gone(exact_length(size, least), least)
-        groups = stage(shared_keys(exploded_keys(again), most, least), "sketch-groups")
-        checked = _checked(
-            groups.select("center", F.col("doc_id").alias("member")), checked, bodies, least
-        )
-        mixed, unseen = _mixed_groups(_told_apart(groups, checked, least))
-        small = mixed if unseen <= room else mixed.where(F.col("members") <= FULL_GROUP)
-        checked = _checked(_apart(small), checked, bodies, least)
+    mixed = _mixed_groups(_placed(groups, _components(checked, least)))
+    is_large = F.col("members") > FULL_GROUP
+    lengths = first.groupBy("doc_id").agg(F.sum("n_kmers").alias("n_kmers"))
+    links = stage(_linked(mixed.where(is_large).join(lengths, "doc_id"), bodies, least), "group-links")
+    checked = _checked(_apart(mixed.where(~is_large)), checked, bodies, least).unionByName(links)
     component = _components(checked, least).withColumnRenamed("node", "text_id")
     group = F.coalesce("component", "text_id", "doc_id")
     return equal.join(component, "text_id", "left").select(
@@ -423,24 +477,48 @@ def _placed(groups: DataFrame, component: DataFrame) -> DataFrame:
     )
 
 
-def _told_apart(groups: DataFrame, checked: DataFrame, least: float) -> DataFrame:
-    """The same with the links to the group's own center only."""
-    near = checked.where(F.col("similarity") >= least).select(
-        "center", F.col("member").alias("doc_id"), F.lit(True).alias("near")
-    )
-    is_center = F.col("doc_id") == F.col("center")
-    return groups.dropDuplicates(["key", "doc_id"]).join(near, ["center", "doc_id"], "left").select(
-        "key", "doc_id",
-        F.when(is_center | F.col("near"), F.col("center")).otherwise(F.col("doc_id")).alias("component"),
-        is_center.alias("is_center"),
+def _linked(mixed: DataFrame, bodies: DataFrame, least: float) -> DataFrame:
+    """(center, member, similarity): links that join the components in each group as all of its
+    pairs would.
+
+    A group is cut into parts by hash, as many as its texts and k-mers need, and every two parts
+    meet in one task.
+    """
+    parts = mixed.groupBy("key").agg(F.ceil(F.greatest(
+        F.count(F.lit(1)) / PART_TEXTS, F.sum("n_kmers") / PART_KMERS
+    )).alias("parts"))
+    own, other = F.col("part"), F.col("other")
+    dealt = mixed.join(parts, "key").withColumn(
+        "part", F.pmod(F.xxhash64("doc_id"), "parts")
+    ).withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1))).select(
+        "key", F.least(own, other).alias("low"), F.greatest(own, other).alias("high"), "part",
+        "doc_id", "component",
     )
 
+    def link(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("doc_id")
+        part = rows["part"].to_numpy()
+        ids, component = rows["doc_id"].to_numpy(), rows["component"].to_numpy()
+        kmers = [labelled(text.as_py()) for text in rows["text"]]
+        sides = []
+        for name in ("low", "high"):
+            at = np.flatnonzero(part == rows[name].to_numpy())
+            sides.append((ids[at], component[at], [kmers[i] for i in at]))
+        same_part = rows["low"][0] == rows["high"][0]
+        center, member, found = part_links(sides[0], None if same_part else sides[1], least)
+        release_memory()
+        return pa.Table.from_batches([
+            arrow_rows(VERIFIED, center=center, member=member, similarity=found)
+        ])
+
+    return dealt.join(bodies, "doc_id").groupBy("key", "low", "high").applyInArrow(
+        link, "center long, member long, similarity double"
+    )
 
-def _mixed_groups(parts: DataFrame) -> tuple[DataFrame, int]:
-    """(key, doc_id, component, with_center, members) of groups with pairs of different components
-    that no check has seen, and how many such pairs there are, each counted in every group.
 
-    Pairs with a group's center have been checked; ``with_center``: in the center's component.
+def _mixed_groups(parts: DataFrame) -> DataFrame:
+    """(key, doc_id, component, members) of groups with pairs of different components that no
+    check has seen. Pairs with a group's center have been checked.
     """
     parts = stage(parts, "group-components")
     per_component = parts.groupBy("key", "component").agg(
@@ -451,15 +529,9 @@ def _mixed_groups(parts: DataFrame) -> tuple[DataFrame, int]:
     open_keys = per_component.groupBy("key").agg(
         ((F.pow(F.sum(n), 2) - F.sum(n * n)) / 2 - outside).alias("unseen"),
         F.sum(n).alias("members"),
-        F.max(F.when(F.col("has_center"), F.col("component"))).alias("center_component"),
     ).where(F.col("unseen") > 0)
-    open_keys = stage(open_keys, "open-groups")
-    unseen = open_keys.agg(F.coalesce(F.sum("unseen"), F.lit(0.0))).first()[0]
-    mixed = parts.join(open_keys, "key").select(
-        "key", "doc_id", "component", "members",
-        (F.col("component") == F.col("center_component")).alias("with_center"),
-    )
-    return mixed, int(unseen)
+    open_keys = stage(open_keys.select("key", "members"), "open-groups")
+    return parts.join(open_keys, "key").select("key", "doc_id", "component", "members")
 
 
 def shared_keys(rows: DataFrame, most: int, least: float) -> DataFrame:

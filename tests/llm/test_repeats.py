@@ -9,7 +9,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tallyframe.llm import catalog
+from tallyframe.llm import catalog, order_minhash
 from tallyframe.llm.components import connected_components
 from tallyframe.llm.doubling import remove_repeated_windows
 from tallyframe.llm.order_minhash import (
@@ -258,6 +258,43 @@ def test_groups_of_other_shapes(spark, rows):
     assert {row["doc_id"]: row["group_id"] for row in found} == brute_groups(rows)
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_parts_of_a_group_are_joined_like_all_pairs(monkeypatch, seed):
+    rng = np.random.default_rng(seed)
+    monkeypatch.setattr(order_minhash, "SPREAD_PAIRS", 500)
+    base, kmers = rng.integers(1, 2**62, 60, dtype=np.uint64), []
+    for k in range(60):
+        one = base.copy() if k % 3 else kmers[-1].copy() if kmers else base.copy()
+        at = rng.choice(60, 3 + k % 4, replace=False)
+        one[at] = rng.integers(1, 2**62, len(at), dtype=np.uint64)
+        kmers.append(np.r_[one[30:], one[:30]] if k % 10 == 9 else one)
+    pairs = [(a, b) for a in range(60) for b in range(a) if similarity(kmers[a], kmers[b], 0.8)]
+    ids, half = np.arange(60), np.arange(60) % 2 == 0
+    common = order_minhash.common_kmers(kmers, kmers[:20])
+    assert (common == [[len(set(a.tolist()) & set(b.tolist())) for b in kmers[:20]] for a in kmers]).all()
+
+    def grouped(links):
+        label = list(range(60))
+        for a, b in links:
+            label = [min(label[a], label[b]) if c in (label[a], label[b]) else c for c in label]
+        return label
+
+    parts = [(ids[h], ids[h], [kmers[i] for i in ids[h]]) for h in (half, ~half)]
+    links = []
+    for one, two in ((parts[0], None), (parts[1], None), tuple(parts)):
+        center, member, found = order_minhash.part_links(one, two, 0.8)
+        assert all(value >= 0.8 for value in found) and len(center) < 60
+        links += zip(center, member)
+    assert set(links) <= {(b, a) for a, b in pairs} and grouped(links) == grouped(pairs)
+
+
+def test_large_groups_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(order_minhash, "PART_TEXTS", 7)
+    rows = template_rows(8, 2, 40, 25)[0]
+    found = near_duplicates(documents(spark, rows)).collect()
+    assert {row["doc_id"]: row["group_id"] for row in found} == brute_groups(rows)
+
+
 def test_draws_and_exact_lengths():
     for size in (10, 15, 20):
         bound = exact_length(size, 0.8)
