@@ -410,7 +410,7 @@ def remove_repeated_bytes(
     repeated = stage(exchange(sent, answer_repeats), "repeated-anchors")
     chosen = with_answers(blocks, repeated)
     runs = chosen.mapInArrow(send_runs(span, core, buckets), RUNS_DDL)
-    smaller = exchange(runs, answer_smaller(span, core))
+    smaller = stage(exchange(runs, answer_smaller(span, core)), "smaller-windows")
     both = chosen.withColumnRenamed("answers", "anchor_answers").join(
         smaller.hint("shuffle_hash"), "block", "left"
     )

@@ -9,7 +9,8 @@ enough for a broadcast join.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from contextvars import ContextVar
 from uuid import uuid4
 
@@ -17,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 SHARED_FOLDER_SETTING = "spark.checkpoint.dir"
 WAREHOUSE_SETTING = "spark.sql.warehouse.dir"
+CLEANUP_SETTING = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 _staged: list[str] = []
 _scope: ContextVar[list[str] | None] = ContextVar("scope", default=None)
@@ -40,15 +42,34 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/tallyframe/{label}-{uuid4().hex}"
 
 
+@contextmanager
+def _shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Spark removes the shuffle files of a query when it ends, not when the driver next collects."""
+    before = spark.conf.get(CLEANUP_SETTING, None)
+    spark.conf.set(CLEANUP_SETTING, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP_SETTING)
+        else:
+            spark.conf.set(CLEANUP_SETTING, before)
+
+
 def stage(frame: DataFrame, label: str) -> DataFrame:
-    """Write ``frame`` as a new table in the shared folder and return the table."""
+    """Write ``frame`` as a new table in the shared folder and return the table.
+
+    The shuffle files of the write go with its end: nothing else reads them, and of many staged
+    steps they would otherwise fill the disks together.
+    """
     spark = frame.sparkSession
     path = new_path(spark, label)
     _staged.append(path)
     scope = _scope.get()
     if scope is not None:
         scope.append(path)
-    frame.write.mode("error").option("compression", "zstd").parquet(path)
+    with _shuffles_removed(spark):
+        frame.write.mode("error").option("compression", "zstd").parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
 
 

@@ -1,6 +1,9 @@
 """Where intermediate tables go, and how they are removed."""
 
+import time
+
 import pytest
+from pyspark.sql import functions as F
 
 from tallyframe.operators.percentiles import with_group_size
 from tallyframe.sources import staging
@@ -69,3 +72,19 @@ def test_group_size_keeps_null_keys(spark):
     assert sorted(map(str, map(tuple, rows.collect()))) == [
         "('a', None, 2)", "('a', None, 2)", "('b', 'm', 1)"
     ]
+
+
+def test_shuffle_files_of_a_staged_table_go_when_it_is_written(spark):
+    tracker = spark._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker()
+    before = spark.conf.get(staging.CLEANUP_SETTING)
+    held = tracker.shuffleStatuses().size()
+    for k in range(3):
+        staged = staging.stage(spark.range(1000).groupBy(F.col("id") % 7).count(), "few-rows")
+        assert staged.count() == 7
+        frame = staged.repartition(3, "count")
+        assert staging.stage(frame, "few-rows").count() == 7
+    assert spark.conf.get(staging.CLEANUP_SETTING) == before
+    deadline = time.monotonic() + 20
+    while tracker.shuffleStatuses().size() >= held + 6 and time.monotonic() < deadline:
+        time.sleep(0.1)
+    assert tracker.shuffleStatuses().size() < held + 6
