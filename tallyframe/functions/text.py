@@ -33,21 +33,29 @@ def clean_text(column: Column | str) -> Column:
     return blank_to_null(strip(column))
 
 
-def normalize_dimension(column: Column | str) -> Column:
-    """Stripped upper-case text with whitespace runs collapsed; blank becomes null.
+def _collapsed(text: Column, stripped: Column) -> Column:
+    """``stripped`` in upper case with whitespace runs collapsed; blank becomes null.
 
-    The pattern runs only on texts with something to collapse, which are rare; on all others
+    The pattern runs only where ``text`` has something to collapse, which is rare; on all others
     it would cost more than everything else here together.
     """
-    text = as_column(column)
     messy = text.contains("  ")
     for character in OTHER_WHITESPACE:
         messy = messy | text.contains(character)
-    stripped = strip(text)
     collapsed = F.when(messy, F.regexp_replace(stripped, r"\s+", " ")).otherwise(stripped)
     return blank_to_null(F.upper(collapsed))
 
 
+def normalize_dimension(column: Column | str) -> Column:
+    """Stripped upper-case text with whitespace runs collapsed; blank becomes null."""
+    return _collapsed(as_column(column), strip(column))
+
+
+def normalize_stripped(column: Column | str) -> Column:
+    """:func:`normalize_dimension` of a text that is stripped already."""
+    return _collapsed(as_column(column), as_column(column))
+
+
 def normalized_equals(column: Column | str, label: str) -> Column:
     """True where the normalized text is exactly ``label``; false for null."""
     return F.coalesce(normalize_dimension(column) == F.lit(label.upper()), F.lit(False))
@@ -63,7 +71,11 @@ def status_contains(column: Column | str, token: str) -> Column:
 
 def strict_date(column: Column | str, fmt: str = SALE_DATE_FORMAT) -> Column:
     """Date in ``fmt``; null for an impossible or differently padded date."""
-    return F.try_to_date(strip(column), fmt)
+    return date_of_stripped(strip(column), fmt)
+
+
+def date_of_stripped(column: Column | str, fmt: str = SALE_DATE_FORMAT) -> Column:
+    return F.try_to_date(as_column(column), fmt)
 
 
 def month_key(date: Column | str) -> Column:
@@ -72,10 +84,18 @@ def month_key(date: Column | str) -> Column:
 
 def to_long(column: Column | str) -> Column:
     """Whole number, or null where the text is not one."""
-    return strip(column).try_cast("long")
+    return long_of_stripped(strip(column))
+
+
+def long_of_stripped(column: Column | str) -> Column:
+    return as_column(column).try_cast("long")
 
 
 def to_finite_double(column: Column | str) -> Column:
     """Finite number, or null; NaN and the infinities count as unparsable."""
-    value = strip(column).try_cast("double")
+    return finite_double_of_stripped(strip(column))
+
+
+def finite_double_of_stripped(column: Column | str) -> Column:
+    value = as_column(column).try_cast("double")
     return F.when(F.abs(value) < F.lit(float("inf")), value)

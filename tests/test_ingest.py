@@ -1,4 +1,5 @@
 import datetime as dt
+import re
 
 import pytest
 
@@ -222,3 +223,12 @@ def test_no_lines(spark, tmp_path):
     nothing = spark.createDataFrame([], "value string")
     counts = write_valid_rows(nothing, str(tmp_path / "rows"), ["state"]).collect()
     assert [tuple(r) for r in counts] == [("rows_read", 0)]
+
+
+def test_every_generated_method_of_the_parse_can_be_compiled(spark, tmp_path, capsys):
+    """The JVM interprets methods of more than 8000 bytes, which takes the parse twice as long."""
+    (tmp_path / "sales.csv").write_text("a,b\n")
+    lines = spark.read.text(str(tmp_path))
+    parse_lines(lines).where("NOT is_header").explain("codegen")
+    sizes = [int(size) for size in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+    assert sizes and max(sizes) <= 8000
