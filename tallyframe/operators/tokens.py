@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.arrays import token_array, token_count
@@ -33,6 +33,22 @@ def tokens(
     return exploded if unique_records else exploded.dropDuplicates([record, "promotion_id"])
 
 
+def distinct_tokens(
+    base: DataFrame, record: str = "record_id", raw: str = "promotion_ids_raw"
+) -> DataFrame:
+    """(record, token), each once, over all rows of a record; rows without either are left out.
+
+    A task sorts its tokens, which spills, and keeps the first of equal neighbours. Two hash tables
+    of all tokens, as ``distinct`` makes them, take a multiple of that memory.
+    """
+    rows = require_keys(base, [record, raw]).select(
+        record, F.explode(token_array(raw)).alias("promotion_id")
+    )
+    same = Window.partitionBy(record, "promotion_id").orderBy(record)
+    first = rows.withColumn("_place", F.row_number().over(same)).where(F.col("_place") == 1)
+    return first.select(record, "promotion_id")
+
+
 def token_occurrences(
     base: DataFrame, date: str = "order_date", raw: str = "promotion_ids_raw"
 ) -> DataFrame:
@@ -109,16 +125,21 @@ def with_token_count(
     raw: str = "promotion_ids_raw",
     unique_records: bool = False,
     name: str = "promotion_count",
+    staged: bool = True,
 ) -> DataFrame:
     """Add the number of distinct tokens of each record, 0 for none.
 
-    The tokens of all rows of a record are counted together and joined back. With the promise
+    The tokens of all rows of a record are counted together and joined back; with ``staged`` the
+    counts are written first, so that no task holds the rows for both steps. With the promise
     ``unique_records=True`` it is one expression of the row.
     """
     if unique_records:
         return base.withColumn(name, token_count(raw))
-    rows = base.select(record, F.explode(token_array(raw)).alias("promotion_id"))
-    counts = rows.groupBy(record).agg(F.count_distinct("promotion_id").alias(name))
+    counts = distinct_tokens(base, record, raw).groupBy(record).agg(
+        F.count("promotion_id").alias(name)
+    )
+    if staged:
+        counts = stage(counts, "token-counts")
     return left_counts(base, counts, [record], [name])
 
 

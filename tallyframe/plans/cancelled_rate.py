@@ -12,7 +12,7 @@ from ..functions.text import status_contains, strip
 from ..operators.keys import left_counts, lookup_join
 from ..operators.moments import ROWS, mean_value, moments
 from ..operators.rates import filtered_average, percentage
-from ..operators.tokens import MIN_SPAN_DAYS, tokens, valid_token_count
+from ..operators.tokens import MIN_SPAN_DAYS, distinct_tokens, valid_token_count
 from ..sources.staging import stage
 
 # The labels of the orders in question, of the orders behind the average, and
@@ -99,7 +99,7 @@ def conditional_rate_by_city(
     The rows are read once, into :func:`rate_parts`; with ``staged`` these are written first, so
     that averages, denominators, long-lived tokens and candidates come from one scan and join
     with known sizes. A record id may stand in several rows, whose tokens are counted together:
-    that takes a second scan, for the tokens of the candidates' records. The promise
+    that takes a second scan, for the tokens of the candidates' records and of no others. The promise
     ``unique_records=True`` saves it, as candidates then carry all their tokens.
     """
     with_tokens = unique_records and min_promotions >= 1
@@ -125,7 +125,8 @@ def conditional_rate_by_city(
         counts = matched.groupBy("record_id", "state", "city").count()
         qualified = counts.where(F.col("count") >= min_promotions).withColumn(ROWS, F.lit(1))
     elif min_promotions >= 1:
-        matched = lookup_join(tokens(base), valid, ["promotion_id"], "left_semi", strategy)
+        asked = base.join(candidates.select("record_id"), "record_id", "left_semi")
+        matched = lookup_join(distinct_tokens(asked), valid, ["promotion_id"], "left_semi", strategy)
         counts = valid_token_count(matched).where(F.col("valid_promotion_count") >= min_promotions)
         qualified = candidates.join(counts, "record_id", "left_semi")
     else:

@@ -2,7 +2,14 @@ import datetime as dt
 
 import pytest
 
-from tallyframe.operators.tokens import lifespans, per_record_counts, temporally_valid_tokens, tokens
+from tallyframe.operators.tokens import (
+    distinct_tokens,
+    lifespans,
+    per_record_counts,
+    temporally_valid_tokens,
+    tokens,
+    with_token_count,
+)
 from tallyframe.plans.cancelled_rate import conditional_rate_by_city
 
 SCHEMA = (
@@ -135,3 +142,24 @@ def test_empty_base_and_missing_record_ids(spark):
     for unique in (True, False):
         result = conditional_rate_by_city(frame(spark, rows), unique_records=unique)
         assert [tuple(r)[2:4] for r in result.collect()] == [(2, 1)]
+
+
+def test_only_the_tokens_of_candidates_are_split_a_second_time(spark):
+    rates = conditional_rate_by_city(frame(spark, [cancelled(1, "P1,P2,P3")]), staged=False)
+    plan = rates._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" in plan[plan.index("array_distinct"):]
+
+
+@pytest.mark.parametrize("staged", [True, False])
+def test_tokens_of_repeated_records_are_counted_without_a_hash_table_of_all(spark, staged):
+    rows = [
+        shipped(1, 1.0, promotions="A,B"), shipped(1, 2.0, promotions="B, C,"), shipped(2, 3.0),
+        shipped(None, 4.0, promotions="A"),
+    ]
+    base = spark.createDataFrame(rows, SCHEMA)
+    counted = with_token_count(base, staged=staged)
+    assert {(r.record_id, r.amount): r.promotion_count for r in counted.collect()} == {
+        (1, 1.0): 3, (1, 2.0): 3, (2, 3.0): 0, (None, 4.0): 0,
+    }
+    plan = distinct_tokens(base)._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" not in plan
