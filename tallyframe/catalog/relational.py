@@ -92,9 +92,13 @@ def sold(spark, sf) -> DataFrame:
 
 
 def volume_limit(spark, sf) -> int:
+    return middle_volume(line_sales(spark, sf))
+
+
+def middle_volume(sales: DataFrame) -> int:
     """The volume above which a state counts as large: midway between the extremes, so that
     both window lengths occur in tables of any size."""
-    volumes = count_by(sold(spark, sf), ["state"], "volume")
+    volumes = count_by(bought_rows(sales, ["state"]), ["state"], "volume")
     low, high = volumes.agg(F.min("volume"), F.max("volume")).first()
     return ((low or 0) + (high or 0)) // 2
 

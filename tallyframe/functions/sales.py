@@ -29,7 +29,9 @@ def size_label(size: Column | str) -> Column:
 
 
 def is_at_least_xxl(size: Column | str) -> Column:
-    return F.coalesce(size_label(size).rlike(AT_LEAST_XXL_PATTERN), F.lit(False))
+    """Only a size with an X somewhere is cleaned and matched."""
+    matches = F.upper(as_column(size)).contains("X") & size_label(size).rlike(AT_LEAST_XXL_PATTERN)
+    return F.coalesce(matches, F.lit(False))
 
 
 def size_rank(size: Column | str) -> Column:

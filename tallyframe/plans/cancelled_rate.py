@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.arrays import token_array, token_count
-from ..functions.text import status_contains, strip
+from ..functions.text import quick_strip, status_contains
 from ..operators.keys import left_counts, lookup_join
 from ..operators.moments import ROWS, mean_value, moments
 from ..operators.rates import filtered_average, percentage
@@ -53,7 +53,7 @@ def rate_parts(
     with enough tokens, and with their token list. Everything but the candidates shrinks
     map-side to a few rows per task.
     """
-    kind, token = F.col("_kind"), strip("_token")
+    kind, token = F.col("_kind"), quick_strip("_token")
     wanted = cancelled_standard() & F.col("state").isNotNull() & F.col("city").isNotNull()
     candidate = wanted & F.col("amount").isNotNull() & F.col("record_id").isNotNull()
     if with_tokens:

@@ -15,9 +15,13 @@ SCOPES = ("global", "group")
 
 
 def sold_varieties(sales: DataFrame, group: str = "state", date: str = "order_date") -> DataFrame:
-    """Varieties per (group, month, style) of the sold rows."""
-    sold = bought_rows(sales, [group, "style", "sku"]).withColumn("month", month_key(date))
-    return style_varieties(require_keys(sold, [date]), group=group)
+    """Varieties per (group, month, style) of the sold rows.
+
+    Rows are grouped by the first day of the month, which only the varieties turn into text.
+    """
+    sold = bought_rows(sales, [group, "style", "sku"]).withColumn("month", F.trunc(date, "month"))
+    varieties = style_varieties(require_keys(sold, [date]), group=group)
+    return varieties.withColumn("month", month_key("month"))
 
 
 def median_of_varieties(varieties: DataFrame, scope: str, group: str = "state") -> DataFrame:

@@ -91,3 +91,8 @@ def test_following_days_crosses_month_end(spark):
     day = F.to_date(F.col("v"))
     result = values(spark, ["2022-06-29"], arrays.following_days(day, 3))[0]
     assert result == [dt.date(2022, 6, 30), dt.date(2022, 7, 1), dt.date(2022, 7, 2)]
+
+
+def test_quick_strip_is_strip(spark):
+    inputs = ["", " ", "\t", "a", " a ", "\ta", "a\n", " \x01a", "a \x00 ", " a\tb ", "\u00a0a\u00a0", "!", None]
+    assert values(spark, inputs, text.quick_strip("v")) == values(spark, inputs, text.strip("v"))

@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as entry
 from tallyframe import catalog
+from tallyframe.catalog import composites, relational
 
 from .support import connect, mismatch
 
@@ -25,6 +26,19 @@ def test_query(spark, database, name):
     assert mismatch(frame, database, SQL.get(name)) is None
 
 
+def test_validation_joins_the_sale_rows_once(spark, monkeypatch):
+    """The four results share the joined rows; each had its own join of all line items before."""
+    calls = []
+    for name in ("line_sales", "order_sales"):
+        for module in (composites, relational):
+            def counted(*args, name=name, build=getattr(module, name)):
+                calls.append(name)
+                return build(*args)
+            monkeypatch.setattr(module, name, counted)
+    assert QUERIES["q10_validate_results"](spark, FOLDER).count() > 0
+    assert sorted(calls) == ["line_sales", "order_sales"]
+
+
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
 
