@@ -17,6 +17,7 @@ import zlib
 from functools import cache
 
 import numpy as np
+import pyarrow as pa
 
 # The characters with the Unicode property White_Space, which is what the
 # tokenizers' patterns call a space.
@@ -31,6 +32,9 @@ WORDS = re.compile(f"[^{SPACES}]+")
 
 TABLE_LIMIT = 1_100_000
 
+#: Characters of the texts that are looked up together, each distinct piece of them once.
+BATCH_CHARS = 4_000_000
+
 # The vocabulary files that the queries use.
 BYTE_LEVEL = "byte_bpe_50k.json"
 WORD_LEVEL = "word_bpe_49k.json"
@@ -51,6 +55,51 @@ def ragged_positions(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.repeat(starts - (ends - lengths), lengths) + np.arange(ends[-1])
 
 
+#: Bytes that are a space, bytes that a longer space begins with, and the longer ones as numbers.
+_LONG_SPACES = [char.encode() for char in SPACE_SET if ord(char) > 127]
+_IS_SPACE = np.isin(np.arange(256), [ord(char) for char in SPACE_SET if ord(char) < 128])
+_LEADS = np.isin(np.arange(256), [char[0] for char in _LONG_SPACES])
+_LONG_NUMBERS = {
+    size: np.array([int.from_bytes(char) for char in _LONG_SPACES if len(char) == size])
+    for size in (2, 3)
+}
+
+
+def space_bytes(data: np.ndarray) -> np.ndarray:
+    """Whether each byte of UTF-8 ``data`` belongs to a space character."""
+    spaces = _IS_SPACE[data]
+    leads = np.flatnonzero(_LEADS[data])
+    for size, numbers in _LONG_NUMBERS.items():
+        leads = leads[leads + size <= len(data)]
+        value = np.zeros(len(leads), np.int64)
+        for k in range(size):
+            value = value << 8 | data[leads + k]
+        found = leads[np.isin(value, numbers)]
+        for k in range(size):
+            spaces[found + k] = True
+    return spaces
+
+
+def spaced_words(texts: list[str]) -> tuple[pa.DictionaryArray, np.ndarray]:
+    """What ``SPACED_WORDS`` finds in all texts, as one array, and how many pieces each text has.
+
+    A piece begins with its text, and where a space follows another character.
+    """
+    encoded = [text.encode() for text in texts]
+    ends = np.cumsum([len(text) for text in encoded], dtype=np.int64)
+    joined = b"".join(encoded)
+    data = np.frombuffer(joined, np.uint8)
+    spaces = space_bytes(data)
+    begins = spaces.copy()
+    begins[1:] &= ~spaces[:-1]
+    bounds = np.r_[0, ends]
+    begins[bounds[:-1][np.diff(bounds) > 0]] = True
+    starts = np.flatnonzero(begins)
+    offsets = np.r_[starts, len(data)].astype(np.int32)
+    pieces = pa.StringArray.from_buffers(len(starts), pa.py_buffer(offsets), pa.py_buffer(joined))
+    return pieces.dictionary_encode(), np.diff(np.searchsorted(starts, bounds))
+
+
 class PieceTable(dict):
     """Piece to index; a look-up of an unknown piece enters it."""
 
@@ -64,7 +113,7 @@ class PieceTable(dict):
         self.limit = limit
         self.fresh: list[str] = []
 
-    def indices(self, pieces: list[str]) -> np.ndarray:
+    def indices(self, pieces: list[str] | np.ndarray) -> np.ndarray:
         return np.fromiter(map(self.__getitem__, pieces), np.int64, len(pieces))
 
 
@@ -152,23 +201,36 @@ class PieceEncoder:
 
     def encode_all(self, texts: list[str]):
         """Ids of each text, in order."""
-        for first in range(0, len(texts), 256):
-            yield from self._encode_some(texts[first:first + 256])
+        held, size = [], 0
+        for text in texts:
+            if held and size + len(text) > BATCH_CHARS:
+                yield from self._encode_some(held)
+                held, size = [], 0
+            held.append(text)
+            size += len(text)
+        if held:
+            yield from self._encode_some(held)
+
+    def _known(self, texts: list[str]) -> list[np.ndarray]:
+        """Indices of the pieces of each text."""
+        if not self.keeps_spaces:
+            return [self.table.indices(self.pattern.findall(text)) for text in texts]
+        pieces, counts = spaced_words(texts)
+        distinct = self.table.indices(pieces.dictionary.to_numpy(zero_copy_only=False))
+        return np.split(distinct[pieces.indices.to_numpy()], np.cumsum(counts)[:-1])
 
     def _encode_some(self, texts: list[str]):
         if len(self.table) > self.table.limit:
             self._clear()
-        known = []
-        for text in texts:
-            if self.special.search(text):
-                known.append(None)
-            else:
-                known.append(self.table.indices(self.pattern.findall(text)))
+        plain = [text for text in texts if not self.special.search(text)]
+        known = iter(self._known(plain) if plain else [])
+        whole = len(plain) < len(texts)
         self._encode_fresh()
-        for text, index in zip(texts, known):
-            if index is None:
+        for text in texts:
+            if whole and self.special.search(text):
                 yield self._library(text)
             else:
+                index = next(known)
                 yield self.ids[ragged_positions(self.starts[index], self.lengths[index])]
 
 

@@ -13,7 +13,17 @@ from hypothesis import strategies as st
 from tallyframe.llm import catalog
 from tallyframe.llm.frames import stage
 from tallyframe.llm.packing import pack, plan
-from tallyframe.llm.pieces import BYTE_LEVEL, WORD_LEVEL, PieceEncoder, encoder, vocabulary
+from tallyframe.llm.pieces import (
+    BYTE_LEVEL,
+    SPACE_SET,
+    SPACED_WORDS,
+    WORD_LEVEL,
+    PieceEncoder,
+    PieceTable,
+    encoder,
+    spaced_words,
+    vocabulary,
+)
 from tallyframe.llm.repair import Shard, compress, decoded_documents, token_shards
 from tallyframe.llm.token_counts import RankMerger, token_counts
 
@@ -48,6 +58,33 @@ def test_pieces_encode_as_the_library(name):
         assert ids.tolist() == encode(body)
 
 
+def test_spaced_words_are_those_of_the_pattern():
+    chance = np.random.default_rng(4)
+    alphabet = [*sorted(SPACE_SET), "a", "é", "\u2010", "\u200b", "\u00c2", "\u0a80", "\u3001", "😀", "\0", "\x1c"]
+    bodies = ["", " ", "", *["".join(chance.choice(alphabet, n)) for n in range(60) for _ in range(20)], ""]
+    for some in (bodies, [""], ["", "a"], ["\u3000"], ["\xa0a\xe2"]):
+        found, counts = spaced_words(some)
+        wanted = [SPACED_WORDS.findall(body) for body in some]
+        assert counts.tolist() == [len(words) for words in wanted]
+        assert found.to_pylist() == [word for words in wanted for word in words]
+
+
+def test_a_batch_looks_up_each_distinct_piece_once(monkeypatch):
+    """Each piece of each text was looked up before: 150,000 here."""
+    coder, asked = PieceEncoder(vocabulary(BYTE_LEVEL), True), []
+
+    def counted(table, pieces, indices=PieceTable.indices):
+        asked.append(len(pieces))
+        return indices(table, pieces)
+
+    monkeypatch.setattr(PieceTable, "indices", counted)
+    bodies = ["one two one" + " two one two" * 999] * 50
+    encoded = list(coder.encode_all(bodies))
+    assert sum(asked) == 3
+    assert all(ids.tolist() == encoded[0].tolist() for ids in encoded)
+    assert encoded[0].tolist() == library(BYTE_LEVEL)(bodies[0])
+
+
 def test_rank_merging_of_overlapping_pairs():
     encode, merger = library(BYTE_LEVEL), RankMerger(vocabulary(BYTE_LEVEL))
     words = ["a" * n for n in range(1, 40)] + ["abababab", "\t" * 9]
