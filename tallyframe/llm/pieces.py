@@ -201,6 +201,10 @@ class PieceEncoder:
 
     def encode_all(self, texts: list[str]):
         """Ids of each text, in order."""
+        if not self.keeps_spaces:
+            for first in range(0, len(texts), 256):
+                yield from self._encode_some(texts[first:first + 256])
+            return
         held, size = [], 0
         for text in texts:
             if held and size + len(text) > BATCH_CHARS:
